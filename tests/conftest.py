@@ -6,19 +6,14 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tablewright.session import build_session, shared_dir  # noqa: E402
+from tests.compare import LOCAL  # noqa: E402
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
 def spark():
-    os.environ.setdefault("PYSPARK_PIN_THREAD", "true")
-    from pyspark.sql import SparkSession
-
-    SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config(
-        "spark.driver.memory", "8g"
-    )
-    session = build_session("tests", spark__sql__shuffle__partitions="8")
+    session = build_session("tests", **LOCAL)
     session.sparkContext.setLogLevel("ERROR")
     shared_dir(session)
     yield session
