@@ -64,7 +64,7 @@ def correlation(a: Column, b: Column) -> Column:
     """Pearson correlation over rows where both are known; null when either is constant."""
     a_known, b_known = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
     raw = F.try_divide(F.covar_pop(a, b), F.stddev_pop(a_known) * F.stddev_pop(b_known))
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), raw))
+    return F.when(raw > 1, 1.0).when(raw < -1, -1.0).otherwise(raw)
 
 
 @dataclass
