@@ -150,3 +150,32 @@ def clean_events(t):
 @query("""SELECT lang, source, n_chars FROM documents WHERE n_chars > 500 GROUP BY ALL""")
 def dedup_then_filter(t):
     return dedup_and_filter(t.documents.select("lang", "source", "n_chars"), {"filter_expr": "n_chars > 500"})
+
+
+# One condition per form a filter can take, all on one table.
+FORMS = {
+    "equal": "o_orderstatus == 'F'",
+    "different": "NOT (o_orderstatus <=> 'F')",
+    "both": "o_totalprice > 50000 and `o_orderstatus` = 'O' or not o_custkey >= 10",
+    "arithmetic": "power(o_custkey, 2) % 7 = 1 and floor(o_totalprice / 1000) > 100 and abs(o_custkey - 20) < 15",
+    "listed": "o_orderstatus in ('O', 'F') and o_orderpriority not in ('1-URGENT', '5-LOW')",
+    "chained": "o_totalprice > 1000 and o_totalprice < 90000",
+    "negated": "not (o_totalprice > 1000 and o_totalprice < 90000)",
+    "dated": "o_orderdate >= '1996-01-01' and o_orderdate <= '1998-12-31'",
+    "methods": "o_orderstatus is not null and o_totalprice between 2000 and 60000 and o_orderpriority like '%-H%'",
+}
+FORMS_SQL = {
+    **FORMS,
+    "different": "o_orderstatus IS DISTINCT FROM 'F'",
+    "both": "o_totalprice > 50000 and o_orderstatus = 'O' or not o_custkey >= 10",
+    "arithmetic": "power(o_custkey, 2) % 7 = 1 and floor(o_totalprice / 1000) > 100 and abs(o_custkey - 20) < 15",
+}
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS form, o_orderkey FROM orders WHERE {c}" for n, c in FORMS_SQL.items()))
+def filter_forms(t):
+    kept = [filter_rows(t.orders, c).select(F.lit(n).alias("form"), "o_orderkey") for n, c in FORMS.items()]
+    result = kept[0]
+    for more in kept[1:]:
+        result = result.unionByName(more)
+    return result

@@ -22,6 +22,7 @@ ROW_LIMIT = 1_000_000  # largest group handed to the built-in percentile
 LIST_LIMIT = 100_000  # largest leftover gap sorted inside one task
 BROADCAST_ROWS = 10_000  # largest per-group state sent to every executor
 GRID = 256  # sketched values per pass
+COLUMNS_AT_ONCE = 8  # columns whose value maps or sketches share one aggregate
 
 
 def quantile_frame(
@@ -37,27 +38,48 @@ def quantile_frame(
     Null keys form their own group; callers that drop them filter first.
     """
     keys = as_list(keys)
-    group = [f"_k{i}" for i in range(len(keys))]
-    source = df.select(
-        *[col(k).alias(g) for k, g in zip(keys, group)],
-        *[value_of(df, c).cast("double").alias(f"_v{i}") for i, c in enumerate(cols)],
-    )
-    if not keys:
-        group = ["_k0"]
-        source = source.withColumn("_k0", F.lit(0))
-
-    sizes = source.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    group = [f"_k{i}" for i in range(max(len(keys), 1))]
+    grouping = [col(k).alias(g) for k, g in zip(keys, group)] or [F.lit(0).alias("_k0")]
+    base = df.select(*grouping)
+    sizes = base.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     biggest = sizes.agg(F.max("_n")).first()[0] or 0
-    if biggest <= row_limit:
-        result = _small(source, group, len(cols), probs, grouped=bool(keys))
-    else:
+    hot = None
+    if biggest > row_limit:
         hot = freeze(sizes.filter(F.col("_n") > row_limit).drop("_n"), "hot-groups")
-        result = _narrow(source, hot, group, len(cols), probs, list_limit)
-        if keys:
-            cold = source.join(_sized(hot.withColumn("_hot", F.lit(1))), _same(source, hot, group), "left_anti")
-            result = result.unionByName(_small(cold, group, len(cols), probs, grouped=True))
-    renamed = [F.col(g).alias(k) for k, g in zip(keys, group)]
-    return result.select(*renamed, *[f"_q{i}" for i in range(len(cols))])
+
+    result = None
+    for first in range(0, len(cols), COLUMNS_AT_ONCE):
+        part = cols[first : first + COLUMNS_AT_ONCE]
+        values = [value_of(df, c).cast("double").alias(f"_v{i}") for i, c in enumerate(part)]
+        solved = _solve(df.select(*grouping, *values), hot, group, len(part), probs, list_limit, bool(keys))
+        solved = solved.withColumnsRenamed({f"_q{i}": f"_r{first + i}" for i in range(len(part))})
+        result = solved if result is None else _join_state(result, solved, group)
+    return result.select(
+        *[F.col(g).alias(k) for k, g in zip(keys, group)],
+        *[F.col(f"_r{i}").alias(f"_q{i}") for i in range(len(cols))],
+    )
+
+
+def _solve(
+    source: DataFrame,
+    hot: DataFrame | None,
+    group: list[str],
+    n_cols: int,
+    probs: list[float],
+    list_limit: int,
+    grouped: bool,
+) -> DataFrame:
+    if hot is None:
+        return _small(source, group, n_cols, probs, grouped)
+    result = _narrow(source, hot, group, n_cols, probs, list_limit)
+    if not grouped:
+        return result
+    known = hot.withColumnsRenamed({g: f"_h{g}" for g in group})
+    match = F.lit(True)
+    for g in group:
+        match = match & source[g].eqNullSafe(known[f"_h{g}"])
+    cold = source.join(_sized(known), match, "left_anti")
+    return result.unionByName(_small(cold, group, n_cols, probs, grouped))
 
 
 def quantile_values(
@@ -91,13 +113,6 @@ def _small(source: DataFrame, group: list[str], n_cols: int, probs: list[float],
     return source.groupBy(*group).agg(*measures)
 
 
-def _same(left: DataFrame, right: DataFrame, group: list[str]) -> Column:
-    match = F.lit(True)
-    for g in group:
-        match = match & left[g].eqNullSafe(right[g])
-    return match
-
-
 def _sized(state: DataFrame) -> DataFrame:
     """Broadcast per-group state only when it has been counted and is small."""
     return F.broadcast(state) if state.count() <= BROADCAST_ROWS else state

@@ -42,7 +42,8 @@ def match_edges(
         edges = edges.filter(F.col("type") == rel_type)
     starts = _ends(match_nodes(nodes, from_label), id_field, from_field, "from_", edges)
     ends = _ends(match_nodes(to_nodes if to_nodes is not None else nodes, to_label), id_field, to_field, "to_", edges)
-    matched = spread_join(spread_join(edges, starts, from_field), ends, to_field)
+    started = spread_join(edges, starts, from_field)
+    matched = spread_join(started, ends, to_field, measure=edges)
     return matched.select(*[col(c) for c in edges.columns], *[col(c) for c in matched.columns if c not in edges.columns])
 
 
@@ -141,8 +142,10 @@ def upsert_edges(
     keys = [from_field, to_field, "type"]
     incoming = incoming.withColumn("type", F.lit(rel_type))
     require_columns(incoming, keys, "Edge key")
-    latest = _latest(incoming.filter(col(from_field).isNotNull() & col(to_field).isNotNull()), keys, order_by)
+    incoming = incoming.filter(col(from_field).isNotNull() & col(to_field).isNotNull())
+    latest = _latest(incoming, keys, order_by)
     starts = match_nodes(nodes, from_label).select(col(id_field).alias(from_field))
     ends = match_nodes(to_nodes if to_nodes is not None else nodes, to_label).select(col(id_field).alias(to_field))
-    linked = spread_join(spread_join(latest, starts, from_field, "left_semi"), ends, to_field, "left_semi")
+    started = spread_join(latest, starts, from_field, "left_semi", measure=incoming)
+    linked = spread_join(started, ends, to_field, "left_semi", measure=incoming)
     return _overlay(edges, linked, keys, "merge")

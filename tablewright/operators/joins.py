@@ -13,18 +13,24 @@ UNMATCHED_SLICES = 4096  # tasks over which rows without a key are spread
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, on: list[str] | str, how: str = "inner", hot_rows: int = HOT_ROWS
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str] | str,
+    how: str = "inner",
+    hot_rows: int = HOT_ROWS,
+    measure: DataFrame | None = None,
 ) -> DataFrame:
     """``left.join(right, on, how)`` where ``right`` has one row per key.
 
     Keys with more than ``hot_rows`` rows on the left are cut into slices of about that
     size, and their single right row is copied once per slice. Other keys join as usual.
+    ``measure`` is a cheaper table with at least the rows of ``left`` per key, to count on.
     """
     on = as_list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"spread_join does not support {how!r}")
     spark = left.sparkSession
-    counts = left.groupBy(*[col(c) for c in on]).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = (left if measure is None else measure).groupBy(*[col(c) for c in on]).agg(F.count(F.lit(1)).alias("_rows"))
     hot = counts.filter(F.col("_rows") > hot_rows).select(
         *[col(c) for c in on], F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_slices")
     )

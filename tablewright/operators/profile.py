@@ -67,6 +67,9 @@ def correlation(a: Column, b: Column) -> Column:
     return F.when(raw > 1, 1.0).when(raw < -1, -1.0).otherwise(raw)
 
 
+PAIRS_AT_ONCE = 64  # correlations that share one aggregate
+
+
 @dataclass
 class Facts:
     """What one pass over a table tells; reused by profile, quality and report."""
@@ -78,7 +81,7 @@ class Facts:
     correlations: dict[tuple[str, str], float | None] = field(default_factory=dict)
 
 
-def gather(df: DataFrame, numeric: list[str], correlations: bool = False) -> Facts:
+def gather(df: DataFrame, numeric: list[str], with_correlations: bool = False) -> Facts:
     measures = [F.count(F.lit(1)).alias("n")]
     for i, c in enumerate(df.columns):
         measures.append(F.count_if(value_of(df, c).isNull()).alias(f"null{i}"))
@@ -92,15 +95,8 @@ def gather(df: DataFrame, numeric: list[str], correlations: bool = False) -> Fac
             F.min(v).alias(f"min{i}"),
             F.max(v).alias(f"max{i}"),
         ]
-    pairs = list(combinations(numeric, 2)) if correlations else []
-    if correlations:
-        pairs += [(c, c) for c in numeric]
-    for i, (a, b) in enumerate(pairs):
-        measures.append(correlation(value_of(df, a), value_of(df, b)).alias(f"corr{i}"))
     row = df.agg(*measures).first()
-    found = {}
-    for i, pair in enumerate(pairs):
-        found[pair] = found[pair[::-1]] = row[f"corr{i}"]
+    matrix = correlations(df, numeric).collect() if with_correlations and numeric else []
     return Facts(
         rows=row["n"],
         bytes=sum(row[f"bytes{i}"] or 0 for i in range(len(df.columns))),
@@ -109,7 +105,7 @@ def gather(df: DataFrame, numeric: list[str], correlations: bool = False) -> Fac
             c: {s: _number(row[f"{s}{i}"]) for s in ("count", "mean", "std", "min", "max")}
             for i, c in enumerate(numeric)
         },
-        correlations=found,
+        correlations={(r["column_a"], r["column_b"]): r["correlation"] for r in matrix},
     )
 
 
@@ -135,9 +131,16 @@ def null_analysis(df: DataFrame) -> DataFrame:
 
 
 def correlations(df: DataFrame, cols: list[str] | None = None, numeric: str = "strict") -> DataFrame:
-    """column_a, column_b, correlation for every ordered pair, from one aggregate."""
+    """column_a, column_b, correlation for every ordered pair, from one aggregate for up to 64 pairs."""
     cols = cols or numeric_columns(df, numeric)
     pairs = list(combinations(cols, 2)) + [(c, c) for c in cols]
+    table = _correlate(df, pairs[:PAIRS_AT_ONCE])
+    for first in range(PAIRS_AT_ONCE, len(pairs), PAIRS_AT_ONCE):
+        table = table.unionByName(_correlate(df, pairs[first : first + PAIRS_AT_ONCE]))
+    return table
+
+
+def _correlate(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     wide = df.agg(*[correlation(value_of(df, a), value_of(df, b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     rows = [
         F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"c{i}").alias("correlation"))

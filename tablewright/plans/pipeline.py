@@ -14,7 +14,7 @@ from ..operators.graph import match_edges, match_nodes, upsert_edges, upsert_nod
 from ..operators.report import analyze
 from ..operators.sqlops import sql_transform
 from ..session import freeze
-from ..sources.files import configure_objects, load_intermediate, object_uri, read_csv, read_object
+from ..sources.files import load_intermediate, object_settings, object_uri, read_csv, read_object
 from ..sources.sinks import materialize, write_batches, write_csv, write_object
 from . import ledger as runs
 
@@ -44,8 +44,7 @@ def _csv_source(spark: SparkSession, config: dict) -> DataFrame:
 
 def _object_source(spark: SparkSession, config: dict) -> DataFrame:
     uri = object_uri(config)
-    configure_objects(spark, config)
-    options = {}
+    options = {"storage": object_settings(config)}
     for ours, theirs in (("sep", "separator"), ("encoding", "encoding"), ("header", "header"), ("schema", "schema")):
         if config.get(theirs) is not None:
             options[ours] = config[theirs]
@@ -105,9 +104,7 @@ def _csv_sink(df: DataFrame, config: dict) -> None:
 
 
 def _object_sink(df: DataFrame, config: dict) -> None:
-    uri = object_uri(config)
-    configure_objects(df.sparkSession, config)
-    write_object(df, uri, config.get("overwrite", False))
+    write_object(df, object_uri(config), config.get("overwrite", False), object_settings(config))
 
 
 def _graph_sink(df: DataFrame, config: dict) -> None:

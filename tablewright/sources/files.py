@@ -34,6 +34,7 @@ def read_csv(
     parse_dates: list[str] | None = None,
     infer: bool = True,
     multi_line: bool = False,
+    storage: dict[str, str] | None = None,
 ) -> DataFrame:
     """Read CSV files. ``header`` is 0 or True for a first header line, None or False for none.
 
@@ -52,6 +53,7 @@ def read_csv(
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .options(**(storage or {}))
     )
     if schema is not None:
         return _open(lambda: reader.schema(schema).csv(path), path)
@@ -107,18 +109,24 @@ def _infer(df: DataFrame, free: list[str], dates: list[str]) -> dict[str, Column
     return chosen
 
 
-def read_object(spark: SparkSession, uri: str, json_lines: bool = False, **options) -> DataFrame:
-    """Read any file-system URI, the format taken from the suffix; other suffixes are CSV."""
+def read_object(
+    spark: SparkSession, uri: str, json_lines: bool = False, storage: dict[str, str] | None = None, **options
+) -> DataFrame:
+    """Read any file-system URI, the format taken from the suffix; other suffixes are CSV.
+
+    ``storage`` holds access settings for this read only, see ``object_settings``.
+    """
     if not uri:
         raise ValueError("object source requires 'uri'")
+    reader = spark.read.options(**(storage or {}))
     suffix = next((f for s, f in BATCH_FORMATS.items() if uri.endswith(s)), None)
     if suffix == "parquet":
-        return _open(lambda: spark.read.parquet(uri), uri)
+        return _open(lambda: reader.parquet(uri), uri)
     if suffix == "json":
-        return _open(lambda: spark.read.option("multiLine", not json_lines).json(uri), uri)
+        return _open(lambda: reader.option("multiLine", not json_lines).json(uri), uri)
     if suffix == "csv":
-        return read_csv(spark, uri, **options)
-    return read_csv(spark, uri)
+        return read_csv(spark, uri, storage=storage, **options)
+    return read_csv(spark, uri, storage=storage)
 
 
 def object_uri(config: dict) -> str:
@@ -132,7 +140,7 @@ def object_uri(config: dict) -> str:
 
 
 def object_settings(config: dict) -> dict[str, str]:
-    """Hadoop settings for one bucket; what is absent stays with the default provider chain."""
+    """Hadoop settings for one bucket, to pass as ``storage``; the default provider chain does the rest."""
     if not config.get("bucket"):
         return {}
     prefix = f"fs.s3a.bucket.{config['bucket']}."
@@ -147,12 +155,6 @@ def object_settings(config: dict) -> dict[str, str]:
     return settings
 
 
-def configure_objects(spark: SparkSession, config: dict) -> None:
-    """Give the session the access settings of the bucket in ``config``."""
-    for name, value in object_settings(config).items():
-        spark.sparkContext._jsc.hadoopConfiguration().set(name, value)
-
-
 def from_rows(spark: SparkSession, rows: list[dict] | dict, schema: str | T.StructType | None = None) -> DataFrame:
     """A table from one record or a list of records; absent fields are null."""
     if isinstance(rows, dict):

@@ -32,6 +32,7 @@ def write_csv(
     header: bool = True,
     encoding: str = "utf-8",
     single_file: bool = False,
+    storage: dict[str, str] | None = None,
 ) -> None:
     """Write a folder of CSV files; ``single_file`` only for tables known to be small.
 
@@ -50,21 +51,26 @@ def write_csv(
         .option("encoding", encoding)
         .option("escape", '"')
         .option("quote", '"')
+        .options(**(storage or {}))
     )
     _write(lambda: writer.csv(path), path)
 
 
-def write_object(df: DataFrame, uri: str, overwrite: bool = False) -> None:
-    """Write to any file-system URI, the format taken from the suffix; other suffixes are CSV."""
+def write_object(df: DataFrame, uri: str, overwrite: bool = False, storage: dict[str, str] | None = None) -> None:
+    """Write to any file-system URI, the format taken from the suffix; other suffixes are CSV.
+
+    ``storage`` holds access settings for this write only, see ``object_settings``.
+    """
     require_frame(df, "write_object")
     fmt = next((f for s, f in BATCH_FORMATS.items() if uri.endswith(s)), "csv")
     mode = "overwrite" if overwrite else "error"
+    writer = df.write.mode(mode).options(**(storage or {}))
     if fmt == "csv":
-        write_csv(df, uri, mode)
+        write_csv(df, uri, mode, storage=storage)
     elif fmt == "json":
-        _write(lambda: df.write.mode(mode).option("ignoreNullFields", "false").json(uri), uri)
+        _write(lambda: writer.option("ignoreNullFields", "false").json(uri), uri)
     else:
-        _write(lambda: df.write.mode(mode).parquet(uri), uri)
+        _write(lambda: writer.parquet(uri), uri)
 
 
 def write_batches(df: DataFrame, fn: Callable[[list[dict]], None], batch_size: int = 1000) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.nulls import as_list, nan_to_null
+from ..functions.nulls import as_list, col, is_orderable, nan_to_null
 from ..operators.clean import clean, drop_missing, fill_missing, filter_rows, standardize_columns
 from ..operators.quality import tag_violations
 from ..session import scratch_uri
@@ -38,11 +38,14 @@ def clean_stream(
     config: dict | None = None,
     event_time: str | None = None,
     delay: str = "1 hour",
+    slices: int = 8,
 ) -> DataFrame:
     """The row-wise cleaning steps on a stream.
 
     Duplicates need ``event_time``: the first arrival within ``delay`` is kept and older
-    state is dropped. Steps that need the whole table run per micro-batch, see ``write_cleaned``.
+    state is dropped. A stateful step gets all rows of a key in one task and adaptive
+    execution does not apply to streams, so each key is first reduced in ``slices`` parts
+    (1 turns this off). Steps that need the whole table run per micro-batch, see ``write_cleaned``.
     """
     config = config or {}
     for key in ("remove_outliers", "dtype_conversions"):
@@ -54,6 +57,10 @@ def clean_stream(
             raise ValueError("duplicates on a stream need event_time, to bound the state")
         df = df.withWatermark(event_time, delay)
         subset = as_list(config.get("dedup_cols")) or df.columns
+        if slices > 1:
+            content = F.xxhash64(*[col(f.name) for f in df.schema.fields if is_orderable(f.dataType)])
+            df = df.withColumn("_slice", F.pmod(content + F.spark_partition_id(), F.lit(slices)))
+            df = df.dropDuplicatesWithinWatermark([*subset, "_slice"]).drop("_slice")
         df = df.dropDuplicatesWithinWatermark(subset)
     strategy = config.get("missing_strategy", "drop")
     if strategy == "drop":
