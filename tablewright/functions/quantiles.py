@@ -10,7 +10,9 @@ scan, so nothing but a row of counters per group is shuffled.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import product
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +23,8 @@ from .nulls import as_list, col, value_of
 ROW_LIMIT = 1_000_000  # largest group handed to the built-in percentile
 LIST_LIMIT = 100_000  # largest leftover gap sorted inside one task
 BROADCAST_ROWS = 10_000  # largest per-group state sent to every executor
-GRID = 256  # sketched values per pass
+GRID = 1024  # sketched values per pass
+WHOLE = "_whole"  # key of the only group when there are no keys
 COLUMNS_AT_ONCE = 8  # columns whose value maps or sketches share one aggregate
 
 
@@ -38,8 +41,8 @@ def quantile_frame(
     Null keys form their own group; callers that drop them filter first.
     """
     keys = as_list(keys)
-    group = [f"_k{i}" for i in range(max(len(keys), 1))]
-    grouping = [col(k).alias(g) for k, g in zip(keys, group)] or [F.lit(0).alias("_k0")]
+    group = [f"_k{i}" for i in range(len(keys))] or [WHOLE]
+    grouping = [col(k).alias(g) for k, g in zip(keys, group)] or [F.lit(0).alias(WHOLE)]
     base = df.select(*grouping)
     sizes = base.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     biggest = sizes.agg(F.max("_n")).first()[0] or 0
@@ -109,7 +112,7 @@ def _small(source: DataFrame, group: list[str], n_cols: int, probs: list[float],
     wanted = F.array(*[F.lit(float(p)) for p in probs])
     measures = [F.percentile(f"_v{i}", wanted).alias(f"_q{i}") for i in range(n_cols)]
     if not grouped:
-        return source.agg(*measures).withColumn("_k0", F.lit(0))
+        return source.agg(*measures).withColumn(WHOLE, F.lit(0))
     return source.groupBy(*group).agg(*measures)
 
 
@@ -120,6 +123,11 @@ def _sized(state: DataFrame) -> DataFrame:
 
 def _with_state(source: DataFrame, state: DataFrame, group: list[str]) -> DataFrame:
     """Rows of ``source`` in the groups of ``state``, each with its group's state."""
+    if group == [WHOLE]:
+        # One row of numbers: as literals they fold into the conditions and reach the scan.
+        row = state.first()
+        known = {f.name: (f.dataType, row[f.name]) for f in state.schema.fields if f.name != WHOLE}
+        return source.withColumns({c: F.lit(v).cast(kind) for c, (kind, v) in known.items()}) if known else source
     renamed = state.withColumnsRenamed({g: f"_s{g}" for g in group})
     match = F.lit(True)
     for g in group:
@@ -133,9 +141,12 @@ def _narrow(
     # A target is one (column, probability): its lower and upper neighbour ranks are adjacent,
     # so as long as both are unknown they lie in the same gap.
     targets = [(f"{i}_{j}", i, p) for i, (j, p) in product(range(n_cols), enumerate(probs))]
+    grid = [k / GRID for k in range(GRID + 1)]
 
-    counted = _with_state(source, hot, group).groupBy(*group).agg(
-        *[F.count(f"_v{i}").alias(f"_c{i}") for i in range(n_cols)]
+    # The first pass counts, and sketches each column once for all its targets.
+    begun = _with_state(source, hot, group).groupBy(*group).agg(
+        *[F.count(f"_v{i}").alias(f"_c{i}") for i in range(n_cols)],
+        *[F.percentile_approx(f"_v{i}", grid).alias(f"_s{i}") for i in range(n_cols)],
     )
     start = {}
     for t, i, p in targets:
@@ -143,29 +154,31 @@ def _narrow(
         start[f"rl_{t}"] = F.floor(place).cast("long")
         start[f"ru_{t}"] = F.ceil(place).cast("long")
         start[f"left_{t}"] = F.col(f"_c{i}")
+        start[f"sk_{t}"] = F.col(f"_s{i}")
         for name in ("lo", "hi", "al", "au"):
             start[f"{name}_{t}"] = F.lit(None).cast("double")
-    state = freeze(counted.withColumns(start), "quantile-state")
+    state = _cut(source, begun.withColumns(start), group, targets)
 
-    first = True
     while True:
         sizes = [F.max(F.when(_is_open(t), F.col(f"left_{t}"))) for t, *_ in targets]
         worst = max((v or 0) for v in state.agg(*sizes).first())
         if worst <= list_limit:
             break
-        state = freeze(_pass(source, state, group, targets, first), "quantile-state")
-        first = False
+        sketch = _open_rows(source, state, group, targets).groupBy(*group).agg(
+            *[F.percentile_approx(f"_w{t}", grid).alias(f"sk_{t}") for t, *_ in targets]
+        )
+        state = _cut(source, _join_state(state, sketch, group), group, targets)
 
     if worst > 0:
-        rest = []
-        for t, i, _ in targets:
-            gap = F.sort_array(F.collect_list(F.when(_in_gap(t, i), F.col(f"_v{i}"))))
-            rest.append(F.get(gap, F.max(f"rl_{t}").cast("int")).alias(f"dl_{t}"))
-            rest.append(F.get(gap, F.max(f"ru_{t}").cast("int")).alias(f"du_{t}"))
-        found = _with_state(source, state, group).groupBy(*group).agg(*rest)
-        state = _join_state(state, found, group)
+        gaps = _open_rows(source, state, group, targets).groupBy(*group).agg(
+            *[F.sort_array(F.collect_list(f"_w{t}")).alias(f"gap_{t}") for t, *_ in targets]
+        )
+        state = _join_state(state, gaps, group)
         state = state.withColumns(
-            {f"a{s}_{t}": F.coalesce(f"a{s}_{t}", f"d{s}_{t}") for (t, *_), s in product(targets, "lu")}
+            {
+                f"a{s}_{t}": F.coalesce(f"a{s}_{t}", F.get(f"gap_{t}", F.col(f"r{s}_{t}").cast("int")))
+                for (t, *_), s in product(targets, "lu")
+            }
         )
 
     answers = []
@@ -192,42 +205,48 @@ def _in_gap(t: str, i: int) -> Column:
     return v.isNotNull() & _is_open(t) & above & under
 
 
+def _open_rows(source: DataFrame, state: DataFrame, group: list[str], targets: list) -> DataFrame:
+    """Rows with a value still in question; ``_w<target>`` holds it, null for settled targets.
+
+    A projection of its own: inside an aggregate function the test would not be compiled.
+    """
+    tests = {t: _in_gap(t, i) for t, i, _ in targets}
+    rows = _with_state(source, state, group).filter(reduce(or_, tests.values()))
+    values = [F.when(tests[t], F.col(f"_v{i}")).alias(f"_w{t}") for t, i, _ in targets]
+    keep = [c for c in state.columns if c.startswith(("x_", "y_"))]
+    return rows.select(*group, *values, *keep)
+
+
 def _join_state(state: DataFrame, extra: DataFrame, group: list[str]) -> DataFrame:
+    """State plus what a pass found; groups without open rows find nothing."""
     renamed = extra.withColumnsRenamed({g: f"_e{g}" for g in group})
     match = F.lit(True)
     for g in group:
         match = match & state[g].eqNullSafe(renamed[f"_e{g}"])
-    return state.join(renamed, match).drop(*[f"_e{g}" for g in group])
+    return state.join(renamed, match, "left").drop(*[f"_e{g}" for g in group])
 
 
-def _pass(source: DataFrame, state: DataFrame, group: list[str], targets: list, first: bool) -> DataFrame:
-    """One sketch and one exact count; ranks in ``state`` stay relative to the open gap."""
-    grid = [k / GRID for k in range(GRID + 1)]
-    sketch = _with_state(source, state, group).groupBy(*group).agg(
-        *[
-            # On the first pass all targets of a column share one sketch.
-            F.percentile_approx(F.col(f"_v{i}") if first else F.when(_in_gap(t, i), F.col(f"_v{i}")), grid).alias(f"sk_{t}")
-            for t, i, _ in targets
-        ]
-    )
+def _cut(source: DataFrame, state: DataFrame, group: list[str], targets: list) -> DataFrame:
+    """Cut every open gap at two sketched values around the wanted ranks, by exact counts.
+
+    Ranks in the state are relative to the open gap.
+    """
     probes = {}
     for t, *_ in targets:
         spot = F.floor(F.try_divide(F.col(f"rl_{t}") * GRID, F.greatest(F.col(f"left_{t}") - 1, F.lit(1)))).cast("int")
         probes[f"x_{t}"] = F.get(F.col(f"sk_{t}"), F.greatest(F.lit(0), spot - 1))
         probes[f"y_{t}"] = F.get(F.col(f"sk_{t}"), F.least(F.lit(GRID), spot + 2))
+    keep = [c for c in state.columns if not c.startswith(("sk_", "_s"))]
     # Frozen so that the counts below and the update after them see the same sketch.
-    probed = freeze(
-        _join_state(state, sketch, group).withColumns(probes).drop(*[f"sk_{t}" for t, *_ in targets]),
-        "quantile-probe",
-    )
+    probed = freeze(state.withColumns(probes).select(*keep, *probes), "quantile-probe")
 
     counts = []
-    for t, i, _ in targets:
+    for t, *_ in targets:
         for name in "xy":
-            v, probe = F.col(f"_v{i}"), F.col(f"{name}_{t}")
-            counts.append(F.count_if(_in_gap(t, i) & (v < probe)).alias(f"lt_{name}_{t}"))
-            counts.append(F.count_if(_in_gap(t, i) & (v <= probe)).alias(f"le_{name}_{t}"))
-    counted = _join_state(probed, _with_state(source, probed, group).groupBy(*group).agg(*counts), group)
+            value, probe = F.col(f"_w{t}"), F.col(f"{name}_{t}")
+            counts.append(F.count_if(value < probe).alias(f"lt_{name}_{t}"))
+            counts.append(F.count_if(value <= probe).alias(f"le_{name}_{t}"))
+    counted = _join_state(probed, _open_rows(source, probed, group, targets).groupBy(*group).agg(*counts), group)
 
     solved = {}
     for (t, *_), s in product(targets, "lu"):
@@ -254,4 +273,4 @@ def _pass(source: DataFrame, state: DataFrame, group: list[str], targets: list,
             f"ru_{t}": F.col(f"ru_{t}") - skipped,
             f"left_{t}": kept - skipped,
         }
-    return counted.withColumns(update).select(*state.columns)
+    return freeze(counted.withColumns(update).select(*keep), "quantile-state")
