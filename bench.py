@@ -49,6 +49,12 @@ HEADLINE = (
 )
 
 
+def shuffles(frame) -> int:
+    """Shuffles in the plan of the result; jobs that ran while it was built are not in it."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return sum("Exchange " in line and "BroadcastExchange" not in line for line in plan.split("\n"))
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -63,21 +69,24 @@ def main() -> None:
         spark__sql__shuffle__partitions=cpus,
     )
     spark.sparkContext.setLogLevel("ERROR")
-    seconds = {}
+    seconds, exchanges = {}, {}
     for name in names:
         times = []
         for turn in range(runs + 1):  # the first run warms up
             start = time.perf_counter()
-            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+            frame = QUERIES[name](spark, folder)
+            frame.write.format("noop").mode("overwrite").save()
             if turn:
                 times.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(times), 3)
+        exchanges[name] = shuffles(frame)
     spark.stop()
     result = {
         "metric": "headline_queries_total",
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
+        "exchanges": exchanges,
         "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
         "cpus": int(cpus),
     }

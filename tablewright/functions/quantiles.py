@@ -1,7 +1,7 @@
 """Exact linear-interpolated quantiles that never gather a large group in one task.
 
-Groups of at most ``row_limit`` rows use the built-in ``percentile``, whose value map is
-then bounded by that limit. Larger groups are solved by narrowing: each pass sketches the
+Groups are counted first. Those of at most ``row_limit`` rows are sorted inside one task,
+which that limit bounds. Larger groups are solved by narrowing: each pass sketches the
 values still in question, counts exactly how many lie below each sketched value, and keeps
 only the gap that contains the wanted rank. The sketch decides how fast the gap shrinks;
 the counts alone decide the answer. Every pass is a partial aggregate over one pruned
@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 from ..session import freeze
 from .nulls import as_list, col, value_of
 
-ROW_LIMIT = 1_000_000  # largest group handed to the built-in percentile
+ROW_LIMIT = 1_000_000  # largest group sorted inside one task
 LIST_LIMIT = 100_000  # largest leftover gap sorted inside one task
 BROADCAST_ROWS = 10_000  # largest per-group state sent to every executor
 GRID = 1024  # sketched values per pass
 WHOLE = "_whole"  # key of the only group when there are no keys
-COLUMNS_AT_ONCE = 8  # columns whose value maps or sketches share one aggregate
+COLUMNS_AT_ONCE = 8  # columns whose values or sketches share one aggregate
 
 
 def quantile_frame(
@@ -109,11 +109,28 @@ def approx_values(df: DataFrame, cols: list[str], probs: list[float]) -> dict[st
 
 
 def _small(source: DataFrame, group: list[str], n_cols: int, probs: list[float], grouped: bool) -> DataFrame:
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
-    measures = [F.percentile(f"_v{i}", wanted).alias(f"_q{i}") for i in range(n_cols)]
-    if not grouped:
-        return source.agg(*measures).withColumn(WHOLE, F.lit(0))
-    return source.groupBy(*group).agg(*measures)
+    """Groups already counted to hold at most ``row_limit`` rows: sort the values and pick.
+
+    Sorting bounded arrays takes a fraction of the time and memory of ``percentile``'s value map.
+    """
+    lists = [F.sort_array(F.collect_list(f"_v{i}")).alias(f"_l{i}") for i in range(n_cols)]
+    sorted_values = source.groupBy(*group).agg(*lists) if grouped else source.agg(*lists).withColumn(WHOLE, F.lit(0))
+    answers = []
+    for i in range(n_cols):
+        values = F.col(f"_l{i}")
+        picked = []
+        for p in probs:
+            place = (F.size(values) - 1) * F.lit(float(p))
+            low, high = (F.get(values, end(place).cast("int")) for end in (F.floor, F.ceil))
+            picked.append(_between(low, high, place))
+        answers.append(F.when(F.size(values) > 0, F.array(*picked)).alias(f"_q{i}"))
+    return sorted_values.select(*group, *answers)
+
+
+def _between(low: Column, high: Column, place: Column) -> Column:
+    """Linear interpolation at a fractional position between two neighbours."""
+    share = place - F.floor(place)
+    return F.when(low == high, low).otherwise((F.lit(1.0) - share) * low + share * high)
 
 
 def _sized(state: DataFrame) -> DataFrame:
@@ -186,9 +203,7 @@ def _narrow(
         values = []
         for j, p in enumerate(probs):
             place = (F.col(f"_c{i}") - 1) * F.lit(float(p))
-            low, high = F.col(f"al_{i}_{j}"), F.col(f"au_{i}_{j}")
-            share = place - F.floor(place)
-            values.append(F.when(low == high, low).otherwise((F.lit(1.0) - share) * low + share * high))
+            values.append(_between(F.col(f"al_{i}_{j}"), F.col(f"au_{i}_{j}"), place))
         answers.append(F.when(F.col(f"_c{i}") > 0, F.array(*values)).alias(f"_q{i}"))
     return state.select(*group, *answers)
 
