@@ -88,13 +88,17 @@ def fill_mean(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def fill_mode(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Other gaps take the most frequent value, the smallest one on ties.
 
-    Values are counted with an ordinary group-by, so no task holds a whole column.
+    Values are counted with an ordinary group-by, so no task holds a whole column; columns
+    without gaps, found in one pass, are not counted at all.
     """
     if cols is None:
         numeric = set(numeric_columns(df))
         cols = [c for c in df.columns if c not in numeric]
+    if not cols:
+        return df
+    gaps = df.agg(*[F.count_if(value_of(df, c).isNull()).alias(f"g{i}") for i, c in enumerate(cols)]).first()
     fills = {}
-    for c in cols:
+    for c in [c for i, c in enumerate(cols) if gaps[f"g{i}"]]:
         counts = df.select(value_of(df, c).alias("v")).filter("v is not null").groupBy("v").count()
         top = counts.agg(F.min_by("v", F.struct(-F.col("count"), F.col("v"))).alias("v"))
         choices = [value_of(df, c), top.scalar()]

@@ -9,6 +9,7 @@ from ..functions.nulls import as_list, col, is_orderable
 
 HOT_ROWS = 1_000_000  # rows per key from which a key is spread over several tasks
 BROADCAST_ROWS = 100_000  # most hot keys sent to every executor
+SAMPLED_ROWS = 10_000  # rows of a hot key that the sample should still show
 UNMATCHED_SLICES = 4096  # tasks over which rows without a key are spread
 
 
@@ -30,8 +31,7 @@ def spread_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"spread_join does not support {how!r}")
     spark = left.sparkSession
-    counts = (left if measure is None else measure).groupBy(*[col(c) for c in on]).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counts.filter(F.col("_rows") > hot_rows).select(
+    hot = key_counts(left if measure is None else measure, on, hot_rows).filter(F.col("_rows") > hot_rows).select(
         *[col(c) for c in on], F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_slices")
     )
     found = hot.limit(BROADCAST_ROWS + 1).collect()
@@ -51,6 +51,19 @@ def spread_join(
     return sliced.join(copied, [*on, "_slot"], how).drop("_slot")
 
 
+def key_counts(df: DataFrame, on: list[str], hot_rows: int) -> DataFrame:
+    """Rows per key as ``_rows``: exact for small limits, else estimated from a sample.
+
+    The sample only decides how work is cut up, never what the result is. It keeps the
+    shuffle small where most keys are rare.
+    """
+    share = min(1.0, SAMPLED_ROWS / hot_rows)
+    keys = df.select(*[col(c) for c in on])
+    if share < 1.0:
+        keys = keys.sample(share, seed=17)
+    return keys.groupBy(*[col(c) for c in on]).agg((F.count(F.lit(1)) / share).cast("long").alias("_rows"))
+
+
 def _slices():
     return F.coalesce("_slices", F.lit(1)).cast("long")
 

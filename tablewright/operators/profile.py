@@ -79,6 +79,7 @@ class Facts:
     nulls: dict[str, int]
     stats: dict[str, dict[str, float | None]]
     correlations: dict[tuple[str, str], float | None] = field(default_factory=dict)
+    duplicates: dict[str, float | None] | None = None
 
 
 def gather(df: DataFrame, numeric: list[str], with_correlations: bool = False) -> Facts:
@@ -291,8 +292,11 @@ def inspect(df: DataFrame, config: dict | None = None, facts: Facts | None = Non
             {a: {b: facts.correlations[a, b] for b in cols} for a in cols} if wants_corr else {}
         )
     if config.get("include_duplicates", True):
-        row = duplicates(df, method=config.get("duplicate_method", "exact")).first()
-        result["duplicates"] = {k: row[k] for k in ("duplicate_rows", "duplicate_percentage", "unique_rows")}
+        if facts.duplicates is None:
+            facts.duplicates = duplicates(df, method=config.get("duplicate_method", "exact")).first().asDict()
+        result["duplicates"] = {
+            k: facts.duplicates[k] for k in ("duplicate_rows", "duplicate_percentage", "unique_rows")
+        }
     if config.get("include_outliers", False):
         result["outliers"] = {}
         if cols:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.nulls import as_list, col, legacy_type, nan_to_null, require_frame
 from ..functions.predicates import violates, why_invalid
-from .profile import duplicates, percent, rounded
+from .profile import Facts, duplicates, percent, rounded
 
 FAMILIES = ("completeness", "uniqueness", "validity", "consistency", "accuracy")
 
@@ -39,14 +39,20 @@ def _over_exact(limit: float, cells: int = 1) -> Callable[[Column, Column], Colu
     return lambda v, n: ~F.coalesce(F.try_divide(v * F.lit(100.0), n * cells) > limit, F.lit(False))
 
 
-def build_rules(df: DataFrame, rules: dict | None) -> list[Rule]:
-    """Every test that ``rules`` asks of ``df``; conditions that do not resolve carry an error."""
+def build_rules(df: DataFrame, rules: dict | None, facts: Facts | None = None) -> list[Rule]:
+    """Every test that ``rules`` asks of ``df``; conditions that do not resolve carry an error.
+
+    Duplicates already counted in ``facts`` are not counted again.
+    """
     rules = rules or {}
     built: list[Rule] = []
     for family in FAMILIES:
         options = rules.get(family) or {}
         if options.get("enabled", True):
             built += _BUILDERS[family](df, options)
+    if facts is not None and facts.duplicates is not None:
+        known = F.lit(facts.duplicates["duplicate_rows"]).cast("long")
+        built = [replace(r, count=known, distinct=None) if r.name == "duplicate_rows" else r for r in built]
     return built
 
 
@@ -177,12 +183,14 @@ def _result(position: int, rule: Rule, violations: Column, rows: Column) -> Colu
     )
 
 
-def check_quality(df: DataFrame, rules: dict | None = None, duplicate_method: str = "exact") -> dict:
+def check_quality(
+    df: DataFrame, rules: dict | None = None, duplicate_method: str = "exact", facts: Facts | None = None
+) -> dict:
     """Run all families and roll them up into scores and issues."""
     require_frame(df, "check_quality")
     rules = rules or {}
     df = nan_to_null(df)
-    built = build_rules(df, rules)
+    built = build_rules(df, rules, facts)
     try:
         results = _collect(df, built, duplicate_method)
     except PySparkException:

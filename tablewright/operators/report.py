@@ -196,7 +196,7 @@ def analyze(df: DataFrame, config: dict | None = None) -> dict | None:
         inspection_config.get("include_correlations", False),
     )
     inspection = inspect(clean, inspection_config, facts)
-    quality = check_quality(clean, (config.get("quality") or {}).get("quality_rules"))
+    quality = check_quality(clean, (config.get("quality") or {}).get("quality_rules"), facts=facts)
     reporting = config.get("reporting") or {}
     report = build_report(clean, inspection, quality, reporting, facts)
     if config.get("save_report", True) and reporting.get("output_path"):

@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import as_list, col, nulls_last, require_columns, total_order, value_of
 from ..session import freeze
-from .joins import spread_join
+from .joins import key_counts, spread_join
 
 ROW_LIMIT = 10_000_000  # largest group run as a single window
-GROUP_LIMIT_ROWS = 1000  # up to here Spark keeps only the first n rows per task before the shuffle
+GROUP_LIMIT_ROWS = 999  # up to here Spark keeps only the first n rows per task before the shuffle
 
 
-def _largest_group(df: DataFrame, keys: list[str]) -> int:
-    counts = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
+def _fits(df: DataFrame, keys: list[str], row_limit: int) -> bool:
+    """Is the largest group, by count or sample, small enough for a single window?"""
+    return (key_counts(df, keys, row_limit).agg(F.max("_rows")).first()[0] or 0) <= row_limit
 
 
 def _window(keys: list[str], order: list[Column], *extra: str) -> Window:
@@ -82,7 +82,7 @@ def cumulative_sum(
     keys, out = as_list(keys), out or f"{column}_cumsum"
     order = _ordering(df, keys, order_by, ascending)
     value = value_of(df, column)
-    if _largest_group(df, keys) <= row_limit:
+    if _fits(df, keys, row_limit):
         rows = _window(keys, order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.when(value.isNotNull(), F.sum(value).over(rows)))
     sliced = _sliced(df, keys, order, row_limit)
@@ -101,7 +101,7 @@ def row_index(
     """Position of each row within its group, from 1."""
     keys = as_list(keys)
     order = _ordering(df, keys, order_by, ascending)
-    if _largest_group(df, keys) <= row_limit:
+    if _fits(df, keys, row_limit):
         return df.withColumn(out, F.row_number().over(_window(keys, order)).cast("long"))
     return _indexed(df, keys, order, row_limit, out)
 
@@ -119,7 +119,7 @@ def shift(
     """The value ``periods`` rows earlier in the group (later when negative)."""
     keys, out = as_list(keys), out or f"{column}_shift"
     order = _ordering(df, keys, order_by, ascending)
-    if _largest_group(df, keys) <= row_limit:
+    if _fits(df, keys, row_limit):
         return df.withColumn(out, F.lag(value_of(df, column), periods).over(_window(keys, order)))
     # Large groups: number the rows, then look the neighbour up by number; (keys, number) spreads evenly.
     numbered = freeze(_indexed(df, keys, order, row_limit, "_at"), "numbered")
@@ -141,7 +141,7 @@ def average_rank(
     keys, out = as_list(keys), out or f"{column}_rank"
     require_columns(df, [*keys, column], "window")
     value = value_of(df, column)
-    if _largest_group(df, keys) <= row_limit:
+    if _fits(df, keys, row_limit):
         w = Window.partitionBy(*[col(k) for k in keys]).orderBy(value.asc_nulls_last())
         ties = F.count(F.lit(1)).over(Window.partitionBy(*[col(k) for k in keys], value))
         return df.withColumn(out, F.when(value.isNotNull(), F.rank().over(w) + (ties - 1) / F.lit(2.0)))

@@ -40,18 +40,18 @@ def _entries(spark: SparkSession, ledger: str) -> DataFrame:
         raise
 
 
-def unchanged(ledger: str, pipeline: str, config: dict, df: DataFrame) -> bool:
+def unchanged(spark: SparkSession, ledger: str, pipeline: str, config: dict, content: str) -> bool:
     """Was the last successful run of ``pipeline`` made with this configuration and this content?"""
-    own = _entries(df.sparkSession, ledger).filter(F.col("pipeline") == pipeline)
+    own = _entries(spark, ledger).filter(F.col("pipeline") == pipeline)
     last = own.orderBy(F.col("recorded_at").desc()).limit(1).collect()
-    if not last or last[0]["reset"] or last[0]["config_hash"] != config_hash(config):
+    if not last or last[0]["reset"]:
         return False
-    return last[0]["content"] == content_of(df)
+    return (last[0]["config_hash"], last[0]["content"]) == (config_hash(config), content)
 
 
-def record(ledger: str, pipeline: str, config: dict, df: DataFrame) -> None:
-    """Append after a run has succeeded."""
-    _append(df.sparkSession, ledger, (pipeline, config_hash(config), content_of(df), _now(), False))
+def record(spark: SparkSession, ledger: str, pipeline: str, config: dict, content: str) -> None:
+    """Append after a run has succeeded, with the content it was made from."""
+    _append(spark, ledger, (pipeline, config_hash(config), content, _now(), False))
 
 
 def reset(spark: SparkSession, ledger: str, pipeline: str) -> None:

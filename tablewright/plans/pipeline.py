@@ -206,7 +206,8 @@ def run_pipeline(
             pick(registry, config[section], section)  # refuse unknown types before any job
 
     source = extract(spark, config["source"])
-    if ledger and runs.unchanged(ledger, name, config, source):
+    content = runs.content_of(source) if ledger else None
+    if ledger and runs.unchanged(spark, ledger, name, config, content):
         return Run("skipped")
 
     watched: dict[str, Observation] = {}
@@ -227,7 +228,7 @@ def run_pipeline(
     if config.get("load"):
         load(data, config["load"])
     if ledger:
-        runs.record(ledger, name, config, source)
+        runs.record(spark, ledger, name, config, content)
 
     ran = bool(config.get("load") or analytics or kept.get("transform"))
     columns = {"extract": len(source.columns), "transform": len(data.columns)}

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tablewright.functions.aggregates import NAMES
 from tablewright.operators.aggregate import aggregate, distinct_values, summarize
@@ -174,3 +175,15 @@ def test_spread_join_equals_join(spark, how):
     right = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "k long, name string")
     want = sorted(rows(left.join(right, "k", how)), key=str)
     assert sorted(rows(spread_join(left, right, "k", how, hot_rows=30)), key=str) == want
+
+
+def test_large_keys_show_in_the_sample(spark, monkeypatch):
+    from tablewright.operators import joins
+
+    monkeypatch.setattr(joins, "SAMPLED_ROWS", 100)
+    df = spark.range(0, 40_000, numPartitions=4).select(F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("k"))
+    hot = joins.key_counts(df, ["k"], 5000).filter("_rows > 5000").collect()
+    assert [r["k"] for r in hot] == [1] and 15_000 < hot[0]["_rows"] < 25_000
+    right = spark.range(50).select(F.col("id").alias("k"), F.lit("x").alias("x"))
+    want = df.join(right, "k").count()
+    assert spread_join(df, right, "k", hot_rows=5000).count() == want

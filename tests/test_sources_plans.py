@@ -316,7 +316,8 @@ def test_failed_run_is_not_recorded(spark, tmp_path):
     (tmp_path / "out").mkdir()
     with pytest.raises(FileExistsError):
         run_pipeline(spark, config, ledger=runs)
-    assert not ledger.unchanged(runs, "default", config, read_csv(spark, config["source"]["path"]))
+    content = ledger.content_of(read_csv(spark, config["source"]["path"]))
+    assert not ledger.unchanged(spark, runs, "default", config, content)
 
 
 def test_fingerprint_follows_content(spark):
