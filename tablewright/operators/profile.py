@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions.nulls import (
     as_list,
     col,
+    is_orderable,
     legacy_type,
     nan_to_null,
     nulls_last,
@@ -67,6 +68,8 @@ def correlation(a: Column, b: Column) -> Column:
     return F.when(raw > 1, 1.0).when(raw < -1, -1.0).otherwise(raw)
 
 
+DIRECT_ROWS = 5_000_000  # rows compared in full without looking at hashes first
+REPEATED_HASHES = 500_000  # most repeated row hashes sent to every task
 PAIRS_AT_ONCE = 64  # correlations that share one aggregate
 
 
@@ -151,24 +154,47 @@ def _correlate(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     return wide.select(F.inline(F.array(*rows)))
 
 
-def duplicates(df: DataFrame, subset: list[str] | None = None, method: str = "exact") -> DataFrame:
+def duplicates(
+    df: DataFrame,
+    subset: list[str] | None = None,
+    method: str = "exact",
+    hash_limit: int = REPEATED_HASHES,
+    direct_rows: int = DIRECT_ROWS,
+) -> DataFrame:
     """rows, duplicate_rows (beyond the first copy), duplicate_percentage, unique_rows: one row.
 
-    Copies are counted before the shuffle, so a heavily repeated row costs one entry per
-    task. ``method="fingerprint"`` shuffles a 256-bit digest instead of the whole row.
+    ``exact`` compares whole rows up to ``direct_rows``; above, it first counts 64-bit row hashes. Only rows whose hash repeats can be copies; while
+    those hashes are few they are sent to every task and just these rows are compared in full,
+    else all rows are. ``fingerprint`` counts 256-bit digests and compares no rows. Copies are
+    counted before each shuffle, so a heavily repeated row costs one entry per task.
     """
     if method not in ("exact", "fingerprint"):
         raise ValueError(f"method must be 'exact' or 'fingerprint', got {method!r}")
-    names = subset or df.columns
-    values = [value_of(df, c).alias(f"c{i}") for i, c in enumerate(names)]
+    names = [f"c{i}" for i in range(len(subset or df.columns))]
+    rows = df.select(*[value_of(df, c).alias(n) for c, n in zip(subset or df.columns, names)])
     if method == "fingerprint":
-        # A struct prints every field and tells a missing one from text; lengths keep fields apart.
-        text = F.to_json(F.struct(*values), {"ignoreNullFields": "false"})
-        grouped = df.groupBy(F.sha2(text, 256).alias("d"))
-    else:
-        grouped = df.select(*values).groupBy(*[f"c{i}" for i in range(len(names))])
-    per_row = grouped.agg(F.count(F.lit(1)).alias("n"))
-    totals = per_row.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("unique_rows"))
+        # A struct prints every field and tells a missing one from text.
+        text = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+        return _copies(rows.groupBy(F.sha2(text, 256).alias("d")))
+    hashable = all(is_orderable(f.dataType) for f in rows.schema.fields)
+    if len(names) == 1 or not hashable or df.count() <= direct_rows:
+        return _copies(rows.groupBy(*names))
+
+    hashed = rows.select("*", F.xxhash64(*names).alias("h"))
+    hashes = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    found = hashes.agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("n") > 1).alias("repeated")).first()
+    if found["repeated"] > hash_limit:
+        return _copies(rows.groupBy(*names))
+    suspects = hashed.join(F.broadcast(hashes.filter("n > 1").select("h")), "h", "left_semi")
+    settled = found["all"] - found["repeated"]  # rows whose hash no other row has
+    return _copies(suspects.groupBy(*names), settled)
+
+
+def _copies(grouped, settled: int = 0) -> DataFrame:
+    totals = grouped.agg(F.count(F.lit(1)).alias("n")).agg(
+        (F.coalesce(F.sum("n"), F.lit(0)) + settled).alias("rows"),
+        (F.count(F.lit(1)) + settled).alias("unique_rows"),
+    )
     repeated = F.col("rows") - F.col("unique_rows")
     return totals.select(
         "rows",
