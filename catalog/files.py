@@ -81,7 +81,8 @@ def stream_distinct(t):
     stream = _event_stream(t).select("ts", "user_id", "event_type")
     unique = clean_stream(stream, {"dedup_cols": ["user_id", "event_type"]}, event_time="ts", delay="3650 days")
     uri = scratch_uri(t.spark, "stream")
-    write_append(unique.select("user_id", "event_type"), uri).awaitTermination()
+    stores = t.spark.sparkContext.defaultParallelism
+    write_append(unique.select("user_id", "event_type"), uri, state_partitions=stores).awaitTermination()
     return t.spark.read.parquet(uri)
 
 

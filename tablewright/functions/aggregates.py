@@ -84,6 +84,8 @@ def measures(
             raise ValueError(f"'{func}' needs label, the column that names a row")
         if not isinstance(df.schema[name].dataType, T.NumericType):
             raise ValueError(f"'{func}' needs a numeric column, '{name}' is not")
+        if isinstance(df.schema[name].dataType, T.IntegralType):
+            c = c.cast("decimal(20,0)")  # room for the opposite of the smallest bigint
         # Ties go to the smallest label.
         place = F.struct(c if func == "idxmin" else -c, col(label))
         return [F.min_by(col(label), F.when(c.isNotNull(), place)).alias(out)]

@@ -42,7 +42,7 @@ def spread_join(
     # Partition id and row content are the same when a task is run again, and copies of one
     # row that sit in different partitions still get different slices.
     content = [col(f.name) for f in left.schema.fields if is_orderable(f.dataType)]
-    sliced = left.withColumn("_seed", F.xxhash64(*content) + F.spark_partition_id()).join(hot, on, "left")
+    sliced = left.withColumn("_seed", F.xxhash64(*content, F.spark_partition_id())).join(hot, on, "left")
     # A missing key matches nothing, so its rows may go anywhere.
     slices = F.when(_known(on), _slices()).otherwise(UNMATCHED_SLICES)
     sliced = sliced.withColumn("_slot", F.pmod("_seed", slices)).drop("_seed", "_slices")

@@ -43,9 +43,9 @@ def read_csv(
     """
     if not path:
         raise ValueError("CSV source requires 'path'")
-    if header not in (0, True, None, False):
+    if not (header is None or isinstance(header, bool) or header == 0):
         raise ValueError("only the first line can be a header")
-    has_header = header is True or (header == 0 and header is not False)
+    has_header = header is not None and header is not False
     reader = (
         spark.read.option("header", has_header)
         .option("sep", sep)

@@ -58,8 +58,8 @@ def clean_stream(
         df = df.withWatermark(event_time, delay)
         subset = as_list(config.get("dedup_cols")) or df.columns
         if slices > 1:
-            content = F.xxhash64(*[col(f.name) for f in df.schema.fields if is_orderable(f.dataType)])
-            df = df.withColumn("_slice", F.pmod(content + F.spark_partition_id(), F.lit(slices)))
+            content = [col(f.name) for f in df.schema.fields if is_orderable(f.dataType)]
+            df = df.withColumn("_slice", F.pmod(F.xxhash64(*content, F.spark_partition_id()), F.lit(slices)))
             df = df.dropDuplicatesWithinWatermark([*subset, "_slice"]).drop("_slice")
         df = df.dropDuplicatesWithinWatermark(subset)
     strategy = config.get("missing_strategy", "drop")
@@ -115,12 +115,35 @@ def write_quarantine(
     return _start(df.writeStream.foreachBatch(write), df, checkpoint, once)
 
 
-def write_append(df: DataFrame, uri: str, checkpoint: str | None = None, once: bool = True) -> StreamingQuery:
-    """Append a stream to Parquet files, each row exactly once."""
-    return _start(df.writeStream.format("parquet").option("path", uri).outputMode("append"), df, checkpoint, once)
+def write_append(
+    df: DataFrame,
+    uri: str,
+    checkpoint: str | None = None,
+    once: bool = True,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Append a stream to Parquet files, each row exactly once.
+
+    ``state_partitions`` sets the number of state stores of stateful steps, which a stream
+    keeps from its first start on; the default is the session's shuffle partitions.
+    """
+    writer = df.writeStream.format("parquet").option("path", uri).outputMode("append")
+    return _start(writer, df, checkpoint, once, state_partitions)
 
 
-def _start(writer, df: DataFrame, checkpoint: str | None, once: bool) -> StreamingQuery:
-    location = checkpoint or scratch_uri(df.sparkSession, "stream-progress")
+def _start(
+    writer, df: DataFrame, checkpoint: str | None, once: bool, state_partitions: int | None = None
+) -> StreamingQuery:
+    spark = df.sparkSession
+    location = checkpoint or scratch_uri(spark, "stream-progress")
     writer = writer.option("checkpointLocation", location)
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    if once:
+        writer = writer.trigger(availableNow=True)
+    if state_partitions is None:
+        return writer.start()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", state_partitions)
+    try:
+        return writer.start()  # a stream takes its own copy of the settings when it starts
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -94,6 +94,11 @@ def test_labels_and_ohlc(spark):
     assert got == [("a", 4, 2, 2.0, 5.0, 1.0, 1.0), ("b", None, None, None, None, None, None)]
 
 
+def test_extreme_integers(spark):
+    df = spark.createDataFrame([("a", -(2**63), 1), ("a", 2**63 - 1, 2), ("a", 0, 3)], "k string, v long, i long")
+    assert rows(aggregate(df, "k", {"v": ["idxmin", "idxmax"]}, label="i")) == [("a", 1, 2)]
+
+
 def test_unique_is_guarded(spark):
     df = spark.createDataFrame([("a", i) for i in range(10)], "k string, v long")
     assert rows(aggregate(df, "k", {"v": "unique"})) == [("a", list(range(10)))]
