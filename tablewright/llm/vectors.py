@@ -85,6 +85,7 @@ def build_graph(x: np.ndarray, seed: int = 5) -> list[np.ndarray]:
         return [np.zeros(0, np.int64) for _ in range(n)]
     rng = np.random.default_rng(seed)
     lists: list[set[int]] = [set() for _ in range(n)]
+    first_choice: list[list[int]] = [[] for _ in range(n)]
     for first in range(0, n, 256):
         similar = x[first : first + 256] @ x.T
         similar[np.arange(len(similar)), np.arange(first, first + len(similar))] = -2
@@ -95,7 +96,9 @@ def build_graph(x: np.ndarray, seed: int = 5) -> list[np.ndarray]:
             candidates = np.union1d(candidates, rng.integers(0, n, 8))
             candidates = candidates[candidates != i]
             own = x[candidates]
-            for j in _prune(candidates, 1 - own @ x[i], 1 - own @ own.T):
+            chosen = _prune(candidates, 1 - own @ x[i], 1 - own @ own.T)
+            first_choice[i] = chosen[:2]
+            for j in chosen:
                 lists[i].add(j)
                 lists[j].add(i)
     for i, neighbours in enumerate(lists):
@@ -103,6 +106,9 @@ def build_graph(x: np.ndarray, seed: int = 5) -> list[np.ndarray]:
             candidates = np.array(sorted(neighbours))
             own = x[candidates]
             lists[i] = set(_prune(candidates, 1 - own @ x[i], 1 - own @ own.T))
+    for i, chosen in enumerate(first_choice):  # no node is left without a way to it
+        for j in chosen:
+            lists[j].add(i)
     return [np.array(sorted(s), np.int64) for s in lists]
 
 
