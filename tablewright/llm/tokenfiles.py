@@ -10,11 +10,13 @@ each other without gaps; only the last row and batch of a file are filled up wit
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from ..session import scratch_uri
+from .bpe import byte_symbols
 from .common import column, partitions, read_file, send, slices, text_of
 
 LENGTH = 2048  # ids of a sequence
@@ -33,9 +36,20 @@ KEPT_PIECES = 400_000  # encoded pieces a worker keeps
 
 # White space as the splitting pattern of byte-level vocabularies sees it (Unicode White_Space).
 SPACE = "".join(map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
-# A word with the space before it, or a run of white space up to its last character, or one such
-# character. The pattern of the vocabulary never joins characters of two such pieces.
-PIECES = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+# A Latin word with the space before it, and marks after such a word, where white space or the end comes
+# next; else all up to the next white space; else a run of white space up to its last character, or one
+# such character. The pattern of the vocabulary never joins characters of two such pieces.
+MARKS = "[.,;:!?]+"
+PIECES = re.compile(f" ?[{LETTERS}]+(?={MARKS}(?:[{SPACE}]|\\Z)|[{SPACE}]|\\Z)|{MARKS}(?=[{SPACE}]|\\Z)| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+LATIN = re.compile(f" ?[{LETTERS}]+")  # one word for the vocabulary's pattern, too
+
+
+class _Known(dict):
+    """Numbers of pieces; -1 for an unknown one."""
+
+    def __missing__(self, piece: str) -> int:
+        return -1
 
 
 class Encoder:
@@ -45,37 +59,46 @@ class Encoder:
         self.library = tokenizers.Tokenizer.from_str(content.decode())
         self.library.no_truncation()
         self.library.no_padding()
+        file = json.loads(content)
+        level = file["pre_tokenizer"] or {}
+        if file["normalizer"] or level.get("type") != "ByteLevel" or level["add_prefix_space"] or not level["use_regex"]:
+            raise ValueError("only byte-level vocabularies without normaliser are supported")
         added = self.library.get_added_tokens_decoder()
         if any(t.single_word or t.lstrip or t.rstrip for t in added.values()):
             raise ValueError("special tokens that take white space with them are not supported")
         self.special = {t.content: i for i, t in added.items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.dtype = np.uint16 if self.library.get_vocab_size() <= 1 << 16 else np.uint32
+        self.symbols = dict(enumerate(byte_symbols()[:128])) | {i: "".join(map(byte_symbols().__getitem__, chr(i).encode())) for i in range(128, 256)}
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.starts, self.sizes = np.zeros(1 << 16, self.dtype), np.zeros(KEPT_PIECES * 2, np.int64), np.zeros(KEPT_PIECES * 2, np.int32)
+        self.known = _Known()
+        self.flat, self.starts, self.sizes = np.zeros(1 << 16, self.dtype), np.zeros(KEPT_PIECES, np.int64), np.zeros(KEPT_PIECES, np.int64)
         self.filled = 0
 
+    def _ids(self, pieces: list[str]) -> list[list[int]]:
+        """A Latin word goes to the model at once; other pieces are split by the library first."""
+        whole, model, symbols = LATIN.fullmatch, self.library.model, self.symbols
+        found = [[t.id for t in model.tokenize(p.translate(symbols))] if whole(p) else None for p in pieces]
+        others = [i for i, ids in enumerate(found) if ids is None]
+        for i, e in zip(others, self.library.encode_batch_fast([pieces[i] for i in others], add_special_tokens=False)):
+            found[i] = e.ids
+        return found
+
     def _learn(self, pieces: list[str]) -> None:
-        if len(self.known) + len(pieces) > KEPT_PIECES:
-            self._forget()
-        while len(self.known) + len(pieces) > len(self.starts):
+        found = self._ids(pieces)
+        at, sizes = len(self.known), np.fromiter(map(len, found), np.int64, len(found))
+        total = int(sizes.sum())
+        while self.filled + total > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        while at + len(pieces) > len(self.starts):
             self.starts, self.sizes = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.sizes, 2 * len(self.sizes))
-        for first in range(0, len(pieces), 4096):
-            part = pieces[first : first + 4096]
-            found = [e.ids for e in self.library.encode_batch_fast(part, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int32, len(found))
-            total = int(sizes.sum())
-            while self.filled + total > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat))
-            self.flat[self.filled : self.filled + total] = np.fromiter((i for ids in found for i in ids), self.dtype, total)
-            at = len(self.known)
-            self.starts[at : at + len(part)] = self.filled + np.cumsum(sizes) - sizes
-            self.sizes[at : at + len(part)] = sizes
-            self.known.update(zip(part, range(at, at + len(part))))
-            self.filled += total
+        self.flat[self.filled : self.filled + total] = np.fromiter(chain.from_iterable(found), self.dtype, total)
+        self.starts[at : at + len(pieces)] = self.filled + np.cumsum(sizes) - sizes
+        self.sizes[at : at + len(pieces)] = sizes
+        self.known.update(zip(pieces, range(at, at + len(pieces))))
+        self.filled += total
 
     def _pieces(self, text: str) -> list[str]:
         if self.cut and self.cut.search(text):
@@ -84,20 +107,26 @@ class Encoder:
 
     def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in one array, ``end`` after each text, and the number of each text's ids."""
-        split = [self._pieces(t) for t in texts]
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        pieces = [p for s in split for p in s]
-        if new := set(pieces).difference(self.known):
-            self._learn(sorted(new))
-            if missing := set(pieces).difference(self.known):  # the table was emptied on the way
-                self._learn(sorted(missing))
+        if len(self.known) > KEPT_PIECES:
+            self._forget()
+        pieces: list[str] = []
+        counts = []
+        for text in texts:
+            pieces += self._pieces(text)
+            counts.append(len(pieces))
         at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        sizes = self.sizes[at].astype(np.int64)
-        stops = np.cumsum(sizes)
-        per_text = np.diff(np.concatenate([[0], stops])[np.concatenate([[0], np.cumsum(counts)])])
-        total = int(stops[-1]) if len(stops) else 0
-        ids = self.flat[np.repeat(self.starts[at] - (stops - sizes), sizes) + np.arange(total)]
-        return np.insert(ids, np.cumsum(per_text), end), per_text + 1
+        if len(unknown := np.flatnonzero(at < 0)):
+            new = [pieces[i] for i in unknown]
+            self._learn(list(dict.fromkeys(new)))
+            at[unknown] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
+        stops = np.concatenate([[0], np.cumsum(self.sizes[at])])
+        ends = stops[counts] + np.arange(1, len(texts) + 1)  # of the texts, with their end ids
+        sizes = self.sizes[at]
+        out = np.full(int(ends[-1]) if len(texts) else 0, end, self.dtype)
+        inner = np.ones(len(out), bool)
+        inner[ends - 1] = False
+        out[inner] = self.flat[np.repeat(self.starts[at] - stops[:-1], sizes) + np.arange(stops[-1])]
+        return out, np.diff(ends, prepend=0)
 
 
 class Writer:
