@@ -187,3 +187,10 @@ def group_row_index(t):
     return row_index(rows, "l_returnflag", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]).drop(
         "l_returnflag"
     )
+
+
+@query("""SELECT o_orderstatus, count(*) FILTER (WHERE o_totalprice > 100000) AS dear_sum,
+    round(avg((o_totalprice > 100000)::INT), 6) AS dear_mean FROM orders GROUP BY 1""")
+def agg_boolean(t):
+    rows = t.orders.select("o_orderstatus", (F.col("o_totalprice") > 100000).alias("dear"))
+    return aggregate(rows, "o_orderstatus", {"dear": ["sum", "mean"]}).withColumn("dear_mean", F.round("dear_mean", 6))

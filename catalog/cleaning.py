@@ -1,5 +1,7 @@
 from pyspark.sql import functions as F
 
+from tablewright.operators.sqlops import sql_transform
+from tablewright.operators.windows import group_head
 from tablewright.operators.clean import (
     clean,
     convert_types,
@@ -30,9 +32,53 @@ GAPPY = """(SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status,
     CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS price FROM orders)"""
 
 
-@query("SELECT DISTINCT lang, source FROM documents")
+@query("SELECT * FROM documents")
 def dedup_full(t):
-    return dedup(t.documents.select("lang", "source"))
+    """Every row twice, all columns."""
+    return dedup(t.documents.unionByName(t.documents))
+
+
+# NaN stands for missing: planted in every seventh row.
+NAN_EVENTS = "(SELECT event_id, user_id, CASE WHEN event_id % 7 <> 0 THEN value END AS value FROM events)"
+
+
+def _nan_events(t):
+    planted = F.when(F.col("event_id") % 7 != 0, F.col("value")).otherwise(F.when(F.col("event_id") % 2 == 0, float("nan")))
+    return t.events.select("event_id", "user_id", planted.alias("value"))
+
+
+@query(f"SELECT DISTINCT user_id, value FROM {NAN_EVENTS} WHERE value > 20")
+def dedup_filter_nan(t):
+    return dedup_and_filter(_nan_events(t).select("user_id", "value"), {"filter_expr": "value > 20"})
+
+
+@query(f"SELECT DISTINCT user_id, value FROM {NAN_EVENTS}")
+def dedup_nan(t):
+    return dedup(_nan_events(t).select("user_id", "value"))
+
+
+@query(f"SELECT user_id, count(value) AS n, round(sum(value), 4) AS total FROM {NAN_EVENTS} GROUP BY user_id")
+def sql_nan_is_null(t):
+    return sql_transform(_nan_events(t), "SELECT user_id, count(value) AS n, round(sum(value), 4) AS total FROM source_data GROUP BY user_id")
+
+
+@query(f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id
+    ORDER BY value DESC NULLS LAST, event_id) AS rn FROM {NAN_EVENTS}) WHERE rn <= 2""")
+def group_head_nan(t):
+    return group_head(_nan_events(t), "user_id", "value", 2, ascending=False)
+
+
+@query("SELECT event_id, value FROM events WHERE CASE WHEN event_id % 5 <> 0 THEN value / (event_id % 5) > 3 ELSE false END")
+def filter_zero_divisor(t):
+    return filter_rows(t.events.select("event_id", "value"), "value / (event_id % 5) > 3")
+
+
+@query("SELECT event_id, event_type FROM events")
+def clean_skips_unlike_filter(t):
+    """A text column taken for a number: the filter is left out and reported."""
+    skipped: list[str] = []
+    rows = clean(t.events.select("event_id", "event_type"), {"filter_expr": "event_type > 5"}, skipped=skipped)
+    return rows.filter(F.lit(len(skipped) == 1))
 
 
 @query("SELECT DISTINCT text, lang FROM documents")

@@ -31,11 +31,21 @@ def roundtrip_csv_text(t):
     return read_csv(t.spark, uri, schema="conv_id bigint, turn bigint, role string, text string", multi_line=True)
 
 
-@query("SELECT event_id, user_id, event_type, value, props FROM events")
+@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') AS ts, user_id, event_type, value, props FROM events")
 def roundtrip_json(t):
     uri = scratch_uri(t.spark, "events") + ".json"
-    write_object(t.events.drop("ts"), uri)
-    return read_object(t.spark, uri, json_lines=True).select("event_id", "user_id", "event_type", "value", "props")
+    write_object(t.events.withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS")), uri)
+    return read_object(t.spark, uri).select("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+@query("SELECT conv_id, turn, role, text FROM conversations")
+def roundtrip_csv_pipeline(t):
+    """Quoted line breaks through a configured run."""
+    first, second = (scratch_uri(t.spark, "conversations") + ".csv" for _ in range(2))
+    write_csv(t.conversations, first)
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    run_pipeline(t.spark, {"source": {"type": "csv", "path": first, "schema": schema}, "load": {"type": "csv", "path": second}})
+    return read_csv(t.spark, second, schema=schema, multi_line=True)
 
 
 @query("SELECT * FROM orders")
@@ -73,7 +83,7 @@ def stream_cleaned_rows(t):
     cleaned = clean_stream(stream, {"remove_duplicates": False, "filter_expr": "value > 10"})
     uri = scratch_uri(t.spark, "stream")
     write_append(cleaned, uri).awaitTermination()
-    return t.spark.read.parquet(uri)
+    return t.spark.read.parquet(uri).drop("batch")
 
 
 @query("SELECT DISTINCT user_id, event_type FROM events")
@@ -83,7 +93,20 @@ def stream_distinct(t):
     uri = scratch_uri(t.spark, "stream")
     stores = t.spark.sparkContext.defaultParallelism
     write_append(unique.select("user_id", "event_type"), uri, state_partitions=stores).awaitTermination()
-    return t.spark.read.parquet(uri)
+    return t.spark.read.parquet(uri).drop("batch")
+
+
+@query("SELECT event_id, value FROM events UNION ALL SELECT o_orderkey, o_totalprice FROM orders")
+def stream_two_runs(t):
+    """Two starts from two folders into one sink: the second goes on after the first."""
+    uri = scratch_uri(t.spark, "stream")
+    rows = [t.events.select("event_id", "value"), t.orders.select(F.col("o_orderkey").alias("event_id"), F.col("o_totalprice").alias("value"))]
+    for frame in rows:
+        folder = scratch_uri(t.spark, "incoming")
+        frame.repartition(3).write.parquet(folder)
+        stream = read_stream(t.spark, folder, "event_id bigint, value double", max_files=1)
+        write_append(stream, uri, name=folder.rsplit("-", 1)[-1]).awaitTermination()
+    return t.spark.read.parquet(uri).drop("batch")
 
 
 @query("""WITH q AS (SELECT quantile_cont(value, 0.25) AS a, quantile_cont(value, 0.75) AS b FROM events)

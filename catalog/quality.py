@@ -103,3 +103,28 @@ def violations_by_row(t):
     AND (status = 'O' OR o_totalprice < 200000) AND o_orderdate >= '1995-01-01' AND o_orderdate <= '2000-12-31'""")
 def rows_without_violations(t):
     return split_violations(_orders(t), RULES)[0]
+
+
+@query("""WITH e AS (SELECT event_id % 4 AS d, value, event_type FROM events)
+    SELECT 'condition' AS rule, 'ratio' AS target, count(*) FILTER (WHERE d = 0 OR NOT coalesce(value / d > 1, false)) AS violations FROM e
+    UNION ALL SELECT 'allowed_values', 'd', count(*) FILTER (WHERE d NOT IN (1, 2)) FROM e
+    UNION ALL SELECT 'allowed_values', 'event_type', count(*) FILTER (WHERE event_type IS DISTINCT FROM 'click') FROM e""")
+def quality_rules_zero_divisor(t):
+    """A division by zero violates its row only; allowed values of another type match nothing."""
+    rules = {
+        "completeness": {"enabled": False},
+        "uniqueness": {"enabled": False},
+        "validity": {"column_rules": {"d": {"allowed_values": [1, 2, "many"]}, "event_type": {"allowed_values": ["click", 3]}}},
+        "consistency": {"cross_column_rules": [{"name": "ratio", "columns": ["value", "d"], "condition": "value / d > 1"}]},
+    }
+    events = t.events.select((F.col("event_id") % 4).alias("d"), "value", "event_type")
+    return quality_table(events, rules).select("rule", "target", "violations")
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 4 = 0 OR NOT coalesce(value / (event_id % 4) > 1, false) THEN 'ratio' ELSE '' END AS rules
+    FROM events""")
+def quarantine_zero_divisor(t):
+    rules = {"accuracy": {"business_rules": [{"name": "ratio", "condition": "value / (event_id % 4) > 1"}]}}
+    good, bad = split_violations(t.events.select("event_id", "value"), rules)
+    marked = bad.select("event_id", F.array_join("violated_rules", "|").alias("rules"))
+    return good.select("event_id", F.lit("").alias("rules")).unionByName(marked)

@@ -40,6 +40,7 @@ SIMPLE = {
     "size": lambda c: F.count(F.lit(1)),
     "skew": lambda c: _skew(c.cast("double")),
 }
+COUNTED = ("sum", "mean", "std", "var", "sem", "prod", "skew")
 TRUTH = {
     "any": lambda c: F.coalesce(F.bool_or(c), F.lit(False)),
     "all": lambda c: F.coalesce(F.bool_and(c), F.lit(True)),
@@ -61,6 +62,8 @@ def measures(
 ) -> list[Column]:
     """The aggregate columns of one (column, function) request, quantiles excepted."""
     c = value_of(df, name)
+    if func in COUNTED and isinstance(df.schema[name].dataType, T.BooleanType):
+        c = c.cast("int")  # true counts as one
     if func in SIMPLE:
         return [SIMPLE[func](c).alias(out)]
     if func in TRUTH:

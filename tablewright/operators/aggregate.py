@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import NESTED, QUANTILES, approx_quantiles, check_name, measures
-from ..functions.nulls import as_list, col, nulls_last, numeric_columns, require_columns, require_frame, value_of
+from ..functions.nulls import as_list, col, nan_to_null, nulls_last, numeric_columns, require_columns, require_frame, value_of
 from ..functions.predicates import condition
 from ..functions.quantiles import ROW_LIMIT, quantile_frame, quantile_values
 
@@ -49,6 +49,7 @@ def aggregate(
     require_columns(df, keys, "Group by")
     require_columns(df, list(aggregations), "Aggregated")
     requests = _requests(aggregations, naming)
+    df = nan_to_null(df)
 
     if dropna:
         for k in keys:

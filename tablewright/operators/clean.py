@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import re
 
 from pyspark.errors import AnalysisException
@@ -13,6 +14,7 @@ from ..functions.nulls import (
     CAST_TARGETS,
     as_list,
     col,
+    is_orderable,
     nan_to_null,
     nulls_last,
     numeric_columns,
@@ -22,10 +24,12 @@ from ..functions.nulls import (
     total_order,
     value_of,
 )
-from ..functions.predicates import condition
+from ..functions.predicates import compares_unlike, condition, lenient, tells_missing
 from ..functions.quantiles import approx_values, quantile_values
 from ..session import freeze
 
+log = logging.getLogger(__name__)
+
 
 def dedup(df: DataFrame, subset: list[str] | str | None = None, order_by: list[str] | str | None = None) -> DataFrame:
     """Drop repeated rows, or keep the first row per ``subset``.
@@ -35,6 +39,7 @@ def dedup(df: DataFrame, subset: list[str] | str | None = None, order_by: list[s
     the shuffle, so a key holding much of the table costs no more than any other.
     """
     subset = as_list(subset)
+    df = nan_to_null(df)
     if not subset:
         return df.dropDuplicates()
     require_columns(df, subset + as_list(order_by), "dedup")
@@ -94,6 +99,7 @@ def fill_mode(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     if cols is None:
         numeric = set(numeric_columns(df))
         cols = [c for c in df.columns if c not in numeric]
+    cols = [c for c in cols if is_orderable(df.schema[c].dataType)]  # maps have no most frequent value
     if not cols:
         return df
     gaps = df.agg(*[F.count_if(value_of(df, c).isNull()).alias(f"g{i}") for i, c in enumerate(cols)]).first()
@@ -108,18 +114,39 @@ def fill_mode(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.withColumns(fills) if fills else df
 
 
-def filter_rows(df: DataFrame, cond: str | Column, on_error: str = "raise") -> DataFrame:
-    """Keep rows where ``cond`` is true; ``on_error="skip"`` ignores a condition that does not resolve."""
+def filter_rows(df: DataFrame, cond: str | Column, on_error: str = "raise", skipped: list[str] | None = None) -> DataFrame:
+    """Keep rows where ``cond`` is true. Where it has no result, as after a division by zero, it is not.
+
+    NaN is missing in a condition given as text; a Column is taken as it is. ``on_error="skip"`` leaves
+    out a condition that does not resolve or that takes text cells for numbers, logs it and adds it to
+    ``skipped``.
+    """
     if on_error not in ("raise", "skip"):
         raise ValueError("on_error must be 'raise' or 'skip'")
+    raw = df
+    if isinstance(cond, str):
+        df = nan_to_null(df)
     try:
-        kept = df.filter(condition(cond))
-        kept.schema
+        if on_error == "skip" and (unlike := compares_unlike(df, cond)):
+            return _skip(df, "filter", cond, unlike, skipped)
+        with lenient(df.sparkSession):
+            if isinstance(cond, str) and not tells_missing(cond):
+                df = nan_to_null(raw.filter(condition(cond)))  # drops NaN rows too few, and reaches the scan
+            kept = df.filter(condition(cond))
+            kept.schema
         return kept
-    except AnalysisException:
+    except AnalysisException as error:
         if on_error == "raise":
             raise
-        return df
+        return _skip(df, "filter", cond, error, skipped)
+
+
+def _skip(df: DataFrame, step: str, what, why, skipped: list[str] | None) -> DataFrame:
+    reason = str(why).split("\n")[0]
+    log.warning("%s %s was skipped: %s", step, what, reason)
+    if skipped is not None:
+        skipped.append(f"{step} {what}: {reason}")
+    return df
 
 
 def standard_name(name: str) -> str:
@@ -134,8 +161,8 @@ def standardize_columns(df: DataFrame) -> DataFrame:
     return df if names == df.columns else df.toDF(*names)
 
 
-def convert_types(df: DataFrame, conversions: dict[str, str]) -> DataFrame:
-    """Cast each listed column whose every value converts; leave the others as they are.
+def convert_types(df: DataFrame, conversions: dict[str, str], skipped: list[str] | None = None) -> DataFrame:
+    """Cast each listed column whose every value converts; leave the others as they are, and name them in ``skipped``.
 
     One aggregate counts the failures of all columns.
     """
@@ -146,14 +173,17 @@ def convert_types(df: DataFrame, conversions: dict[str, str]) -> DataFrame:
             attempt = value_of(df, c).try_cast(t)
             df.select(attempt).schema
             casts[c] = attempt
-        except AnalysisException:
-            continue  # no such type, or no cast between the two types
+        except AnalysisException as error:  # no such type, or no cast between the two types
+            _skip(df, "conversion", c, error, skipped)
     if not casts:
         return df
     failures = df.agg(
         *[F.count_if(value_of(df, c).isNotNull() & a.isNull()).alias(f"f{i}") for i, (c, a) in enumerate(casts.items())]
     ).first()
     good = {c: a for i, (c, a) in enumerate(casts.items()) if failures[f"f{i}"] == 0}
+    for i, c in enumerate(casts):
+        if failures[f"f{i}"]:
+            _skip(df, "conversion", c, f"{failures[f'f{i}']} values do not convert to {targets[c]}", skipped)
     return df.withColumns(good) if good else df
 
 
@@ -190,12 +220,18 @@ def _quartiles(method: str):
     return quantile_values if method == "exact" else approx_values
 
 
-def clean(df: DataFrame, config: dict | None = None, metrics: dict[str, Observation] | None = None) -> DataFrame:
+def clean(
+    df: DataFrame,
+    config: dict | None = None,
+    metrics: dict[str, Observation] | None = None,
+    skipped: list[str] | None = None,
+) -> DataFrame:
     """The cleaning steps in their fixed order: duplicates, missing values, filter, names, types, outliers.
 
     Conditions, fill values and ``dedup_cols`` use the raw column names; ``dtype_conversions``
     and ``outlier_cols`` the standardised ones. ``metrics`` receives row counts that are
-    filled in by the first action on the result, without a job of their own.
+    filled in by the first action on the result, without a job of their own. Filters and conversions
+    that cannot be carried out are left out, logged, and added to ``skipped``.
     """
     require_frame(df, "clean")
     config = config or {}
@@ -221,14 +257,14 @@ def clean(df: DataFrame, config: dict | None = None, metrics: dict[str, Observat
             df = fill_mode(fill_mean(df), others)
 
     if config.get("filter_expr") is not None and config.get("filter_expr") != "":
-        df = filter_rows(df, config["filter_expr"], on_error="skip")
+        df = filter_rows(df, config["filter_expr"], on_error="skip", skipped=skipped)
     if config.get("standardize_columns", True):
         df = standardize_columns(df)
 
     if repeated and (conversions or outliers):
         df = freeze(df, "clean")
     if conversions:
-        df = convert_types(df, conversions)
+        df = convert_types(df, conversions, skipped)
     if outliers:
         df = remove_outliers(
             df,
@@ -250,6 +286,7 @@ def _watched(df: DataFrame, metrics: dict | None, name: str) -> DataFrame:
 def dedup_and_filter(df: DataFrame, rules: dict) -> DataFrame:
     """Standalone duplicates-then-filter step; a bad filter raises here."""
     require_frame(df, "dedup_and_filter")
+    df = nan_to_null(df)
     df = dedup(df, rules.get("dedup_cols"), rules.get("order_by"))
     cond = rules.get("filter_expr")
     return df if cond is None or cond == "" else filter_rows(df, cond, on_error="raise")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
+from decimal import Decimal
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.nulls import as_list, col, legacy_type, nan_to_null, require_frame
-from ..functions.predicates import violates, why_invalid
+from ..functions.predicates import lenient, violates, why_invalid
 from .profile import Facts, duplicates, percent, rounded
 
 FAMILIES = ("completeness", "uniqueness", "validity", "consistency", "accuracy")
@@ -101,7 +102,7 @@ def _validity(df: DataFrame, options: dict) -> list[Rule]:
         if rule.get("max_value") is not None:
             built.append(Rule("validity", "max_value", c, row=F.coalesce(number > rule["max_value"], F.lit(False))))
         if rule.get("allowed_values"):
-            known = [v for v in rule["allowed_values"] if v is not None]
+            known = [v for v in rule["allowed_values"] if v is not None and _of_kind(v, data_type)]
             bad = ~F.coalesce(col(c).isin(known), F.lit(False))
             if None in rule["allowed_values"]:
                 bad = bad & col(c).isNotNull()
@@ -109,6 +110,18 @@ def _validity(df: DataFrame, options: dict) -> list[Rule]:
     return built
 
 
+def _of_kind(value, data_type: T.DataType) -> bool:
+    """Can a cell of this type equal the value? Numbers equal numbers only, text equals text only."""
+    number = isinstance(value, (int, float, Decimal)) and not isinstance(value, bool)
+    if isinstance(data_type, T.NumericType):
+        return number
+    if isinstance(data_type, T.BooleanType):
+        return isinstance(value, bool)
+    if isinstance(data_type, T.StringType):
+        return isinstance(value, str)
+    return not number and not isinstance(value, bool)
+
+
 def _conditions(family: str, key: str, least_columns: int) -> Callable[[DataFrame, dict], list[Rule]]:
     def build(df: DataFrame, options: dict) -> list[Rule]:
         built = []
@@ -151,7 +164,8 @@ def _evaluate(df: DataFrame, built: list[Rule], duplicate_method: str) -> DataFr
             (F.count_if(r.row) if r.row is not None else r.count if r.count is not None else F.lit(None).cast("long"))
             for _, r in counted
         ]
-        wide = df.agg(F.count(F.lit(1)).alias("n"), *[c.alias(f"v{i}") for i, c in enumerate(counts)])
+        with lenient(df.sparkSession):  # a condition without a result on a row is violated there
+            wide = df.agg(F.count(F.lit(1)).alias("n"), *[c.alias(f"v{i}") for i, c in enumerate(counts)])
         rows = [_result(p, r, F.col(f"v{i}"), F.col("n")) for i, (p, r) in enumerate(counted)]
         parts.append(wide.select(F.inline(F.array(*rows))))
     for p, r in enumerate(built):
@@ -289,7 +303,8 @@ def tag_violations(df: DataFrame, rules: dict | None = None, out: str = "violate
         if r.row is not None
     ]
     names = F.array_compact(F.array(*marks)) if marks else F.array().cast("array<string>")
-    return clean.withColumn(out, names)
+    with lenient(df.sparkSession):
+        return clean.withColumn(out, names)
 
 
 def split_violations(df: DataFrame, rules: dict | None = None) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from ..functions.nulls import require_frame
+from ..functions.nulls import nan_to_null, require_frame
 
 
 def sql_transform(
@@ -14,16 +14,17 @@ def sql_transform(
 ) -> DataFrame:
     """Run ``query`` (or the text in ``sql_file``, which wins) with ``df`` visible as ``table_name``.
 
-    The view is dropped again at once: the returned plan is already resolved.
+    NaN is missing there. The view is dropped again at once: the returned plan is already resolved.
     """
     require_frame(df, "sql_transform")
     if not query and not sql_file:
         raise ValueError("sql_transform requires either 'sql_query' or 'sql_file'")
     spark = df.sparkSession
+    df = nan_to_null(df)
     if sql_file:
         query = read_text(df, sql_file)
     shadowed = None
-    if table_name in _temp_views(spark):
+    if spark.catalog.tableExists(table_name) and spark.catalog.getTable(table_name).isTemporary:
         shadowed = f"_saved_{uuid.uuid4().hex}"
         spark.table(table_name).createOrReplaceTempView(shadowed)
     df.createOrReplaceTempView(table_name)
@@ -37,10 +38,6 @@ def sql_transform(
             spark.catalog.dropTempView(table_name)
 
 
-def _temp_views(spark) -> set[str]:
-    return {t.name for t in spark.catalog.listTables() if t.isTemporary}
-
-
 def read_text(df: DataFrame, uri: str) -> str:
     """A small text file from any file system Spark can reach."""
     rows = df.sparkSession.read.text(uri, wholetext=True).collect()

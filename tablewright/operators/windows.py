@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.nulls import as_list, col, nulls_last, require_columns, total_order, value_of
+from ..functions.nulls import as_list, col, nan_to_null, nulls_last, require_columns, total_order, value_of
 from ..session import freeze
 from .joins import key_counts, spread_join
 
@@ -79,6 +79,7 @@ def cumulative_sum(
     row_limit: int = ROW_LIMIT,
 ) -> DataFrame:
     """Running total in order; a missing value stays missing and adds nothing."""
+    df = nan_to_null(df)
     keys, out = as_list(keys), out or f"{column}_cumsum"
     order = _ordering(df, keys, order_by, ascending)
     value = value_of(df, column)
@@ -99,6 +100,7 @@ def row_index(
     row_limit: int = ROW_LIMIT,
 ) -> DataFrame:
     """Position of each row within its group, from 1."""
+    df = nan_to_null(df)
     keys = as_list(keys)
     order = _ordering(df, keys, order_by, ascending)
     if _fits(df, keys, row_limit):
@@ -117,6 +119,7 @@ def shift(
     row_limit: int = ROW_LIMIT,
 ) -> DataFrame:
     """The value ``periods`` rows earlier in the group (later when negative)."""
+    df = nan_to_null(df)
     keys, out = as_list(keys), out or f"{column}_shift"
     order = _ordering(df, keys, order_by, ascending)
     if _fits(df, keys, row_limit):
@@ -138,6 +141,7 @@ def average_rank(
     df: DataFrame, keys: list[str] | str, column: str, out: str | None = None, row_limit: int = ROW_LIMIT
 ) -> DataFrame:
     """Rank of the value in its group, ties sharing their mean rank; missing stays missing."""
+    df = nan_to_null(df)
     keys, out = as_list(keys), out or f"{column}_rank"
     require_columns(df, [*keys, column], "window")
     value = value_of(df, column)
@@ -171,6 +175,7 @@ def group_head(
     row_limit: int = ROW_LIMIT,
 ) -> DataFrame:
     """The first ``n`` rows of each group."""
+    df = nan_to_null(df)
     keys = as_list(keys)
     if n <= GROUP_LIMIT_ROWS:
         order = _ordering(df, keys, order_by, ascending)

@@ -39,6 +39,8 @@ def _csv_source(spark: SparkSession, config: dict) -> DataFrame:
         schema=config.get("schema"),
         dtype=config.get("dtype"),
         parse_dates=config.get("parse_dates"),
+        multi_line=config.get("multi_line", True),
+        bad_rows=config.get("bad_rows", "fail"),
     )
 
 
@@ -48,7 +50,10 @@ def _object_source(spark: SparkSession, config: dict) -> DataFrame:
     for ours, theirs in (("sep", "separator"), ("encoding", "encoding"), ("header", "header"), ("schema", "schema")):
         if config.get(theirs) is not None:
             options[ours] = config[theirs]
-    return read_object(spark, uri, json_lines=config.get("json_lines", False), **options)
+    if uri.endswith(".csv"):
+        options["multi_line"] = config.get("multi_line", True)
+        options["bad_rows"] = config.get("bad_rows", "fail")
+    return read_object(spark, uri, json_lines=config.get("json_lines", True), **options)
 
 
 def _graph_source(spark: SparkSession, config: dict) -> DataFrame:
@@ -222,8 +227,8 @@ def run_pipeline(
             data = materialize(data, kept["transform"])
 
     analytics = config.get("analytics")
-    if analytics and config.get("load") and not kept.get("transform"):
-        data = freeze(data, "analysed")  # read by the analysis and by the sink
+    if analytics and (config.get("transform") or config.get("load")) and not kept.get("transform"):
+        data = freeze(data, "analysed")  # read by every pass of the analysis and by the sink
     analysis = analyze(data, analytics) if analytics else None
     if config.get("load"):
         load(data, config["load"])

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,17 +35,22 @@ def read_csv(
     parse_dates: list[str] | None = None,
     infer: bool = True,
     multi_line: bool = False,
+    bad_rows: str = "fail",
     storage: dict[str, str] | None = None,
 ) -> DataFrame:
     """Read CSV files. ``header`` is 0 or True for a first header line, None or False for none.
 
     Without ``schema`` every cell is read as text, missing-value words become null, and one
-    aggregate over the files finds the narrowest type of each column.
+    aggregate over the files finds the narrowest type of each column. ``multi_line`` allows line
+    breaks in quoted cells, at the price that a file is read by one task. A row with too many or too
+    few cells, or one that does not fit ``schema``, ends the job; ``bad_rows="keep"`` cuts or fills it.
     """
     if not path:
         raise ValueError("CSV source requires 'path'")
     if not (header is None or isinstance(header, bool) or header == 0):
         raise ValueError("only the first line can be a header")
+    if bad_rows not in ("fail", "keep"):
+        raise ValueError("bad_rows must be 'fail' or 'keep'")
     has_header = header is not None and header is not False
     reader = (
         spark.read.option("header", has_header)
@@ -53,6 +59,8 @@ def read_csv(
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("mode", "FAILFAST" if bad_rows == "fail" else "PERMISSIVE")
+        .option("columnPruning", bad_rows == "keep")  # else only the cells that are asked for are looked at
         .options(**(storage or {}))
     )
     if schema is not None:
@@ -70,13 +78,15 @@ def read_csv(
     return known.select(*[chosen.get(c, col(c)).alias(c) for c in known.columns])
 
 
-def _open(read, path) -> DataFrame:
+def _open(read, path, hint: str = "") -> DataFrame:
     try:
         return read()
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             raise FileNotFoundError(f"no such path: {path}") from error
         raise RuntimeError(f"cannot read {path}: {error}") from error
+    except (PySparkException, Py4JJavaError) as error:  # files are looked at for their types here
+        raise RuntimeError(f"cannot read {path}: {str(error).splitlines()[0]} {hint}".rstrip()) from error
 
 
 def _ladder(c: Column) -> dict[str, Column]:
@@ -110,11 +120,13 @@ def _infer(df: DataFrame, free: list[str], dates: list[str]) -> dict[str, Column
 
 
 def read_object(
-    spark: SparkSession, uri: str, json_lines: bool = False, storage: dict[str, str] | None = None, **options
+    spark: SparkSession, uri: str, json_lines: bool = True, storage: dict[str, str] | None = None, **options
 ) -> DataFrame:
     """Read any file-system URI, the format taken from the suffix; other suffixes are CSV.
 
-    ``storage`` holds access settings for this read only, see ``object_settings``.
+    JSON has one record or one array of records per line; a file that is one array over several lines
+    is refused unless ``json_lines=False``, which reads each file in one task. ``storage`` holds access
+    settings for this read only, see ``object_settings``.
     """
     if not uri:
         raise ValueError("object source requires 'uri'")
@@ -123,7 +135,8 @@ def read_object(
     if suffix == "parquet":
         return _open(lambda: reader.parquet(uri), uri)
     if suffix == "json":
-        return _open(lambda: reader.option("multiLine", not json_lines).json(uri), uri)
+        lines = reader.option("multiLine", not json_lines).option("mode", "FAILFAST")
+        return _open(lambda: lines.json(uri), uri, "is it one array over several lines? Then set json_lines=False")
     if suffix == "csv":
         return read_csv(spark, uri, storage=storage, **options)
     return read_csv(spark, uri, storage=storage)

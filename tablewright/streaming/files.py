@@ -12,7 +12,6 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.nulls import as_list, col, is_orderable, nan_to_null
 from ..operators.clean import clean, drop_missing, fill_missing, filter_rows, standardize_columns
 from ..operators.quality import tag_violations
-from ..session import scratch_uri
 
 BATCH_COLUMN = "batch"  # sink files are kept apart by micro-batch
 
@@ -80,16 +79,21 @@ def write_batchwise(
     uri: str,
     checkpoint: str | None = None,
     once: bool = True,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Apply a table step to each micro-batch and keep its result under ``uri``.
 
-    Each batch replaces its own folder, so a batch that is run again leaves no copies.
+    Each batch replaces its own folder, so a batch that is run again leaves no copies. Progress is
+    kept below ``uri`` unless ``checkpoint`` names a place, so a later start goes on where the last
+    one ended. A stream belongs to its source folder; streams of several folders into one place need a
+    ``name`` each, and Spark refuses to go on with another folder under the same name.
     """
+    prefix = f"{name}-" if name else ""
 
     def write(batch: DataFrame, number: int) -> None:
-        step(batch).write.mode("overwrite").parquet(f"{uri}/{BATCH_COLUMN}={number}")
+        step(batch).write.mode("overwrite").parquet(f"{uri}/{BATCH_COLUMN}={prefix}{number}")
 
-    return _start(df.writeStream.foreachBatch(write), df, checkpoint, once)
+    return _start(df.writeStream.foreachBatch(write), df, checkpoint or progress_of(uri, name), once)
 
 
 def write_cleaned(df: DataFrame, config: dict, uri: str, checkpoint: str | None = None, once: bool = True):
@@ -112,7 +116,7 @@ def write_quarantine(
         finally:
             tagged.unpersist()
 
-    return _start(df.writeStream.foreachBatch(write), df, checkpoint, once)
+    return _start(df.writeStream.foreachBatch(write), df, checkpoint or progress_of(good_uri), once)
 
 
 def write_append(
@@ -121,29 +125,30 @@ def write_append(
     checkpoint: str | None = None,
     once: bool = True,
     state_partitions: int | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
-    """Append a stream to Parquet files, each row exactly once.
+    """Append a stream to Parquet files, each row exactly once, over any number of starts.
 
+    Places and ``name`` as for ``write_batchwise``; readers see the column ``batch``.
     ``state_partitions`` sets the number of state stores of stateful steps, which a stream
     keeps from its first start on; the default is the session's shuffle partitions.
     """
-    writer = df.writeStream.format("parquet").option("path", uri).outputMode("append")
-    return _start(writer, df, checkpoint, once, state_partitions)
-
-
-def _start(
-    writer, df: DataFrame, checkpoint: str | None, once: bool, state_partitions: int | None = None
-) -> StreamingQuery:
     spark = df.sparkSession
-    location = checkpoint or scratch_uri(spark, "stream-progress")
-    writer = writer.option("checkpointLocation", location)
-    if once:
-        writer = writer.trigger(availableNow=True)
     if state_partitions is None:
-        return writer.start()
+        return write_batchwise(df, lambda batch: batch, uri, checkpoint, once, name)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", state_partitions)
-    try:
-        return writer.start()  # a stream takes its own copy of the settings when it starts
+    try:  # a stream takes its own copy of the settings when it starts
+        return write_batchwise(df, lambda batch: batch, uri, checkpoint, once, name)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def progress_of(uri: str, name: str | None = None) -> str:
+    """Where a sink keeps the progress of a stream; readers of the sink skip such folders."""
+    return f"{uri.rstrip('/')}/_progress" + (f"-{name}" if name else "")
+
+
+def _start(writer, df: DataFrame, checkpoint: str, once: bool) -> StreamingQuery:
+    writer = writer.option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start() if once else writer.start()

@@ -71,7 +71,7 @@ def test_object_round_trip(spark, tmp_path, suffix):
     df = spark.createDataFrame([(1, "a\"b,c"), (2, None)], "x long, s string")
     uri = str(tmp_path / f"t.{suffix}")
     write_object(df, uri)
-    options = {"json_lines": True} if suffix == "json" else {}
+    options = {}
     assert sorted(rows(read_object(spark, uri, **options).select("x", "s")), key=str) == sorted(rows(df), key=str)
     with pytest.raises(FileExistsError):
         write_object(df, uri)
@@ -82,6 +82,10 @@ def test_object_round_trip(spark, tmp_path, suffix):
 def test_json_array(spark, tmp_path):
     path = tmp_path / "a.json"
     path.write_text(json.dumps([{"x": 1}, {"x": 2}], indent=1))
+    with pytest.raises(RuntimeError, match="json_lines=False"):
+        read_object(spark, str(path))
+    assert sorted(rows(read_object(spark, str(path), json_lines=False))) == [(1,), (2,)]
+    path.write_text(json.dumps([{"x": 1}, {"x": 2}]))  # on one line
     assert sorted(rows(read_object(spark, str(path)))) == [(1,), (2,)]
 
 
