@@ -31,7 +31,8 @@ def assign(rows: DataFrame, limit: int, h: str = "h", r: str = "r", size: str =
     ``h`` and ``r`` hold 60 bits each, ``size`` the bytes; they are dropped. ``rows`` is read several
     times and must be stored. Bytes are summed per cell of a depth below which no even hash needs to
     split, so the directory is made of a few cells per shard, whatever the number of rows; only rows
-    of cells that are themselves too large are looked at again with more bits.
+    of cells that are themselves too large are looked at again with more bits. The directory grows with
+    the rows, so it is joined by shuffle and never broadcast.
     """
     total = rows.agg(F.sum(size)).first()[0] or 0
     wanted = math.ceil(math.log2(max(1.0, total / limit)))
@@ -50,14 +51,14 @@ def assign(rows: DataFrame, limit: int, h: str = "h", r: str = "r", size: str =
         sums = freeze(levels.groupBy("shard", "depth").agg(F.sum("bytes").alias("shard_bytes"), F.sum("docs").alias("shard_docs")), "levels")
         fits = (F.col("shard_bytes") <= limit) | (F.col("shard_docs") == 1) | (F.col("depth") == 2 * HALF)
         # Sums fall with depth: the first depth of a cell that fits is its shard.
-        fitting = levels.select(cell, "shard").join(sums.filter(fits), "shard")
+        fitting = levels.select(cell, "shard").join(sums.filter(fits).hint("merge"), "shard")
         found = freeze(fitting.groupBy(cell).agg(F.min_by(F.struct("shard", "shard_bytes", "shard_docs"), "depth").alias("s")), "directory")
-        placed = rows.withColumn(cell, prefix(last)).join(found, cell).select(*[column(c) for c in out], "s.shard", "s.shard_bytes", "s.shard_docs")
+        placed = rows.withColumn(cell, prefix(last)).join(found.hint("merge"), cell).select(*[column(c) for c in out], "s.shard", "s.shard_bytes", "s.shard_docs")
         settled = placed if settled is None else settled.unionByName(placed)
-        large = cells.select(cell).join(found, cell, "left_anti")
+        large = cells.select(cell).join(found.hint("merge"), cell, "left_anti")
         if large.isEmpty():
             return settled
-        rows = freeze(rows.withColumn(cell, prefix(last)).join(large, cell, "left_semi").drop(cell), "large-cells")
+        rows = freeze(rows.withColumn(cell, prefix(last)).join(large.hint("merge"), cell, "left_semi").drop(cell), "large-cells")
         first, last = last + 1, min(last + MORE_BITS, 2 * HALF)
 
 
