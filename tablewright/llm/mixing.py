@@ -46,12 +46,12 @@ def source_rates(docs: DataFrame, weights: dict[str, float], other: float = 1.0,
     if not total["w"]:
         return weighed.select("source", "size", F.lit(0.0).alias("rate"))
     goal = float(total["s"] if budget is None else budget)
-    return weighed.select("source", "size", (F.col("weight") / F.lit(float(total["w"])) * (F.lit(goal) / F.col("size"))).alias("rate"))
+    return weighed.select("source", "size", (F.col("weight") / F.lit(float(total["w"])) * F.try_divide(F.lit(goal), F.col("size"))).alias("rate"))
 
 
 def _inverse(rate: Column, seed: int, key: Column) -> Column:
     """The Poisson count of a row."""
-    parts = F.ceil(rate / F.lit(STEP)).cast("int")
+    parts = F.greatest(F.ceil(rate / F.lit(STEP)).cast("int"), F.lit(1))  # a filter on the rate may come later in the plan
     mean = rate / parts
     start = F.struct(F.exp(-mean).alias("p"), F.exp(-mean).alias("c"), F.array(F.exp(-mean)).alias("all"))
 
