@@ -174,7 +174,9 @@ def duplicates(
     rows = df.select(*[value_of(df, c).alias(n) for c, n in zip(subset or df.columns, names)])
     if method == "fingerprint":
         # A struct prints every field and tells a missing one from text.
-        text = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+        # JSON would cut times to milliseconds and tell 0.0 from -0.0.
+        exact = [_printed(F.col(f.name), f.dataType).alias(f.name) for f in rows.schema.fields]
+        text = F.to_json(F.struct(*exact), {"ignoreNullFields": "false"})
         return _copies(rows.groupBy(F.sha2(text, 256).alias("d")))
     hashable = all(is_orderable(f.dataType) for f in rows.schema.fields)
     if len(names) == 1 or not hashable or df.count() <= direct_rows:
@@ -190,6 +192,12 @@ def duplicates(
     return _copies(suspects.groupBy(*names), settled)
 
 
+def _printed(c: Column, data_type: T.DataType) -> Column:
+    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+        return c.cast("string")
+    return c + F.lit(0.0).cast(data_type) if isinstance(data_type, (T.DoubleType, T.FloatType)) else c
+
+
 def _copies(grouped, settled: int = 0) -> DataFrame:
     totals = grouped.agg(F.count(F.lit(1)).alias("n")).agg(
         (F.coalesce(F.sum("n"), F.lit(0)) + settled).alias("rows"),

@@ -30,7 +30,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="tablewright-")
     spark.conf.set("spark.checkpoint.dir", folder)
