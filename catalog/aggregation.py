@@ -94,12 +94,11 @@ def agg_ohlc(t):
     return aggregate(t.events, "event_type", {"value": "ohlc"}, order_by=["ts", "event_id"])
 
 
-@query("""SELECT o_orderkey, round(product(1 + o_custkey % 3), 2) AS factor_prod, bool_or(o_custkey % 2 <> 0) AS odd_any,
-    bool_and(o_custkey % 2 <> 0) AS odd_all FROM orders GROUP BY 1""")
+@query("""SELECT o_custkey, product(1 + o_orderkey % 2) AS factor_prod, bool_or(o_orderkey % 3 <> 0) AS rest_any,
+    bool_and(o_orderkey % 3 <> 0) AS rest_all FROM orders GROUP BY 1""")
 def agg_prod_any_all(t):
-    orders = t.orders.withColumns({"factor": 1 + F.col("o_custkey") % 3, "odd": F.col("o_custkey") % 2})
-    result = aggregate(orders, "o_orderkey", {"factor": "prod", "odd": ["any", "all"]})
-    return _rounded(result, 2, "factor_prod")
+    orders = t.orders.withColumns({"factor": 1 + F.col("o_orderkey") % 2, "rest": F.col("o_orderkey") % 3})
+    return aggregate(orders, "o_custkey", {"factor": "prod", "rest": ["any", "all"]})
 
 
 @query("""SELECT c_nationkey, string_agg(DISTINCT c_mktsegment, '|' ORDER BY c_mktsegment) AS segments

@@ -77,9 +77,16 @@ def _event_stream(t):
     )
 
 
+def _event_batches(t, files=3):
+    """The events in several files, each a batch of its own, so that state is carried from batch to batch."""
+    folder = scratch_uri(t.spark, "incoming")
+    t.events.repartition(files, "event_id").write.parquet(folder)
+    return read_stream(t.spark, folder, STREAM_SCHEMA, max_files=1).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 @query("""SELECT event_id, user_id, event_type AS kind, value FROM events WHERE value > 10 AND event_type <> 'error'""")
 def stream_cleaned_rows(t):
-    stream = _event_stream(t).select("event_id", "user_id", F.nullif("event_type", F.lit("error")).alias("Kind"), "value")
+    stream = _event_batches(t).select("event_id", "user_id", F.nullif("event_type", F.lit("error")).alias("Kind"), "value")
     cleaned = clean_stream(stream, {"remove_duplicates": False, "filter_expr": "value > 10"})
     uri = scratch_uri(t.spark, "stream")
     write_append(cleaned, uri).awaitTermination()
@@ -88,7 +95,7 @@ def stream_cleaned_rows(t):
 
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_distinct(t):
-    stream = _event_stream(t).select("ts", "user_id", "event_type")
+    stream = _event_batches(t).select("ts", "user_id", "event_type")
     unique = clean_stream(stream, {"dedup_cols": ["user_id", "event_type"]}, event_time="ts", delay="3650 days")
     uri = scratch_uri(t.spark, "stream")
     stores = t.spark.sparkContext.defaultParallelism
@@ -123,7 +130,7 @@ def stream_cleaned_batches(t):
 def stream_quarantine(t):
     rules = {"validity": {"column_rules": {"value": {"max_value": 100}}}}
     good, bad = scratch_uri(t.spark, "good"), scratch_uri(t.spark, "bad")
-    write_quarantine(_event_stream(t).select("event_id", "value"), rules, good, bad).awaitTermination()
+    write_quarantine(_event_batches(t).select("event_id", "value"), rules, good, bad).awaitTermination()
     kept = t.spark.read.parquet(good).select("event_id", F.lit("").alias("rules"))
     return kept.unionByName(
         t.spark.read.parquet(bad).select("event_id", F.array_join("violated_rules", "|").alias("rules"))

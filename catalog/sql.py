@@ -28,9 +28,9 @@ def sql_project_filter_case(t):
     return sql_transform(t.lineitem, CASE_SQL.format(t="source_data"))
 
 
-JOIN_SQL = """SELECT n_name, count(*) AS orders, round(sum(revenue), 2) AS revenue
-    FROM (SELECT l_orderkey, sum(l_extendedprice * (1 - l_discount)) AS revenue FROM {lineitem} GROUP BY l_orderkey) r
-    JOIN {orders} ON o_orderkey = l_orderkey
+JOIN_SQL = """SELECT n_name, count(*) AS items, count(DISTINCT o_orderkey) AS orders,
+    round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue
+    FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey
     JOIN {customer} ON c_custkey = o_custkey
     JOIN {nation} ON n_nationkey = c_nationkey
     GROUP BY n_name"""
@@ -39,13 +39,12 @@ NAMES = {n: n for n in ("lineitem", "orders", "customer", "nation", "part", "sup
 
 @query(JOIN_SQL.format(**NAMES))
 def sql_join_inner(t):
-    """Line items are summed per order before the joins, so no join key repeats on that side."""
     return t.spark.sql(JOIN_SQL, lineitem=t.lineitem, orders=t.orders, customer=t.customer, nation=t.nation)
 
 
-OUTER_SQL = """SELECT coalesce(c_custkey, k) AS k, c_name, n_orders
+OUTER_SQL = """SELECT coalesce(c_custkey, o_custkey) AS k, c_name, o_orderkey, o_totalprice
     FROM (SELECT c_custkey, c_name FROM {customer} WHERE c_acctbal > 0) c
-    {kind} JOIN (SELECT o_custkey AS k, count(*) AS n_orders FROM {orders} GROUP BY o_custkey) o ON c_custkey = k"""
+    {kind} JOIN {orders} ON c_custkey = o_custkey"""
 
 
 def _outer(kind):
@@ -67,24 +66,34 @@ def sql_join_full(t):
     return t.spark.sql(_outer("FULL"), customer=t.customer, orders=t.orders)
 
 
-SELF_SQL = """WITH m AS (SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, round(sum(o_totalprice), 2) AS total
-        FROM {orders} GROUP BY 1, 2)
-    SELECT a.y, a.m, a.total, b.total AS year_before FROM m a LEFT JOIN m b ON a.m = b.m AND a.y = b.y + 1"""
+# Pairs of items of one order, which has few, shipped in another order than listed.
+SELF_SQL = """SELECT a.l_orderkey, a.l_linenumber AS listed_first, b.l_linenumber AS shipped_first
+    FROM {lineitem} a JOIN {lineitem} b
+    ON a.l_orderkey = b.l_orderkey AND a.l_linenumber < b.l_linenumber AND a.l_shipdate > b.l_shipdate"""
 
 
 @query(SELF_SQL.format(**NAMES))
 def sql_self_join(t):
-    return t.spark.sql(SELF_SQL, orders=t.orders)
+    return t.spark.sql(SELF_SQL, lineitem=t.lineitem)
 
 
-USING_SQL = """WITH a AS (SELECT o_custkey AS custkey, count(*) AS n FROM {orders} GROUP BY o_custkey),
+USING_SQL = """WITH a AS (SELECT o_custkey AS custkey, o_orderkey, o_totalprice FROM {orders}),
     b AS (SELECT c_custkey AS custkey, c_mktsegment FROM {customer})
-    SELECT custkey, n, c_mktsegment FROM a JOIN b USING (custkey)"""
+    SELECT custkey, o_orderkey, o_totalprice, c_mktsegment FROM a {how}"""
 
 
-@query(USING_SQL.format(**NAMES))
+def _using(how):
+    return USING_SQL.replace("{how}", how)
+
+
+@query(_using("JOIN b USING (custkey)").format(**NAMES))
 def sql_join_using(t):
-    return t.spark.sql(USING_SQL, orders=t.orders, customer=t.customer)
+    return t.spark.sql(_using("JOIN b USING (custkey)"), orders=t.orders, customer=t.customer)
+
+
+@query(_using("NATURAL LEFT JOIN b").format(**NAMES))
+def sql_join_natural(t):
+    return t.spark.sql(_using("NATURAL LEFT JOIN b"), orders=t.orders, customer=t.customer)
 
 
 SEMI_SQL = """SELECT c_custkey, c_name FROM {customer} WHERE c_custkey {word} (
@@ -109,17 +118,19 @@ def sql_anti_join(t):
     return t.spark.sql(EXISTS_SQL.replace("{word}", "NOT"), supplier=t.supplier, lineitem=t.lineitem)
 
 
-# An interval join against a handful of dated rates: each order takes the rate in force on its day.
-ASOF_SQL = """WITH rates AS (SELECT rate, CAST(since AS TIMESTAMP) AS since,
-        lead(CAST(since AS TIMESTAMP)) OVER (ORDER BY since) AS until
-        FROM (VALUES (1.0, '1990-01-01'), (1.1, '1996-03-15'), (1.25, '1998-06-30'), (0.9, '2000-01-01')) v(rate, since))
-    SELECT o_orderkey, CAST(rate AS DOUBLE) AS rate FROM {orders} JOIN rates
-    ON o_orderdate >= since AND (until IS NULL OR o_orderdate < until)"""
+# The last shipment that each order's customer got up to the day of the order: both tables in one
+# window per customer, so no pairs of orders and shipments are made.
+ASOF_SQL = """WITH shipped AS (SELECT o_custkey AS k, l_shipdate AS at FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey),
+    mixed AS (SELECT o_custkey AS k, o_orderdate AS at, o_orderkey, NULL AS shipment FROM {orders}
+        UNION ALL SELECT k, at, NULL, at FROM shipped),
+    known AS (SELECT o_orderkey, max(shipment) OVER (PARTITION BY k ORDER BY at) AS last_shipment FROM mixed)
+    SELECT o_orderkey, last_shipment FROM known WHERE o_orderkey IS NOT NULL"""
 
 
-@query(ASOF_SQL.format(**NAMES))
+@query("""WITH shipped AS (SELECT o_custkey AS k, l_shipdate AS last_shipment FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+    SELECT o_orderkey, last_shipment FROM orders ASOF LEFT JOIN shipped ON k = o_custkey AND o_orderdate >= last_shipment""")
 def sql_asof_join(t):
-    return t.spark.sql(ASOF_SQL, orders=t.orders)
+    return t.spark.sql(ASOF_SQL, lineitem=t.lineitem, orders=t.orders)
 
 
 HAVING_SQL = """SELECT l_suppkey, count(DISTINCT l_partkey) AS parts,
@@ -156,19 +167,18 @@ def sql_rollup(t):
     return sql_transform(t.lineitem, _sets("ROLLUP (l_returnflag, l_linestatus)").format(t="source_data"))
 
 
-# Windows run over months per status, whose number does not grow with the orders.
-WINDOW_SQL = """WITH m AS (SELECT o_orderstatus AS s, year(o_orderdate) * 100 + month(o_orderdate) AS ym, count(*) AS n
-        FROM {t} GROUP BY 1, 2)
-    SELECT s, ym, n, row_number() OVER (PARTITION BY s ORDER BY ym) AS rn,
-    rank() OVER (PARTITION BY s ORDER BY n) AS rnk, dense_rank() OVER (PARTITION BY s ORDER BY n) AS drnk,
-    round(percent_rank() OVER (PARTITION BY s ORDER BY n), 8) AS prnk,
-    round(cume_dist() OVER (PARTITION BY s ORDER BY n), 8) AS cume,
-    ntile(4) OVER (PARTITION BY s ORDER BY ym) AS quarter, lag(n) OVER (PARTITION BY s ORDER BY ym) AS before,
-    lead(n, 2) OVER (PARTITION BY s ORDER BY ym) AS after, first_value(n) OVER (PARTITION BY s ORDER BY ym) AS opening,
-    last_value(n) OVER (PARTITION BY s ORDER BY ym ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS closing,
-    nth_value(n, 3) OVER (PARTITION BY s ORDER BY ym ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS third,
-    CAST(sum(n) OVER (PARTITION BY s ORDER BY ym ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS BIGINT) AS moving,
-    CAST(sum(n) OVER (PARTITION BY s ORDER BY n RANGE BETWEEN 5 PRECEDING AND 5 FOLLOWING) AS BIGINT) AS near FROM m"""
+WINDOW_SQL = """WITH m AS (SELECT *, floor(o_totalprice / 50000) AS band FROM {t})
+    SELECT o_orderkey, row_number() OVER w AS rn, rank() OVER b AS rnk, dense_rank() OVER b AS drnk,
+    round(percent_rank() OVER b, 8) AS prnk, round(cume_dist() OVER b, 8) AS cume, ntile(4) OVER w AS quarter,
+    lag(o_totalprice) OVER w AS before, lead(o_totalprice, 2) OVER w AS after, first_value(o_totalprice) OVER w AS opening,
+    last_value(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+        ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS closing,
+    nth_value(o_totalprice, 3) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+        ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS third,
+    round(sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+        ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2) AS moving,
+    count(*) OVER (PARTITION BY o_custkey ORDER BY band RANGE BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS near
+    FROM m WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey), b AS (PARTITION BY o_custkey ORDER BY band)"""
 
 
 @query(WINDOW_SQL.format(t="orders"))
@@ -185,10 +195,9 @@ def sql_window_topn(t):
     return sql_transform(t.orders, TOPN_SQL.format(t="source_data"))
 
 
-# Each branch is made distinct first: the set operation then meets every key once.
-INTERSECT_SQL = """SELECT DISTINCT o_custkey AS k FROM {orders} WHERE o_orderstatus = 'O' INTERSECT
-    SELECT DISTINCT o_custkey FROM {orders} WHERE o_orderstatus = 'F'"""
-EXCEPT_SQL = """SELECT c_custkey AS k FROM {customer} EXCEPT SELECT DISTINCT o_custkey FROM {orders} WHERE o_totalprice > 400000"""
+INTERSECT_SQL = """SELECT o_custkey AS k FROM {orders} WHERE o_orderstatus = 'O' INTERSECT
+    SELECT o_custkey FROM {orders} WHERE o_orderstatus = 'F'"""
+EXCEPT_SQL = """SELECT c_custkey AS k FROM {customer} EXCEPT SELECT o_custkey FROM {orders} WHERE o_totalprice > 400000"""
 UNION_SQL = """SELECT s_nationkey AS k, 's' AS kind FROM {supplier} UNION SELECT c_nationkey, 'c' FROM {customer}"""
 UNION_ALL_SQL = """SELECT s_nationkey AS k FROM {supplier} UNION ALL SELECT c_nationkey FROM {customer}"""
 
@@ -319,13 +328,25 @@ def sql_json_functions(t):
     )
 
 
-@query("""SELECT n_regionkey, string_agg(n_name, ',' ORDER BY n_name) AS names, CAST(sum(n_nationkey) AS BIGINT) AS total,
-    avg(n_nationkey) AS mean, count(*) AS n, min(n_name) AS lo, max(n_name) AS hi FROM nation GROUP BY 1""")
+@query("""SELECT event_id, json_object('id', event_id, 'kind', event_type) AS made, unnest(CAST(json_array(user_id, user_id + 1) AS BIGINT[])) AS item
+    FROM events""")
+def sql_json_build_explode(t):
+    return sql_transform(
+        t.events,
+        """SELECT event_id, to_json(named_struct('id', event_id, 'kind', event_type)) AS made,
+        explode(from_json(to_json(array(user_id, user_id + 1)), 'array<bigint>')) AS item FROM source_data""",
+    )
+
+
+# An order has few items, so each list is short.
+@query("""SELECT l_orderkey, string_agg(l_returnflag, ',' ORDER BY l_returnflag) AS flags, sum(l_quantity) AS total,
+    round(avg(l_quantity), 8) AS mean, count(*) AS n, min(l_linestatus) AS lo, max(l_linestatus) AS hi FROM lineitem GROUP BY 1""")
 def sql_aggregates(t):
     return sql_transform(
-        t.nation,
-        """SELECT n_regionkey, listagg(n_name, ',') WITHIN GROUP (ORDER BY n_name) AS names, sum(n_nationkey) AS total,
-        avg(n_nationkey) AS mean, count(*) AS n, min(n_name) AS lo, max(n_name) AS hi FROM source_data GROUP BY n_regionkey""",
+        t.lineitem,
+        """SELECT l_orderkey, listagg(l_returnflag, ',') WITHIN GROUP (ORDER BY l_returnflag) AS flags, sum(l_quantity) AS total,
+        round(avg(l_quantity), 8) AS mean, count(*) AS n, min(l_linestatus) AS lo, max(l_linestatus) AS hi
+        FROM source_data GROUP BY l_orderkey""",
     )
 
 
