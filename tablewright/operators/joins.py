@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.nulls import as_list, col, is_orderable
 
 HOT_ROWS = 1_000_000  # rows per key from which a key is spread over several tasks
-BROADCAST_ROWS = 100_000  # most hot keys sent to every executor
+BROADCAST_ROWS = 100_000  # most hot keys sent to every executor: the largest; any other has fewer than this share of the rows
 SAMPLED_ROWS = 10_000  # rows of a hot key that the sample should still show
 UNMATCHED_SLICES = 4096  # tasks over which rows without a key are spread
 
@@ -31,14 +31,14 @@ def spread_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"spread_join does not support {how!r}")
     spark = left.sparkSession
-    hot = key_counts(left if measure is None else measure, on, hot_rows).filter(F.col("_rows") > hot_rows).select(
+    counted = key_counts(left if measure is None else measure, on, hot_rows).filter(F.col("_rows") > hot_rows)
+    hot = counted.orderBy(F.desc("_rows")).limit(BROADCAST_ROWS).select(
         *[col(c) for c in on], F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_slices")
     )
-    found = hot.limit(BROADCAST_ROWS + 1).collect()
+    found = hot.collect()
     if not found:
         return left.join(right, on, how)
-    if len(found) <= BROADCAST_ROWS:
-        hot = F.broadcast(spark.createDataFrame(found, hot.schema))
+    hot = F.broadcast(spark.createDataFrame(found, hot.schema))
     # Partition id and row content are the same when a task is run again, and copies of one
     # row that sit in different partitions still get different slices.
     content = [col(f.name) for f in left.schema.fields if is_orderable(f.dataType)]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,7 +69,6 @@ def correlation(a: Column, b: Column) -> Column:
 
 DIRECT_ROWS = 5_000_000  # rows compared in full without looking at hashes first
 REPEATED_HASHES = 500_000  # most repeated row hashes sent to every task
-PAIRS_AT_ONCE = 64  # correlations that share one aggregate
 
 
 @dataclass
@@ -135,23 +133,26 @@ def null_analysis(df: DataFrame) -> DataFrame:
 
 
 def correlations(df: DataFrame, cols: list[str] | None = None, numeric: str = "strict") -> DataFrame:
-    """column_a, column_b, correlation for every ordered pair, from one aggregate for up to 64 pairs."""
-    cols = cols or numeric_columns(df, numeric)
-    pairs = list(combinations(cols, 2)) + [(c, c) for c in cols]
-    table = _correlate(df, pairs[:PAIRS_AT_ONCE])
-    for first in range(PAIRS_AT_ONCE, len(pairs), PAIRS_AT_ONCE):
-        table = table.unionByName(_correlate(df, pairs[first : first + PAIRS_AT_ONCE]))
-    return table
-
+    """column_a, column_b, correlation for every ordered pair.
 
-def _correlate(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    wide = df.agg(*[correlation(value_of(df, a), value_of(df, b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    rows = [
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"c{i}").alias("correlation"))
-        for i, (x, y) in enumerate(pairs)
-        for a, b in dict.fromkeys([(x, y), (y, x)])
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+    One scan for any number of columns: each row is spread over the pairs, which are combined before
+    the shuffle to one row per pair and task.
+    """
+    cols = cols or numeric_columns(df, numeric)
+    n = len(cols)
+    if not n:
+        return df.sparkSession.createDataFrame([], "column_a string, column_b string, correlation double")
+    firsts = df.select(
+        F.array(*[value_of(df, c).cast("double") for c in cols]).alias("v"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i")
+    )
+    pairs = firsts.select("v", "i", F.explode(F.sequence(F.col("i"), F.lit(n - 1))).alias("j"))
+    pairs = pairs.select("i", "j", F.get("v", F.col("i")).alias("x"), F.get("v", F.col("j")).alias("y"))
+    found = pairs.groupBy("i", "j").agg(correlation(F.col("x"), F.col("y")).alias("correlation"))
+    name = F.array(*[F.lit(c) for c in cols])
+    ordered = df.sparkSession.range(n * n).select((F.col("id") / n).cast("int").alias("a"), (F.col("id") % n).cast("int").alias("b"))
+    # One row per pair of columns, whatever the number of rows.
+    joined = ordered.join(F.broadcast(found), (F.least("a", "b") == F.col("i")) & (F.greatest("a", "b") == F.col("j")), "left")
+    return joined.select(F.get(name, F.col("a")).alias("column_a"), F.get(name, F.col("b")).alias("column_b"), "correlation")
 
 
 def duplicates(
@@ -175,7 +176,7 @@ def duplicates(
     if method == "fingerprint":
         # A struct prints every field and tells a missing one from text.
         # JSON would cut times to milliseconds and tell 0.0 from -0.0.
-        exact = [_printed(F.col(f.name), f.dataType).alias(f.name) for f in rows.schema.fields]
+        exact = [printed(F.col(f.name), f.dataType).alias(f.name) for f in rows.schema.fields]
         text = F.to_json(F.struct(*exact), {"ignoreNullFields": "false"})
         return _copies(rows.groupBy(F.sha2(text, 256).alias("d")))
     hashable = all(is_orderable(f.dataType) for f in rows.schema.fields)
@@ -192,7 +193,8 @@ def duplicates(
     return _copies(suspects.groupBy(*names), settled)
 
 
-def _printed(c: Column, data_type: T.DataType) -> Column:
+def printed(c: Column, data_type: T.DataType) -> Column:
+    """A form of the value whose text is the same exactly where the value is."""
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
         return c.cast("string")
     return c + F.lit(0.0).cast(data_type) if isinstance(data_type, (T.DoubleType, T.FloatType)) else c

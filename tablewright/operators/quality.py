@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.nulls import as_list, col, legacy_type, nan_to_null, require_frame
+from ..functions.nulls import as_list, col, is_orderable, legacy_type, nan_to_null, require_frame
 from ..functions.predicates import lenient, violates, why_invalid
-from .profile import Facts, duplicates, percent, rounded
+from .profile import Facts, duplicates, percent, printed, rounded
 
 FAMILIES = ("completeness", "uniqueness", "validity", "consistency", "accuracy")
 
@@ -149,7 +149,8 @@ _BUILDERS = {
 def quality_table(df: DataFrame, rules: dict | None = None, duplicate_method: str = "exact") -> DataFrame:
     """family, rule, target, violations, rows, percentage, passed, error: one row per test.
 
-    All counting tests share one aggregate; each uniqueness test adds one distinct count.
+    All counting tests share one aggregate, all tests for unique columns share one distinct count, and
+    duplicate rows take another.
     """
     require_frame(df, "quality_table")
     df = nan_to_null(df)
@@ -168,8 +169,11 @@ def _evaluate(df: DataFrame, built: list[Rule], duplicate_method: str) -> DataFr
             wide = df.agg(F.count(F.lit(1)).alias("n"), *[c.alias(f"v{i}") for i, c in enumerate(counts)])
         rows = [_result(p, r, F.col(f"v{i}"), F.col("n")) for i, (p, r) in enumerate(counted)]
         parts.append(wide.select(F.inline(F.array(*rows))))
+    single = [(p, r) for p, r in enumerate(built) if r.distinct is not None and _prints(df, r.distinct)]
+    if single:
+        parts.append(_unique_columns(df, single))
     for p, r in enumerate(built):
-        if r.distinct is not None:
+        if r.distinct is not None and not _prints(df, r.distinct):
             copies = duplicates(df, r.distinct, duplicate_method)
             parts.append(copies.select(F.inline(F.array(_result(p, r, F.col("duplicate_rows"), F.col("rows"))))))
     if not parts:
@@ -180,6 +184,27 @@ def _evaluate(df: DataFrame, built: list[Rule], duplicate_method: str) -> DataFr
     return table
 
 
+def _prints(df: DataFrame, names: list[str]) -> bool:
+    """One column whose values are equal where their text is."""
+    kind = df.schema[names[0]].dataType if len(names) == 1 else None
+    return isinstance(kind, T.AtomicType) and is_orderable(kind)
+
+
+def _unique_columns(df: DataFrame, rules: list[tuple[int, Rule]]) -> DataFrame:
+    """All tests for unique columns in one scan: cells are told apart by rule and combined before the shuffle."""
+    cells = [
+        F.struct(F.lit(i).alias("i"), printed(col(r.distinct[0]), df.schema[r.distinct[0]].dataType).cast("string").alias("cell"))
+        for i, (_, r) in enumerate(rules)
+    ]
+    counted = df.select(F.inline(F.array(*cells))).groupBy("i", "cell").agg(F.count(F.lit(1)).alias("n"))
+    totals = []
+    for i in range(len(rules)):
+        mine = F.col("i") == i
+        totals += [F.coalesce(F.sum(F.when(mine, F.col("n"))), F.lit(0)).alias(f"n{i}"), F.count_if(mine).alias(f"u{i}")]
+    rows = [_result(p, r, F.col(f"n{i}") - F.col(f"u{i}"), F.col(f"n{i}")) for i, (p, r) in enumerate(rules)]
+    return counted.agg(*totals).select(F.inline(F.array(*rows)))
+
+
 def _result(position: int, rule: Rule, violations: Column, rows: Column) -> Column:
     passed = F.lit(False) if rule.error else rule.passes(violations, rows)
     cells = rows if rule.name != "overall_nulls" else None

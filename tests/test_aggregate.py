@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.functions.aggregates import NAMES
+from tablewright.operators import joins
 from tablewright.operators.aggregate import aggregate, distinct_values, summarize
 from tablewright.operators.joins import spread_join
 from tablewright.operators.windows import average_rank, cumulative_sum, group_head, row_index, shift
@@ -17,18 +18,18 @@ def rows(df):
 
 @pytest.fixture(scope="module")
 def pairs(spark):
-    return spark.createDataFrame([("A", 10, 1), ("A", 20, 1), ("B", 30, 1), ("B", 40, 1)], "category string, value long, count long")
+    return spark.createDataFrame([("wood", 3, 2), ("iron", 25, 1), ("wood", 8, 4), ("iron", 14, 1), ("wood", 1, 1)], "category string, value long, count long")
 
 
 def test_basic(pairs):
     got = aggregate(pairs, "category", {"value": ["sum", "mean"], "count": "sum"})
     assert got.columns == ["category", "value_sum", "value_mean", "count_sum"]
-    assert sorted(rows(got)) == [("A", 30, 15.0, 2), ("B", 70, 35.0, 2)]
+    assert sorted(rows(got)) == [("iron", 39, 19.5, 2), ("wood", 12, 4.0, 7)]
 
 
 def test_sort(pairs):
     got = rows(aggregate(pairs, ["category"], {"value": "sum"}, sort_by=["value_sum"], sort_ascending=False))
-    assert [r[0] for r in got] == ["B", "A"]
+    assert [r[0] for r in got] == ["iron", "wood"]
 
 
 def test_naming(pairs):
@@ -68,8 +69,8 @@ def test_nulls_sort_last(spark):
 
 
 def test_post_filter_and_limit(pairs):
-    got = rows(aggregate(pairs, "category", {"value": "sum"}, post_filter="value_sum > 10", limit=1))
-    assert got == [("A", 30)]
+    got = rows(aggregate(pairs, "category", {"value": "sum"}, post_filter="value_sum > 12", limit=1))
+    assert got == [("iron", 39)]
     assert len(rows(aggregate(pairs, "category", {"value": "sum"}, limit=0))) == 2
 
 
@@ -114,7 +115,7 @@ def test_every_name_runs(pairs):
 
 def test_approximate_median(pairs):
     got = rows(aggregate(pairs, "category", {"value": ["median", "describe"]}, method="approx", sorted_groups=True))
-    assert got[0][:2] == ("A", 10.0)
+    assert got[0][:2] == ("iron", 14.0)
 
 
 def test_summary_matches_pandas(spark):
@@ -192,3 +193,12 @@ def test_large_keys_show_in_the_sample(spark, monkeypatch):
     right = spark.range(50).select(F.col("id").alias("k"), F.lit("x").alias("x"))
     want = df.join(right, "k").count()
     assert spread_join(df, right, "k", hot_rows=5000).count() == want
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_spread_join_sends_the_largest_keys_only(spark, how, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
+    left = spark.range(400).select(F.when(F.col("id") < 250, 1).when(F.col("id") < 350, 2).otherwise(F.col("id")).alias("k"), "id")
+    right = spark.createDataFrame([(1, "a"), (2, "b"), (360, "c")], "k long, v string")
+    want = sorted(rows(left.join(right, "k", how)), key=str)
+    assert sorted(rows(spread_join(left, right, "k", how, hot_rows=30)), key=str) == want
