@@ -47,7 +47,10 @@ def _learnt_from(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     """``label`` and ``terms`` of the sample: at most ``sample`` rows, the first by a hash of the id."""
     known = labels.filter(column("toxic").isNotNull()).groupBy(column("doc_id").alias("id")).agg(F.max(column("toxic").cast("int")).alias("label"))
     chosen = known.filter(~held_out(F.col("id"))).orderBy(F.xxhash64("id"), "id").limit(sample)
-    texts = docs.select(column("doc_id").alias("doc"), text_of().alias("text")).join(F.broadcast(chosen), F.col("doc") == F.col("id")).select("label", "text")
+    texts = docs.select(column("doc_id").alias("doc"), text_of().alias("text")).join(F.broadcast(chosen), F.col("doc") == F.col("id"))
+    # Of rows that share an id one is learnt from, so repeated ids do not lift the bound.
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))
+    texts = texts.groupBy("id", "label").agg(one.alias("one")).select("label", "one.text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -94,7 +97,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes:
 
     Terms are counted over the sample by Spark; one task fits the weights to at most ``sample`` rows
     with the kept terms only. Rows with a null label or a null id teach nothing; a document with
-    several labels is toxic if one says so.
+    several labels is toxic if one says so. Of rows with one id the text with the smallest hash is learnt.
     """
     rows = _learnt_from(docs, labels, sample)
     totals = rows.agg(F.count(F.lit(1)), F.sum("label")).first()

@@ -178,6 +178,16 @@ def test_toxicity_held_out(spark, sf):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in found.values())
 
 
+def test_toxicity_learns_one_row_of_an_id(spark):
+    docs = spark.range(600).selectExpr("CASE WHEN id < 500 THEN 1 ELSE id END AS doc_id", "concat('word', id % 3) AS text")
+    labels = spark.range(520).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS toxic")
+    known = {1, *range(500, 520)}
+    learnt = [i for i in known if zlib.crc32(str(i).encode()) % 3 != 1]
+    for _ in range(2):
+        rows = toxicity._learnt_from(docs, labels, 1000)
+        assert rows.count() == len(learnt) and rows.agg(F.sum("label")).first()[0] == sum(i % 2 for i in learnt)
+
+
 def test_toxicity_odd_rows(spark, odd_docs, no_docs):
     docs = odd_docs.withColumn("score", F.lit("x")).withColumn("label", F.lit(1))
     labels = spark.createDataFrame([(1, 0, 1), (1, 0, 0), (3, 0, None), (None, 1, 1), (6, 1, 0), (99, 1, 1)], "doc_id bigint, quality int, toxic int")
