@@ -8,7 +8,7 @@ nearest centre: greedily from the medoids to its surroundings, then on from ever
 range until no more are in range. Links are verified in double precision where they are found, and
 counted there. Shards above ``BLOCK`` are cut into blocks by hash; every block of queries meets every
 block of targets, so a dense cluster is compared in full without being held by one task. Recall is
-audited against brute force for a bounded sample of classes.
+audited against brute force for a sample of classes that grows with the input, apart for classes with few links.
 """
 
 from __future__ import annotations
@@ -37,7 +37,9 @@ NEAR = 48  # candidates for the list of a node
 ALPHA = 1.2
 BEAM = 32
 ENTRIES = 16
-AUDIT = 256  # classes whose links are counted by brute force
+ONE_IN = 100  # one class in so many has its links counted by brute force
+AUDIT = 256  # classes that are audited besides, for small tables
+FEW = 4  # most links of the classes whose recall is taken apart
 RECALL = 0.9
 TRIES = 3
 
@@ -250,25 +252,35 @@ def _search(shards: DataFrame, lists: DataFrame, least: float, beam: int) -> Dat
     return freeze(targets.unionByName(queries).groupBy("cell", "i", "j").applyInPandas(run, "a bigint, b bigint, n bigint"), "vector-links")
 
 
-def _recall(found: DataFrame, counts: DataFrame, least: float) -> float:
-    """Share of the links of the audited classes that were found, by comparing these with all classes in blocks."""
-    asked = found.orderBy(F.when(F.col("cid") % 100 == 0, 0).otherwise(1), F.xxhash64("cid")).limit(AUDIT).collect()
-    by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for d in {len(r["x"]) for r in asked}:
-        own = [r for r in asked if len(r["x"]) == d]
-        by_size[d] = (np.array([r["cid"] for r in own]), np.array([r["x"] for r in own]))
+def _recall(found: DataFrame, counts: DataFrame, least: float, size: int) -> float | None:
+    """The worst share of true links that ``counts`` holds: of all links of the audited classes, of the links of
+    a class on average, of the links of classes with at most ``FEW``. None where the audited have no link.
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for d, part in frame.groupby(frame["x"].map(len)):
-                if d in by_size:
-                    ids, q = by_size[d]
-                    linked = (_matrix(part["x"]) @ q.T >= least) & (part["cid"].to_numpy()[:, None] != ids)
-                    yield pd.DataFrame({"a": ids, "true": linked.T @ part["copies"].to_numpy()})
+    Audited are one class in ``ONE_IN`` by a hash of its id, and ``AUDIT`` more. They are compared with all classes
+    in blocks of both.
+    """
+    order = F.xxhash64("vec_id", "cid")
+    first = [r["cid"] for r in found.select("cid", order.alias("h")).orderBy("h").limit(AUDIT).collect()]
+    asked = freeze(found.filter((F.pmod(order, F.lit(ONE_IN)) == 0) | F.col("cid").isin(first)).select("cid", "copies", "x"), "vector-audit")
+    parts = {"i": max(1, -(-asked.count() // BLOCK)), "j": max(1, -(-size // BLOCK))}
+
+    def dealt(frame: DataFrame, own: str, other: str, asks: bool) -> DataFrame:
+        block = F.pmod(F.xxhash64("cid"), F.lit(parts[own])).cast("int").alias(own)
+        return frame.select(F.size("x").alias("d"), block, F.explode(F.sequence(F.lit(0), F.lit(parts[other] - 1))).alias(other), F.lit(asks).alias("asks"), "cid", "copies", "x").select("d", "i", "j", "asks", "cid", "copies", "x")
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        queries, targets = frame[frame["asks"]], frame[~frame["asks"]]
+        if not len(queries) or not len(targets):
+            return pd.DataFrame({"a": pd.Series(dtype="int64"), "true": pd.Series(dtype="int64")})
+        linked = (_matrix(queries["x"]) @ _matrix(targets["x"]).T >= least) & (queries["cid"].to_numpy()[:, None] != targets["cid"].to_numpy())
+        return pd.DataFrame({"a": queries["cid"].to_numpy(), "true": linked @ targets["copies"].to_numpy()})
 
-    true = found.mapInPandas(run, "a bigint, true bigint").groupBy("a").agg(F.sum("true").alias("true"))
-    total = true.join(counts, "a", "left").agg(F.sum("true"), F.sum(F.least("true", F.coalesce("n", F.lit(0))))).first()
-    return total[1] / total[0] if total[0] else 1.0
+    both = dealt(asked, "i", "j", True).unionByName(dealt(found, "j", "i", False))
+    true = both.groupBy("d", "i", "j").applyInPandas(run, "a bigint, true bigint").groupBy("a").agg(F.sum("true").alias("true")).filter(F.col("true") > 0)
+    hit = true.join(counts, "a", "left").withColumn("hit", F.least("true", F.coalesce("n", F.lit(0))))
+    few = F.col("true") <= FEW
+    figures = hit.agg(F.sum("hit") / F.sum("true"), F.avg(F.col("hit") / F.col("true")), F.sum(F.when(few, F.col("hit"))) / F.sum(F.when(few, F.col("true")))).first()
+    return min((f for f in figures if f is not None), default=None)
 
 
 def near_vectors(vectors: DataFrame, least: float = COSINE) -> DataFrame:
@@ -277,7 +289,8 @@ def near_vectors(vectors: DataFrame, least: float = COSINE) -> DataFrame:
     Vectors that are null, empty or zero or hold null or non-finite components link with nothing; vectors
     of different lengths and those without ``vec_id`` do not either. Equal vectors link with each other, those
     of repeated rows too. The search is repeated with more shards and a wider beam while the
-    audited recall is below ``RECALL``; ``audit_recall`` is the last figure. Other columns are not read.
+    audited recall is below ``RECALL``; ``audit_recall`` is the last figure, null ("not measured") where the
+    audited classes have no link. Other columns are not read.
     """
     rows = vectors.select(column("vec_id").cast("bigint").alias("vec_id"), column("embedding").cast("array<double>").alias("v"))
     rows = rows.withColumn("ok", _valid(F.col("v")) & F.col("vec_id").isNotNull())
@@ -288,8 +301,8 @@ def near_vectors(vectors: DataFrame, least: float = COSINE) -> DataFrame:
         shards = freeze(_overlapping(found.select("cid", "copies", "x"), overlap, size), "vector-blocks")
         links = _search(shards, freeze(_lists(shards), "vector-lists"), least, beam)
         counts = links.filter("n IS NOT NULL").groupBy("a").agg(F.sum("n").alias("n"))
-        recall = _recall(found.select("cid", "copies", "x"), counts, least)
-        if recall >= RECALL:
+        recall = _recall(found.select("cid", "vec_id", "copies", "x"), counts, least, size)
+        if recall is None or recall >= RECALL:
             break
         overlap, beam = 2 * overlap, 2 * beam
     roots = connected(links.filter("n IS NULL").select("a", "b")).withColumnRenamed("node", "cid")
@@ -300,7 +313,7 @@ def near_vectors(vectors: DataFrame, least: float = COSINE) -> DataFrame:
     linked = rows.filter("ok").join(done, "v").select("vec_id", "n_links", "component_id")
     alone = rows.filter("NOT ok").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
     result = linked.unionByName(alone)
-    return result.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))).withColumn("audit_recall", F.lit(float(recall)))
+    return result.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))).withColumn("audit_recall", F.lit(recall).cast("double"))
 
 
 def op2_vectors(spark, folder: str) -> DataFrame:

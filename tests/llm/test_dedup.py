@@ -265,6 +265,43 @@ def test_vectors_blocks(spark, monkeypatch):
     _check_vectors(spark, spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
 
 
+def _classes(spark, links):
+    """A hot group of 300 near copies and ``links`` isolated pairs, as classes."""
+    rng = np.random.default_rng(12)
+    x = list(rng.normal(size=(2 * links, 32)))
+    for i in range(links):
+        x[2 * i + 1] = x[2 * i] + rng.normal(size=32) * 0.01
+    hot = rng.normal(size=32)
+    x += [hot + rng.normal(size=32) * 0.01 for _ in range(300)]
+    rows = [(i, i, 1, [float(c) for c in v / np.linalg.norm(v)]) for i, v in enumerate(x)]
+    return spark.createDataFrame(rows, "cid bigint, vec_id bigint, copies bigint, x array<double>")
+
+
+def test_audit_sees_lost_pairs(spark):
+    """A hot group that is found in full does not hide that isolated pairs are lost; the audit grows with the input."""
+    found = _classes(spark, 300)
+    hot = spark.range(600, 900).selectExpr("id AS a", "299L AS n")
+    assert vectors._recall(found, hot, 0.95, 900) == 0.0
+    whole = hot.unionByName(spark.range(600).selectExpr("id AS a", "1L AS n"))
+    assert vectors._recall(found, whole, 0.95, 900) == 1.0
+
+
+def test_audit_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "BLOCK", 70)
+    found = _classes(spark, 100)
+    half = spark.range(500).selectExpr("id AS a", "CASE WHEN id >= 200 THEN 299L WHEN id % 4 < 2 THEN 1L ELSE 0L END AS n")
+    assert 0.3 < vectors._recall(found, half, 0.95, 500) < 0.7
+    monkeypatch.setattr(vectors, "AUDIT", 1)
+    monkeypatch.setattr(vectors, "ONE_IN", 1)
+    assert vectors._recall(found, half, 0.95, 500) == 0.5
+
+
+def test_audit_without_links_is_not_measured(spark):
+    rows = [(i, [float(i == j) for j in range(8)]) for i in range(8)]
+    out = vectors.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()
+    assert [r["audit_recall"] for r in out] == [None] * 8
+
+
 def test_vectors_query(spark, sf):
     rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
     found = QUERIES["op2_vectors"](spark, sf).collect()
