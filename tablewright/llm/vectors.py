@@ -3,11 +3,12 @@
 Equal vectors are one class, compared once. Cluster centres are fitted to a bounded sample; every
 class goes to the shards of its nearest centres, so shards overlap. Each shard gets a flat graph: a
 node keeps those of its nearest neighbours that no kept one is much closer to (robust pruning). The
-lists of a class from all its shards are united. Every class is then searched for in the shard of its
-nearest centre: greedily from the medoids to its surroundings, then on from every class found in
-range until no more are in range. Links are verified in double precision where they are found, and
-counted there. Shards above ``BLOCK`` are cut into blocks by hash; every block of queries meets every
-block of targets, so a dense cluster is compared in full without being held by one task. Recall is
+lists of a class from all its shards are united. Every class is then searched for in all its shards:
+greedily from the medoids to its surroundings, then on from every class found in range until no more
+are in range. Links are verified in double precision where they are found. A link that either side's
+search finds is one of both sides; it is counted for both, and joins them, in the first shard that
+both share. Shards above ``BLOCK`` are cut into blocks by hash; every two blocks meet in one task, so
+a dense cluster is compared in full without being held by one task. Recall is
 audited against brute force for a sample of classes that grows with the input, apart for classes with few links.
 """
 
@@ -172,7 +173,7 @@ def _matrix(column) -> np.ndarray:
 
 
 def _overlapping(found: DataFrame, overlap: int, size: int) -> DataFrame:
-    """Each class in the shards of its nearest centres: ``cell, rank, cid, copies, x, blocks``."""
+    """Each class in the shards of its nearest centres: ``cell, cells`` (all its shards), ``cid, copies, x, blocks, block``."""
     sample = found.select("x", F.size("x").alias("d")).orderBy(F.xxhash64("cid")).limit(SAMPLE).collect()
     fitted: dict[int, np.ndarray] = {}
     for d in {r["d"] for r in sample}:
@@ -187,9 +188,10 @@ def _overlapping(found: DataFrame, overlap: int, size: int) -> DataFrame:
                 near = np.argsort(-(x @ fitted[d].T), axis=1, kind="stable")[:, :overlap] if d in fitted else np.zeros((len(x), 1), int)
                 k = near.shape[1]
                 at = np.repeat(np.arange(len(part)), k)
-                yield pd.DataFrame({"cell": (d << 32) + near.ravel(), "rank": np.tile(np.arange(k), len(part)), "cid": part["cid"].to_numpy()[at], "copies": part["copies"].to_numpy()[at], "x": list(x[at])})
+                cells = (d << 32) + near
+                yield pd.DataFrame({"cell": cells.ravel(), "cells": list(cells[at]), "cid": part["cid"].to_numpy()[at], "copies": part["copies"].to_numpy()[at], "x": list(x[at])})
 
-    dealt = freeze(found.mapInPandas(run, "cell bigint, rank int, cid bigint, copies bigint, x array<double>"), "vector-shards")
+    dealt = freeze(found.mapInPandas(run, "cell bigint, cells array<bigint>, cid bigint, copies bigint, x array<double>"), "vector-shards")
     blocks = dealt.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
     return dealt.join(F.broadcast(blocks), "cell").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks").cast("bigint")).cast("int"))
 
@@ -207,49 +209,80 @@ def _lists(shards: DataFrame) -> DataFrame:
     return built.groupBy("cid").agg(F.array_distinct(F.flatten(F.collect_list("next"))).alias("next"))
 
 
+def _entries(x: np.ndarray) -> np.ndarray:
+    """Where a search begins: the medoid, and medoids of the parts that fall to a few spread members."""
+    spread = x[np.linspace(0, len(x) - 1, min(ENTRIES, len(x))).astype(int)]
+    part = (x @ spread.T).argmax(1)
+    entries = {int((x @ x.mean(0)).argmax())}
+    for p in np.unique(part):
+        members = np.flatnonzero(part == p)
+        entries.add(int(members[(x[members] @ x[members].mean(0)).argmax()]))
+    return np.array(sorted(entries))
+
+
+def _found(queries: pd.DataFrame, targets: pd.DataFrame, least: float, beam: int) -> np.ndarray:
+    """Which targets (columns) the search for each query (rows) finds within range."""
+    ids, x = targets["cid"].to_numpy(), _matrix(targets["x"])
+    graph = []
+    for wanted in targets["next"]:
+        at = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
+        graph.append(at[ids[at] == wanted])
+    entries = _entries(x)
+    linked = np.zeros((len(queries), len(ids)), bool)
+    for row, q in enumerate(queries["x"]):
+        near = range_search(np.asarray(q), x, graph, entries, least, beam)
+        linked[row, near[(x[near] * q).sum(1) >= least]] = True
+    return linked
+
+
+def _met_before(cell: int, left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray:
+    """Which rows share a shard that comes before ``cell``; the same whichever of the two is on the left."""
+    a, b = _matrix(left["cells"]), _matrix(right["cells"])
+    met = np.zeros((len(a), len(b)), bool)
+    for other in np.intersect1d(a[a < cell], b[b < cell]):
+        met[np.ix_((a == other).any(1), (b == other).any(1))] = True
+    return met
+
+
+def _tally(linked: np.ndarray, left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
+    """Counts of both sides and stars, see ``_search``. ``same``: left and right are one block, ``linked`` is symmetric."""
+    ids, others = left["cid"].to_numpy(), right["cid"].to_numpy()
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for first in range(0, len(ids), 64):
+        row, col = np.nonzero(linked[first : first + 64])
+        a.append(ids[first + row])
+        b.append(others[col])
+        if sum(map(len, a)) > 100_000:
+            thin = stars(np.concatenate(a), np.concatenate(b))
+            a, b = [thin[0]], [thin[1]]
+    a, b = stars(np.concatenate(a), np.concatenate(b))
+    counted = [(ids, linked @ right["copies"].to_numpy())]
+    if not same:
+        counted.append((others, linked.T @ left["copies"].to_numpy()))
+    out = [pd.DataFrame({"a": i[n > 0], "b": i[n > 0], "n": pd.array(n[n > 0], "Int64")}) for i, n in counted]
+    return pd.concat([*out, pd.DataFrame({"a": a, "b": b, "n": pd.array([None] * len(a), "Int64")})])
+
+
 def _search(shards: DataFrame, lists: DataFrame, least: float, beam: int) -> DataFrame:
-    """Counts (``a`` the class, ``n`` its linked vectors in a block of targets) and links (``n`` null), as stars."""
-    known = shards.join(lists, "cid")
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    targets = known.select("cell", F.col("block").alias("j"), every.alias("i"), F.lit(False).alias("asks"), "cid", "copies", "x", "next")
-    queries = known.filter("rank = 0").select("cell", every.alias("j"), F.col("block").alias("i"), F.lit(True).alias("asks"), "cid", "copies", "x", F.array().cast("array<bigint>").alias("next"))
+    """Counts (``a`` the class, ``n`` its linked vectors in a block) and links (``n`` null), as stars."""
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    known = shards.join(lists, "cid").select("cell", "cells", "block", every, "cid", "copies", "x", "next")
+    known = known.select("cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cells", "block", "cid", "copies", "x", "next")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        targets = frame[~frame["asks"]].sort_values("cid")
-        queries = frame[frame["asks"]].sort_values("cid")
-        out = pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64"), "n": pd.Series(dtype="Int64")})
-        if not len(targets) or not len(queries):
-            return out
-        ids, x, copies = targets["cid"].to_numpy(), _matrix(targets["x"]), targets["copies"].to_numpy()
-        graph = []
-        for wanted in targets["next"]:
-            at = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
-            graph.append(at[ids[at] == wanted])
-        medoid = int((x @ x.mean(0)).argmax())
-        # Further entries: medoids of the parts that fall to a few spread members.
-        spread = x[np.linspace(0, len(x) - 1, min(ENTRIES, len(x))).astype(int)]
-        part = (x @ spread.T).argmax(1)
-        entries = {medoid}
-        for p in np.unique(part):
-            members = np.flatnonzero(part == p)
-            entries.add(int(members[(x[members] @ x[members].mean(0)).argmax()]))
-        entries = np.array(sorted(entries))
-        counts, a, b = [], [], []
-        for cid, q in zip(queries["cid"], queries["x"]):
-            near = range_search(np.asarray(q), x, graph, entries, least, beam)
-            near = near[(x[near] * q).sum(1) >= least]
-            near = near[ids[near] != cid]
-            counts.append(int(copies[near].sum()))
-            a.append(np.full(len(near), cid))
-            b.append(ids[near])
-            if sum(map(len, a[-64:])) > 100_000:
-                thin = stars(np.concatenate(a), np.concatenate(b))
-                a, b = [thin[0]], [thin[1]]
-        a, b = stars(np.concatenate(a), np.concatenate(b))
-        found = pd.DataFrame({"a": queries["cid"].to_numpy(), "b": queries["cid"].to_numpy(), "n": pd.array(counts, "Int64")})
-        return pd.concat([found, pd.DataFrame({"a": a, "b": b, "n": pd.array([None] * len(a), "Int64")})])
-
-    return freeze(targets.unionByName(queries).groupBy("cell", "i", "j").applyInPandas(run, "a bigint, b bigint, n bigint"), "vector-links")
+        frame = frame.sort_values("cid")
+        cell, i, j = (int(frame[c].iloc[0]) for c in ("cell", "i", "j"))
+        left, right = frame[frame["block"] == i], frame[frame["block"] == j]
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64"), "n": pd.Series(dtype="Int64")})
+        linked = _found(left, right, least, beam)
+        linked |= (linked if i == j else _found(right, left, least, beam)).T
+        if i == j:
+            np.fill_diagonal(linked, False)
+        linked &= ~_met_before(cell, left, right)
+        return _tally(linked, left, right, i == j)
+
+    return freeze(known.groupBy("cell", "i", "j").applyInPandas(run, "a bigint, b bigint, n bigint"), "vector-links")
 
 
 def _recall(found: DataFrame, counts: DataFrame, least: float, size: int) -> float | None:

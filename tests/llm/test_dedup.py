@@ -265,6 +265,38 @@ def test_vectors_blocks(spark, monkeypatch):
     _check_vectors(spark, spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
 
 
+def test_links_count_on_both_sides(spark, monkeypatch):
+    """Isolated pairs in many shards: a row counts a link if and only if the other row does, and only then they are joined."""
+    monkeypatch.setattr(vectors, "PER_SHARD", 2)
+    monkeypatch.setattr(vectors, "RECALL", 0.0)
+    rng = np.random.default_rng(13)
+    a = rng.normal(size=(400, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.normal(size=(400, 64))
+    b -= (b * a).sum(1, keepdims=True) * a
+    b = 0.952 * a + (1 - 0.952**2) ** 0.5 * b / np.linalg.norm(b, axis=1, keepdims=True)
+    frame = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(np.concatenate([a, b]))], "vec_id bigint, embedding array<double>")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_vectors(frame).collect()}
+    assert all(found[i][0] == found[i + 400][0] for i in range(400))
+    assert all((found[i + 400][1] == i) == (found[i + 400][0] == 1) for i in range(400))
+    assert sum(found[i][0] for i in range(400)) > 300
+
+
+def test_links_count_once(spark):
+    """A pair in several shards and blocks is counted once for each side."""
+    rng = np.random.default_rng(14)
+    x = rng.normal(size=(60, 16))
+    x = np.concatenate([x, x + rng.normal(size=(60, 16)) * 0.01])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = [(cell, cells, i, 2, [float(c) for c in v], 3, i % 3) for i, v in enumerate(x) for cells in [[2, 1, 3 + (i < 60)]] for cell in cells]
+    shards = spark.createDataFrame(rows, "cell bigint, cells array<bigint>, cid bigint, copies bigint, x array<double>, blocks int, block int")
+    lists = spark.createDataFrame([(i, [j for j in range(120) if j != i]) for i in range(120)], "cid bigint, next array<bigint>")
+    out = vectors._search(shards, lists, 0.95, 32)
+    counts = {r["a"]: r["n"] for r in out.filter("n IS NOT NULL").groupBy("a").agg(F.sum("n").alias("n")).collect()}
+    assert counts == {i: 2 for i in range(120)}
+    assert [(r["a"], r["b"]) for r in out.filter("n IS NULL").orderBy("b").collect()] == [(60 + i, i) for i in range(60)]
+
+
 def _classes(spark, links):
     """A hot group of 300 near copies and ``links`` isolated pairs, as classes."""
     rng = np.random.default_rng(12)
