@@ -14,6 +14,7 @@ audited against brute force for a sample of classes that grows with the input, a
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,8 @@ from ..session import freeze
 from .common import column
 from .components import connected, stars
 
+log = logging.getLogger(__name__)
+
 COSINE = 0.95
 SAMPLE = 20_000  # most classes that centres are fitted to
 PER_SHARD = 500  # classes per centre that are aimed at
@@ -123,8 +126,10 @@ def range_search(q: np.ndarray, x: np.ndarray, graph: list[np.ndarray], entries:
 
     def look(nodes: np.ndarray) -> np.ndarray:
         expanded[nodes] = True
-        new = np.unique(np.concatenate([graph[i] for i in nodes])) if len(nodes) else nodes
-        new = new[similar[new] < -1.5]
+        ahead = np.zeros(len(x), bool)
+        if len(nodes):
+            ahead[np.concatenate([graph[i] for i in nodes])] = True
+        new = np.flatnonzero(ahead & (similar < -1.5))
         if len(new):
             similar[new] = x[new] @ q
         return new
@@ -316,14 +321,36 @@ def _recall(found: DataFrame, counts: DataFrame, least: float, size: int) -> flo
     return min((f for f in figures if f is not None), default=None)
 
 
+def _compared(found: DataFrame, least: float, size: int) -> DataFrame:
+    """Like ``_search``, by comparing every two blocks of all classes in full."""
+    blocks = max(1, -(-size // BLOCK))
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other")
+    dealt = found.select(F.size("x").alias("d"), F.pmod(F.xxhash64("cid"), F.lit(blocks)).cast("int").alias("block"), every, "cid", "copies", "x")
+    dealt = dealt.select("d", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cid", "copies", "x")
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
+        left, right = frame[frame["block"] == i], frame[frame["block"] == j]
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64"), "n": pd.Series(dtype="Int64")})
+        linked = _matrix(left["x"]) @ _matrix(right["x"]).T >= least
+        if i == j:
+            linked |= linked.T
+            np.fill_diagonal(linked, False)
+        return _tally(linked, left, right, i == j)
+
+    return freeze(dealt.groupBy("d", "i", "j").applyInPandas(run, "a bigint, b bigint, n bigint"), "vector-links")
+
+
 def near_vectors(vectors: DataFrame, least: float = COSINE) -> DataFrame:
     """One row per row of ``vectors``: ``vec_id, n_links, component_id, kept, audit_recall``.
 
     Vectors that are null, empty or zero or hold null or non-finite components link with nothing; vectors
     of different lengths and those without ``vec_id`` do not either. Equal vectors link with each other, those
     of repeated rows too. The search is repeated with more shards and a wider beam while the
-    audited recall is below ``RECALL``; ``audit_recall`` is the last figure, null ("not measured") where the
-    audited classes have no link. Other columns are not read.
+    audited recall is below ``RECALL``; if it still is after ``TRIES``, all classes are compared in full.
+    ``audit_recall`` is the last figure (1.0 after comparing in full), null ("not measured") where the audited
+    classes have no link. Other columns are not read.
     """
     rows = vectors.select(column("vec_id").cast("bigint").alias("vec_id"), column("embedding").cast("array<double>").alias("v"))
     rows = rows.withColumn("ok", _valid(F.col("v")) & F.col("vec_id").isNotNull())
@@ -337,7 +364,12 @@ def near_vectors(vectors: DataFrame, least: float = COSINE) -> DataFrame:
         recall = _recall(found.select("cid", "vec_id", "copies", "x"), counts, least, size)
         if recall is None or recall >= RECALL:
             break
+        log.warning("audited recall %.3f with %d shards a class is below %s", recall, overlap, RECALL)
         overlap, beam = 2 * overlap, 2 * beam
+    else:
+        log.warning("comparing all %d classes in full", size)
+        links, recall = _compared(found.select("cid", "copies", "x"), least, size), 1.0
+        counts = links.filter("n IS NOT NULL").groupBy("a").agg(F.sum("n").alias("n"))
     roots = connected(links.filter("n IS NULL").select("a", "b")).withColumnRenamed("node", "cid")
     rooted = found.select("cid", "v", "vec_id", "copies").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     names = rooted.groupBy("root").agg(F.min("vec_id").alias("component_id"))

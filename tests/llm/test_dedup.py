@@ -328,6 +328,18 @@ def test_audit_in_blocks(spark, monkeypatch):
     assert vectors._recall(found, half, 0.95, 500) == 0.5
 
 
+def test_short_search_is_made_up_by_comparing(spark, monkeypatch):
+    """Shards that part every pair: after the last try all classes are compared, over several blocks."""
+    monkeypatch.setattr(vectors, "BLOCK", 50)
+    monkeypatch.setattr(vectors, "TRIES", 1)
+    none = lambda shards, *_: spark.createDataFrame([], "a bigint, b bigint, n bigint")
+    monkeypatch.setattr(vectors, "_search", none)
+    rng = np.random.default_rng(15)
+    x = rng.normal(size=(60, 24))
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate([*x, *(x + rng.normal(size=(60, 24)) * 0.02)])]
+    _check_vectors(spark, spark.createDataFrame([*rows, (500, rows[3][1]), (501, [1.0, 2.0]), (502, [1.0, 2.01])], "vec_id bigint, embedding array<double>"))
+
+
 def test_audit_without_links_is_not_measured(spark):
     rows = [(i, [float(i == j) for j in range(8)]) for i in range(8)]
     out = vectors.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()
