@@ -267,19 +267,20 @@ def test_vectors_blocks(spark, monkeypatch):
 
 def test_links_count_on_both_sides(spark, monkeypatch):
     """Isolated pairs in many shards: a row counts a link if and only if the other row does, and only then they are joined."""
-    monkeypatch.setattr(vectors, "PER_SHARD", 2)
+    monkeypatch.setattr(vectors, "PER_SHARD", 8)
+    monkeypatch.setattr(vectors, "OVERLAP", 2)
     monkeypatch.setattr(vectors, "RECALL", 0.0)
     rng = np.random.default_rng(13)
-    a = rng.normal(size=(400, 64))
+    a = rng.normal(size=(1600, 64))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
-    b = rng.normal(size=(400, 64))
+    b = rng.normal(size=(1600, 64))
     b -= (b * a).sum(1, keepdims=True) * a
     b = 0.952 * a + (1 - 0.952**2) ** 0.5 * b / np.linalg.norm(b, axis=1, keepdims=True)
     frame = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(np.concatenate([a, b]))], "vec_id bigint, embedding array<double>")
     found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_vectors(frame).collect()}
-    assert all(found[i][0] == found[i + 400][0] for i in range(400))
-    assert all((found[i + 400][1] == i) == (found[i + 400][0] == 1) for i in range(400))
-    assert sum(found[i][0] for i in range(400)) > 300
+    assert all(found[i][0] == found[i + 1600][0] for i in range(1600))
+    assert all((found[i + 1600][1] == i) == (found[i + 1600][0] == 1) for i in range(1600))
+    assert sum(found[i][0] for i in range(1600)) > 1500
 
 
 def test_links_count_once(spark):
