@@ -153,7 +153,7 @@ def _holding(counts: DataFrame, n_terms: int) -> np.ndarray:
 def _ranked(counts: DataFrame, asked: dict[int | None, list[int]], weights: np.ndarray, documents: int, words: int, k: int) -> DataFrame:
     """The best of every task: ``item_id, doc_id, score``."""
     model = json.dumps({"items": list(asked), "terms": list(asked.values()), "weights": weights.tolist()}).encode()
-    sent = send(counts.sparkSession, model)
+    sent, limit = send(counts.sparkSession, model), POSTINGS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = json.loads(sent.value)
@@ -180,7 +180,7 @@ def _ranked(counts: DataFrame, asked: dict[int | None, list[int]], weights: np.n
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 part.append(row)
                 size += len(row[2]) // 4 + 1
-                if size >= POSTINGS:
+                if size >= limit:
                     close(part)
                     part, size = [], 0
         if part:

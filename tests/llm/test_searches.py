@@ -2,13 +2,13 @@
 
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tablewright.llm import ranked
+from tablewright.llm import ranked, suffixes
 
 # --- ranked search
 
@@ -90,3 +90,104 @@ def test_search_stops_before_the_ends(monkeypatch):
     monkeypatch.setattr(ranked.np, "unique", lambda x, f=np.unique: looked.append(len(x)) or f(x))
     chosen, _ = lists.best([0, 1], 10)
     assert sorted(chosen) == list(range(10)) and sum(looked) < 300
+
+
+# --- language-model scores
+
+
+def _tokens(text):
+    lower = (text or "").translate(_LOWER)
+    return [w for w in re.split(r"[\x20\x09-\x0D]+", lower) if w] + [None]
+
+
+def _scores_by_hand(rows):
+    """Over dictionaries of n-grams, with the tree's rules written out."""
+    texts = [(_tokens(t), bool(h)) for _, t, h in rows]
+    counts, after = Counter(), defaultdict(Counter)
+    for words, held in texts:
+        for i, w in enumerate(words) if not held else ():
+            for length in range(min(i, suffixes.DEPTH) + 1):
+                after[tuple(words[i - length : i])][w] += 1
+                counts[tuple(words[i - length : i + 1])] += 1
+    tokens, kinds = sum(after[()].values()), len(after[()])
+    least = max(suffixes.LEAST_COUNT, math.ceil(suffixes.LEAST_SHARE * tokens))
+    states = {(): True}
+
+    def root(w):
+        return (after[()][w] + 0.5) / (tokens + 0.5 * (kinds + 1))
+
+    for context in sorted((c for c in after if c and counts[c] >= least), key=len):
+        gain, n_of, d = 0.0, counts[context], len(after[context])
+        for w, n in after[context].items():
+            shorter = root(w) if len(context) == 1 else (after[context[1:]][w] - suffixes.DISCOUNT) / counts[context[1:]]
+            if n == 1:
+                gain += math.log(suffixes.DISCOUNT * max(d - 1, suffixes.DISCOUNT) / (n_of - 1))
+            else:
+                gain += n * (math.log((n - 1 - suffixes.DISCOUNT) / (n_of - 1)) - math.log(shorter))
+        states[context] = gain >= suffixes.GAIN
+        assert abs(gain - suffixes.GAIN) > 1e-3
+
+    def chance(context, w):
+        if not context:
+            return root(w)
+        shorter = chance(context[1:], w)
+        return (max(after[context][w] - suffixes.DISCOUNT, 0) + suffixes.DISCOUNT * len(after[context]) * shorter) / counts[context]
+
+    out, used = [], Counter()
+    for (doc, _, _), (words, held) in zip(rows, texts):
+        score = base = 0.0
+        for i, w in enumerate(words):
+            context = ()
+            for length in range(1, min(i, suffixes.DEPTH) + 1):
+                if not states.get(tuple(words[i - length : i])):
+                    break
+                context = tuple(words[i - length : i])
+            used[len(context)] += 1
+            score += math.log10(chance(context, w))
+            base += math.log10(root(w))
+        out.append((doc, held, len(words), sum(after[()][w] > 0 for w in words), tokens, base, score))
+    return out, used, chance, after
+
+
+def _same_scores(found, wanted):
+    key = lambda r: (str(r[:5]), round(r[6], 6))
+    assert len(found) == len(wanted)
+    for a, b in zip(sorted(found, key=key), sorted(wanted, key=key)):
+        assert tuple(a[:5]) == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-7, abs=1e-7)
+
+
+@pytest.fixture(scope="module")
+def babble():
+    """Texts of a chain that looks back up to three words."""
+    rng = np.random.default_rng(5)
+    words = [f"W{i}" for i in range(4)] + ["É", "\u2003x"]
+    rows = []
+    for doc in range(120):
+        text = []
+        for _ in range(int(rng.integers(0, 80))):
+            seed = hash(tuple(ord(c) for w in text[-3:] for c in w)) % 6
+            text.append(words[seed] if rng.random() < 0.8 else words[int(rng.integers(6))])
+            if rng.random() < 0.02:
+                text.append(f"rare{rng.integers(50)}")
+        rows.append((doc, "  " * (doc % 2) + "\t \n".join(text), doc % 4 == 1))
+    return rows
+
+
+@pytest.mark.parametrize("size", [suffixes.BLOCK_BYTES, 500])
+def test_scores(spark, babble, monkeypatch, size):
+    monkeypatch.setattr(suffixes, "BLOCK_BYTES", size)
+    docs = spark.createDataFrame(babble, "doc_id bigint, text string, train boolean").withColumn("score", F.lit("x")).withColumn("block", F.lit(1)).repartition(3)
+    wanted, used, chance, after = _scores_by_hand(babble)
+    assert set(used) == {0, 1, 2, 3}  # states of every length are at work
+    _same_scores([tuple(r) for r in suffixes.score_texts(docs, "train").collect()], wanted)
+    vocabulary = [*after[()], "never seen"]
+    assert sum(chance(("w1",), w) for w in vocabulary) == pytest.approx(1) == pytest.approx(sum(chance((), w) for w in vocabulary))
+
+
+def test_scores_of_odd_texts(spark, odd_docs, no_docs):
+    held = F.col("doc_id").isin(1, 8)
+    rows = [(r["doc_id"], r["text"], r["doc_id"] in (1, 8)) for r in odd_docs.collect()]
+    _same_scores([tuple(r) for r in suffixes.score_texts(odd_docs.withColumn("h", held), "h").collect()], _scores_by_hand(rows)[0])
+    assert suffixes.score_texts(no_docs.withColumn("h", held), "h").collect() == []
+    untrained = suffixes.score_texts(odd_docs.withColumn("h", F.lit(True)), "h").collect()
+    assert {(r["train_tokens"], r["n_known"], r["score"], r["base_score"]) for r in untrained} == {(0, 0, 0.0, 0.0)}
