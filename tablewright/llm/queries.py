@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, exact, mixing, ranked, shards, simhash, suffixes, tokenfiles, toxicity, unigram, vectors
+from . import bpe, chat, exact, mixing, ranked, shards, simhash, suffixes, tokenfiles, toxicity, trie, unigram, vectors
 from .common import ship
 
 #: Vocabulary files by name; a caller with files elsewhere passes their paths to the operators.
@@ -38,6 +38,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": _shipped(shards.op8_sharding),
     "op9_bpe": _shipped(bpe.op9_bpe, WORD_BPE),
     "op10_tokens": _shipped(tokenfiles.op10_tokens, BYTE_BPE),
+    "op11_trie": _shipped(trie.op11_trie),
     "op12_scores": _shipped(suffixes.op12_scores),
     "op13_ranked": _shipped(ranked.op13_ranked),
 }
@@ -47,5 +48,6 @@ ORACLES = {
     "op3_exact_dedup": exact.ORACLE,
     "op6_chat": chat.ORACLE,
     "op8_sharding": shards.ORACLE,
+    "op11_trie": trie.ORACLE,
     "op13_ranked": ranked.ORACLE,
 }

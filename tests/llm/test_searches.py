@@ -1,14 +1,16 @@
 """Ranked search, language-model scores and the conversation trie against brute force."""
 
+import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tablewright.llm import ranked, suffixes
+from tablewright.llm import ranked, suffixes, trie
 
 # --- ranked search
 
@@ -191,3 +193,92 @@ def test_scores_of_odd_texts(spark, odd_docs, no_docs):
     assert suffixes.score_texts(no_docs.withColumn("h", held), "h").collect() == []
     untrained = suffixes.score_texts(odd_docs.withColumn("h", F.lit(True)), "h").collect()
     assert {(r["train_tokens"], r["n_known"], r["score"], r["base_score"]) for r in untrained} == {(0, 0, 0.0, 0.0)}
+
+
+# --- conversation trie
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_parens(seed):
+    rng = np.random.default_rng(seed)
+    bits, depth, n = [], 0, int(rng.integers(1, 3000))
+    for left in range(2 * n, 0, -1):
+        opens = depth == 0 or (depth < left and rng.random() < (0.5, 0.9, 0.55)[seed % 3])
+        bits.append(int(opens))
+        depth += 1 if opens else -1
+    closes, stack = {}, []
+    for i, b in enumerate(bits):
+        if b:
+            stack.append(i)
+        else:
+            closes[stack.pop()] = i
+    parens = trie.Parens(np.array(bits))
+    pairs = [i for i in range(len(bits) - 1) if bits[i] and not bits[i + 1]]
+    for i, j in closes.items():
+        assert parens.find_close(i) == j
+        assert parens.opens_before(i) == sum(bits[:i])
+        if i % 7 == 0:
+            assert parens.leaves_within(i, j) == sum(i <= p < j for p in pairs)
+
+
+def _trie_by_hand(rows, rebuilt):
+    digest = lambda r: hashlib.sha256(f"{len(r[2])}:{r[2]}{r[3]}".encode()).digest()
+    turns = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            turns[conv].append((conv, turn, role or "", text or ""))
+    for t in turns.values():
+        t.sort(key=lambda r: (r[1] is not None, r[1] or 0, digest(r)))
+    paths = {}
+    for conv, own in turns.items():
+        h = zlib.crc32(str(conv).encode()) % 6 if rebuilt else 0
+        paths[conv] = tuple((r[2], r[3]) for r in turns.get(conv - conv % 100, [])[:h] + own[h:])
+    members = defaultdict(list)
+    for conv in sorted(paths):
+        for d in range(len(paths[conv]) + 1):
+            members[paths[conv][:d]].append(conv)
+    children = defaultdict(set)
+    for node in members:
+        if node:
+            children[node[:-1]].add(node)
+    leaves, saved = Counter(), Counter()
+    for node, held in members.items():
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += not children[node]
+            saved[node[:d]] += (len(held) - 1) * len(node[-1][1]) if node else 0
+    out = []
+    for node, held in members.items():
+        ends = ",".join(str(c) for c in held if paths[c] == node)
+        out.append((held[0], len(node), members[node[:-1]][0] if node else None, len(held), len(children[node]), leaves[node], saved[node], hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def _trie(rows, spark, rebuilt, parts=3):
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(parts)
+    found = trie.conversation_trie(table.withColumn("name", F.lit(1)).withColumn("Place", F.lit("x")), rebuilt)
+    assert found.columns == trie.NODES
+    return sorted((tuple(r) for r in found.collect()), key=str)
+
+
+@pytest.fixture(scope="module")
+def talks():
+    """Conversations that branch at every depth, copies, some that end inside others, one with a third of all rows."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for conv in [*range(90), *range(100, 130), 205, 1203]:
+        for turn in range(int(rng.integers(1, 7))):
+            rows.append((conv, turn, ("user", "assistant")[turn % 2], "é" * turn + "ab"[int(rng.integers(2))]))
+    rows += [(c, t, "user", text) for c in (300, 301, 302, 77_777) for t, text in enumerate(("same", "same", "", None, "end"))]
+    rows += [(7_000, t // 3, "user", f"turn {t % 40}") for t in range(300)]
+    rows += [(7_001, t // 3, "user", f"turn {t % 40}") for t in range(250)]
+    return rows + [(5_000, None, None, None), (5_000, None, "user", "b"), (5_000, None, "user", "b"), (None, 1, "user", "x"), (-3, 2, None, "y"), (-3, 1, "user", None)]
+
+
+@pytest.mark.parametrize("rebuilt", [False, True])
+def test_trie(spark, talks, rebuilt):
+    assert _trie(talks, spark, rebuilt) == _trie_by_hand(talks, rebuilt)
+
+
+def test_trie_of_few_conversations(spark):
+    for rows in ([], [(None, 0, "user", "x")], [(4, 0, "user", "x")], [(4, 0, "user", "x"), (4, 1, None, None)], [(4, 0, "u", "x" * 200_000), (5, 0, "u", "x" * 200_000)]):
+        assert _trie(rows, spark, False, 1) == _trie_by_hand(rows, False)
