@@ -36,8 +36,8 @@ LEAST_SHARE = 4e-6  # of all training tokens that a context has to make up: at m
 LEAST_COUNT = 8  # occurrences that it has to have besides
 GAIN = 4.0  # nats of log-likelihood by which a context has to predict better than its suffix
 DISCOUNT = 0.5  # taken off each count of a state
-BLOCK_BYTES = 12 << 20  # bytes of text after which a block ends; a text is never cut
-KEYS = 1 << 21  # n-grams of a task that sums them, about
+BLOCK_BYTES = 5 << 20  # bytes of text after which a block ends; a text is never cut
+KEYS = 1 << 20  # n-grams of a task that sums them, about
 _FIXED = float(1 << 24)  # partial sums are whole multiples of its inverse, so they do not depend on the order
 
 _END = np.uint64(xxhash.xxh64_intdigest(b" "))  # a word is never a blank
