@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from tablewright.plans.ledger import fingerprint
 from tablewright.plans.pipeline import run_pipeline
-from tablewright.session import scratch_uri
+from tablewright.session import freeze, scratch_uri
 from tablewright.sources.files import read_csv, read_object
 from tablewright.sources.sinks import materialize, write_csv, write_object
 from tablewright.streaming.files import (
@@ -48,6 +48,21 @@ def roundtrip_csv_pipeline(t):
     return read_csv(t.spark, second, schema=schema, multi_line=True)
 
 
+@query("SELECT conv_id, turn, role, text FROM conversations")
+def roundtrip_csv_split(t):
+    """One file read in splits of a few lines, so that many texts with line breaks cross their borders."""
+    uri = scratch_uri(t.spark, "conversations") + ".csv"
+    write_csv(t.conversations, uri, single_file=True)
+    before = {k: t.spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    t.spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    t.spark.conf.set("spark.sql.files.openCostInBytes", "2k")
+    try:
+        return freeze(read_csv(t.spark, uri, schema="conv_id bigint, turn bigint, role string, text string", multi_line=True))
+    finally:
+        for k, v in before.items():
+            t.spark.conf.set(k, v)
+
+
 @query("SELECT * FROM orders")
 def roundtrip_parquet(t):
     return materialize(t.orders)

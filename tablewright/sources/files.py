@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.nulls import CAST_TARGETS, as_list, col
+from ..functions.nulls import CAST_TARGETS, as_list, col, quoted
+from .records import records_of
 
 # Cell texts read as missing.
 NA_TOKENS = (
@@ -42,7 +43,8 @@ def read_csv(
 
     Without ``schema`` every cell is read as text, missing-value words become null, and one
     aggregate over the files finds the narrowest type of each column. ``multi_line`` allows line
-    breaks in quoted cells, at the price that a file is read by one task. A row with too many or too
+    breaks in quoted cells; large files are still split, at the price of one more pass, see ``records_of``.
+    Only files in other encodings than UTF-8 are then read by one task each. A row with too many or too
     few cells, or one that does not fit ``schema``, ends the job; ``bad_rows="keep"`` cuts or fills it.
     """
     if not path:
@@ -63,9 +65,12 @@ def read_csv(
         .option("columnPruning", bad_rows == "keep")  # else only the cells that are asked for are looked at
         .options(**(storage or {}))
     )
+    if multi_line and encoding.lower().replace("-", "") == "utf8":
+        raw = _open(lambda: _split_csv(spark, reader, path, sep, has_header, schema, bad_rows, storage or {}), path)
+    else:
+        raw = _open(lambda: (reader if schema is None else reader.schema(schema)).csv(path), path)
     if schema is not None:
-        return _open(lambda: reader.schema(schema).csv(path), path)
-    raw = _open(lambda: reader.csv(path), path)
+        return raw
     if not has_header:
         raw = raw.toDF(*[str(i) for i in range(len(raw.columns))])
     known = raw.select(*[F.when(~col(c).isin(*NA_TOKENS), col(c)).alias(c) for c in raw.columns])
@@ -78,6 +83,21 @@ def read_csv(
     return known.select(*[chosen.get(c, col(c)).alias(c) for c in known.columns])
 
 
+def _split_csv(spark, reader, path, sep: str, has_header: bool, schema, bad_rows: str, storage: dict[str, str]) -> DataFrame:
+    """Records are found first, so that any of their cells may hold line breaks, and then taken apart one by one."""
+    if schema is None:
+        names = reader.csv(path).columns  # looks at the first record
+        names[-1] = names[-1].removesuffix("\r")
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    elif isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    records = records_of(spark, path, sep, has_header, storage)
+    options = {"sep": sep, "quote": '"', "escape": '"', "multiLine": "true", "mode": "FAILFAST" if bad_rows == "fail" else "PERMISSIVE"}
+    ddl = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    cells = records.select(F.from_csv("record", ddl, options).alias("cells"))
+    return cells.select("cells.*")
+
+
 def _open(read, path, hint: str = "") -> DataFrame:
     try:
         return read()
