@@ -77,6 +77,16 @@ class Encoder:
         self.flat, self.starts, self.sizes = np.zeros(1 << 16, self.dtype), np.zeros(KEPT_PIECES, np.int64), np.zeros(KEPT_PIECES, np.int64)
         self.filled = 0
 
+    def _forget_half(self) -> None:
+        """The newer half of the pieces stays, with its ids moved to the front."""
+        old = len(self.known) // 2
+        kept, base = list(self.known)[old:], int(self.starts[old])
+        self.known = _Known(zip(kept, range(len(kept))))
+        self.filled -= base
+        self.flat[: self.filled] = self.flat[base : base + self.filled].copy()
+        self.starts[: len(kept)] = self.starts[old : old + len(kept)] - base
+        self.sizes[: len(kept)] = self.sizes[old : old + len(kept)].copy()
+
     def _ids(self, pieces: list[str]) -> list[list[int]]:
         """A Latin word goes to the model at once; other pieces are split by the library first."""
         whole, model, symbols = LATIN.fullmatch, self.library.model, self.symbols
@@ -108,7 +118,7 @@ class Encoder:
     def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in one array, ``end`` after each text, and the number of each text's ids."""
         if len(self.known) > KEPT_PIECES:
-            self._forget()
+            self._forget_half()
         pieces: list[str] = []
         counts = []
         for text in texts:

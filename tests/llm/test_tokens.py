@@ -189,3 +189,19 @@ def test_token_files(spark, odd_docs, no_docs, byte_library, tmp_path):
         assert used == sum(r["n_tokens"] for r in rows if r["file"] == file)
     nothing = tokenfiles.write_tokens(no_docs, vocabulary(BYTE_BPE), f"file://{tmp_path}/b")
     assert tokenfiles.read_tokens(nothing).collect() == []
+
+
+def test_pieces_are_forgotten_by_halves(monkeypatch):
+    monkeypatch.setattr(tokenfiles, "KEPT_PIECES", 60)
+    path = vocabulary(BYTE_BPE)
+    encoder, library = tokenfiles.Encoder(tokenfiles.read_file(path)), tokenizers.Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(("the", "of", f"word{rng.randrange(400)}", "é")) for _ in range(12)) for _ in range(200)]
+    most = 0
+    for i in range(0, 200, 3):
+        ids, sizes = encoder.encode(texts[i : i + 3], 0)
+        most = max(most, len(encoder.known))
+        wanted = [[*e.ids, 0] for e in library.encode_batch(texts[i : i + 3], add_special_tokens=False)]
+        assert np.split(ids, np.cumsum(sizes)[:-1])[0].tolist() == wanted[0] and ids.tolist() == sum(wanted, [])
+    assert most < 150
