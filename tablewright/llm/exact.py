@@ -3,7 +3,7 @@
 Texts are equal when they are the same after deleting blanks. A Misra-Gries summary per partition
 finds the digests that may be frequent; an exact count over all rows verifies them and finds the row
 of each that stays. These winners are few by the summary's bound, so they are broadcast and their
-copies are settled where they are read. All other digests have fewer than one ``COUNTERS``-th of the
+copies are settled where they are read. All other digests have at most two ``COUNTERS``-ths of the
 rows each and are shuffled.
 """
 
@@ -37,7 +37,11 @@ def summary(counts: dict[str, int], counters: int) -> dict[str, int]:
 
 
 def heavy_hitters(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
-    """``sha`` of at most ``counters`` digests, among them all that have more than a ``counters``-th of the rows."""
+    """``sha`` of at most ``counters`` digests, among them all that have more than two ``counters``-ths of the rows.
+
+    A summary counts a digest too low by at most a ``counters``-th of its partition's rows, so such a digest keeps a
+    sum of more than a ``counters``-th of all rows, and no more than ``counters`` digests can have that.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, int] = {}
@@ -45,8 +49,8 @@ def heavy_hitters(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
             for entry in pc.value_counts(batch.column(0)).to_pylist():
                 counts[entry["values"]] = counts.get(entry["values"], 0) + entry["counts"]
             counts = summary(counts, counters)
-        frequent = {key: n for key, n in counts.items() if n > 1}
-        yield pa.RecordBatch.from_pydict({"sha": pa.array(list(frequent), pa.string()), "n": pa.array(list(frequent.values()), pa.int64())})
+        # A digest that is frequent in all may be seen once in each partition, so every counter goes on.
+        yield pa.RecordBatch.from_pydict({"sha": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
 
     counted = digests.select("sha").mapInArrow(run, "sha string, n bigint")
     return counted.groupBy("sha").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "sha").limit(counters).select("sha")

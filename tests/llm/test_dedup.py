@@ -113,6 +113,14 @@ def test_summary_bound():
             assert n <= 40 or key in counts
 
 
+def test_thinly_spread_digest_is_found(spark):
+    """A quarter of all rows, and one row in each partition."""
+    rows = [("hot" if i % 4 == 0 else f"own {i}",) for i in range(400)]
+    spread = spark.createDataFrame(spark.sparkContext.parallelize(rows, 100), "sha string")
+    found = {r["sha"] for r in exact.heavy_hitters(spread, 7).collect()}
+    assert "hot" in found and len(found) == 7
+
+
 def test_heavy_texts_are_split_off(spark):
     rows = [(i, f"text {i % 7}" if i % 3 else "the hot text" + " " * (i % 5)) for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
