@@ -8,6 +8,8 @@ partitioning or retry.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,10 +40,10 @@ def source_rates(docs: DataFrame, weights: dict[str, float], other: float = 1.0,
         raise ValueError("weights must not be negative")
     sizes = docs.select(column("source").cast("string").alias("source"), (F.char_length(text_of()) + 1).cast("bigint").alias("size"))
     sizes = freeze(sizes.groupBy("source").agg(F.sum("size").alias("size")), "source-sizes")
-    named = F.lit(float(other))
-    for name, weight in weights.items():
-        named = F.when(F.col("source") == name, F.lit(float(weight))).otherwise(named)
-    weighed = sizes.withColumn("weight", named)
+    # One value however many weights there are, taken apart into a table of its own.
+    listed = json.dumps({str(name): float(weight) for name, weight in weights.items()})
+    named = docs.sparkSession.range(1).select(F.explode(F.from_json(F.lit(listed), "map<string,double>")).alias("name", "weight"))
+    weighed = sizes.join(named, F.col("source") == F.col("name"), "left").select("source", "size", F.coalesce("weight", F.lit(float(other))).alias("weight"))
     total = weighed.agg(F.sum("weight").alias("w"), F.sum("size").alias("s")).first()
     if not total["w"]:
         return weighed.select("source", "size", F.lit(0.0).alias("rate"))
