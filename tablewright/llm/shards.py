@@ -17,7 +17,6 @@ from .common import column, fresh, text_of
 LIMIT = 1 << 20  # bytes of a shard of the query
 HALF = 60  # bits of the hash of the id; as many of the row itself follow, for repeated ids
 MORE_BITS = 8  # bits by which shards that are still too large are looked at again
-DIRECTORY = 1 << 20  # most shards; more need a larger limit
 
 
 def hash_bits(doc_id: Column) -> Column:
@@ -36,8 +35,6 @@ def assign(rows: DataFrame, limit: int, h: str = "h", r: str = "r", size: str =
     """
     total = rows.agg(F.sum(size)).first()[0] or 0
     wanted = math.ceil(math.log2(max(1.0, total / limit)))
-    if 1 << wanted > DIRECTORY:
-        raise ValueError(f"about {1 << wanted} shards of {limit} bytes: choose a larger limit")
 
     def prefix(depth: int) -> Column:
         return F.substring(F.concat(F.lpad(F.bin(column(h)), HALF, "0"), F.lpad(F.bin(column(r)), HALF, "0")), 1, depth)

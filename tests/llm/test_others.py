@@ -64,6 +64,15 @@ def test_mixing(spark, odd_docs, no_docs, monkeypatch, slices):
     assert mixing.mix_sources(no_docs, weights).collect() == []
 
 
+def test_many_weights(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('s', id % 1000) AS source", "'text' AS text")
+    weights = {f"s{i}": 0.0 if i % 2 else 2.0 for i in range(20_000)}
+    found = {r["source"]: r["rate"] for r in mixing.source_rates(docs, weights, other=1.0).collect()}
+    assert len(found) == 1000 and all((rate == 0) == (int(s[1:]) % 2 == 1) for s, rate in found.items())
+    mixed = mixing.mix_sources(docs, weights, seed=2)
+    assert mixed.filter("int(substring(source, 2)) % 2 = 1").isEmpty() and 2500 < mixed.count() < 3500
+
+
 def test_mixture_has_target_weights(spark):
     docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit("ten letters").alias("text"), F.when(F.col("id") < 5000, "big").otherwise("small").alias("source"))
     mixed = mixing.mix_sources(docs, {"big": 1.0, "small": 1.0}).groupBy("source").count().collect()
@@ -226,6 +235,12 @@ def test_shards(spark, odd_docs, limit):
     _check_shards(rows, limit)
 
 
+def test_more_shards_than_a_million_bytes(spark):
+    docs = spark.createDataFrame([(1, "x" * 2_000_000), (2, "y"), (3, "y")], "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in shards.shard_documents(docs, 1).collect()}
+    assert found[1]["shard_docs"] == found[2]["shard_docs"] == 1 and len({r["shard"] for r in found.values()}) == 3
+
+
 def test_written_shards(spark, odd_docs, no_docs, tmp_path):
     docs = odd_docs.withColumn("_cell", F.lit(1))
     shards.write_shards(docs, str(tmp_path / "out"), 10_000)
