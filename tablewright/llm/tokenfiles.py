@@ -32,7 +32,7 @@ from .common import column, partitions, read_file, send, slices, text_of
 
 LENGTH = 2048  # ids of a sequence
 ROWS = 64  # sequences of a batch
-KEPT_PIECES = 400_000  # encoded pieces a worker keeps
+KEPT_PIECES = 1_000_000  # encoded pieces a worker keeps
 
 # White space as the splitting pattern of byte-level vocabularies sees it (Unicode White_Space).
 SPACE = "".join(map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
