@@ -1,10 +1,11 @@
 from pyspark.sql import functions as F
 
-from tablewright.plans.ledger import fingerprint
+from tablewright.plans.ledger import content_of, content_of_files, fingerprint
 from tablewright.plans.pipeline import run_pipeline
 from tablewright.session import freeze, scratch_uri
 from tablewright.sources.files import read_csv, read_object
 from tablewright.sources.sinks import materialize, write_csv, write_object
+from tablewright.streaming.commits import read_sink
 from tablewright.streaming.files import (
     clean_stream,
     read_stream,
@@ -38,6 +39,27 @@ def roundtrip_json(t):
     return read_object(t.spark, uri).select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
+MICROS = "SELECT event_id, ts + to_microseconds((event_id * 7919) % 1000000) AS ts FROM events"
+
+
+def _micros(t):
+    return t.events.select("event_id", (F.col("ts") + F.expr("make_dt_interval(0, 0, 0, ((event_id * 7919) % 1000000) / 1000000.0)")).alias("ts"))
+
+
+@query(MICROS)
+def roundtrip_csv_micros(t):
+    uri = scratch_uri(t.spark, "events") + ".csv"
+    write_csv(_micros(t), uri)
+    return read_csv(t.spark, uri, parse_dates=["ts"])
+
+
+@query(MICROS)
+def roundtrip_json_micros(t):
+    uri = scratch_uri(t.spark, "events") + ".json"
+    write_object(_micros(t), uri)
+    return read_object(t.spark, uri).select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
 @query("SELECT conv_id, turn, role, text FROM conversations")
 def roundtrip_csv_pipeline(t):
     """Quoted line breaks through a configured run."""
@@ -105,7 +127,7 @@ def stream_cleaned_rows(t):
     cleaned = clean_stream(stream, {"remove_duplicates": False, "filter_expr": "value > 10"})
     uri = scratch_uri(t.spark, "stream")
     write_append(cleaned, uri).awaitTermination()
-    return t.spark.read.parquet(uri).drop("batch")
+    return read_sink(t.spark, uri).drop("batch")
 
 
 @query("SELECT DISTINCT user_id, event_type FROM events")
@@ -115,7 +137,7 @@ def stream_distinct(t):
     uri = scratch_uri(t.spark, "stream")
     stores = t.spark.sparkContext.defaultParallelism
     write_append(unique.select("user_id", "event_type"), uri, state_partitions=stores).awaitTermination()
-    return t.spark.read.parquet(uri).drop("batch")
+    return read_sink(t.spark, uri).drop("batch")
 
 
 @query("SELECT event_id, value FROM events UNION ALL SELECT o_orderkey, o_totalprice FROM orders")
@@ -128,7 +150,20 @@ def stream_two_runs(t):
         frame.repartition(3).write.parquet(folder)
         stream = read_stream(t.spark, folder, "event_id bigint, value double", max_files=1)
         write_append(stream, uri, name=folder.rsplit("-", 1)[-1]).awaitTermination()
-    return t.spark.read.parquet(uri).drop("batch")
+    return read_sink(t.spark, uri).drop("batch")
+
+
+@query("SELECT event_id, value FROM events UNION ALL SELECT o_orderkey, o_totalprice FROM orders")
+def stream_own_checkpoints(t):
+    """Two streams with progress folders of their own, both counting their batches from zero, into one sink."""
+    uri = scratch_uri(t.spark, "stream")
+    rows = [t.events.select("event_id", "value"), t.orders.select(F.col("o_orderkey").alias("event_id"), F.col("o_totalprice").alias("value"))]
+    for frame in rows:
+        folder = scratch_uri(t.spark, "incoming")
+        frame.repartition(2).write.parquet(folder)
+        stream = read_stream(t.spark, folder, "event_id bigint, value double", max_files=1)
+        write_append(stream, uri, checkpoint=scratch_uri(t.spark, "progress")).awaitTermination()
+    return read_sink(t.spark, uri).drop("batch")
 
 
 @query("""WITH q AS (SELECT quantile_cont(value, 0.25) AS a, quantile_cont(value, 0.75) AS b FROM events)
@@ -138,7 +173,7 @@ def stream_cleaned_batches(t):
     stream = _event_stream(t).select("event_id", "value")
     config = {"dedup_cols": ["event_id"], "remove_outliers": True, "outlier_cols": ["value"]}
     write_cleaned(stream, config, uri).awaitTermination()
-    return t.spark.read.parquet(uri).select("event_id", "value")
+    return read_sink(t.spark, uri).select("event_id", "value")
 
 
 @query("""SELECT event_id, CASE WHEN value > 100 THEN 'value:max_value' ELSE '' END AS rules FROM events""")
@@ -146,9 +181,9 @@ def stream_quarantine(t):
     rules = {"validity": {"column_rules": {"value": {"max_value": 100}}}}
     good, bad = scratch_uri(t.spark, "good"), scratch_uri(t.spark, "bad")
     write_quarantine(_event_batches(t).select("event_id", "value"), rules, good, bad).awaitTermination()
-    kept = t.spark.read.parquet(good).select("event_id", F.lit("").alias("rules"))
+    kept = read_sink(t.spark, good).select("event_id", F.lit("").alias("rules"))
     return kept.unionByName(
-        t.spark.read.parquet(bad).select("event_id", F.array_join("violated_rules", "|").alias("rules"))
+        read_sink(t.spark, bad).select("event_id", F.array_join("violated_rules", "|").alias("rules"))
     )
 
 
@@ -194,7 +229,17 @@ def sql_from_config(t):
     return run.data
 
 
-@query()
+@query("""SELECT count(*) AS rows, true AS same_in_any_order, true AS same_in_files, false AS same_after_a_change,
+    true AS same_without_reading FROM lineitem""")
 def content_fingerprint(t):
-    """A hash sum that only Spark's hash function reproduces."""
-    return fingerprint(t.lineitem)
+    """Hash sums that do not depend on the order or the files, differ after one change, and are read off the ledger later."""
+    rows, ledger, folder = t.lineitem, scratch_uri(t.spark, "ledger"), scratch_uri(t.spark, "lineitem")
+    rows.repartition(5).write.parquet(folder)
+    first = content_of(rows)
+    least = rows.agg(F.min("l_extendedprice")).first()[0]
+    changed = rows.withColumn("l_tax", F.when(F.col("l_extendedprice") == least, -1.0).otherwise(F.col("l_tax")))
+    files = content_of_files(t.spark, ledger, folder, "parquet")
+    again = content_of_files(t.spark, ledger, folder, "parquet")
+    facts = [content_of(rows.repartition(7, "l_suppkey")) == first, files == first, content_of(changed) == first, again == files]
+    names = ["same_in_any_order", "same_in_files", "same_after_a_change", "same_without_reading"]
+    return fingerprint(rows).select("rows", *[F.lit(f).alias(n) for f, n in zip(facts, names)])

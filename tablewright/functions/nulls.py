@@ -49,6 +49,24 @@ def col(name: str) -> Column:
     return F.col(quoted(name))
 
 
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """Names like ``names`` that are no column yet, whatever the case, for columns that an operator adds for itself."""
+    taken = {c.lower() for c in columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def refuse_taken(columns: list[str], out: str) -> None:
+    """A result column must not replace one of the table."""
+    if out.lower() in {c.lower() for c in columns}:
+        raise ValueError(f"column '{out}' exists already: choose another name for the result")
+
+
 def legacy_type(data_type: T.DataType) -> str:
     return LEGACY_TYPES.get(type(data_type), "object")
 

@@ -29,13 +29,17 @@ def lenient(spark: SparkSession) -> Iterator[None]:
         spark.conf.set("spark.sql.ansi.enabled", before)
 
 
+def names_text(df: DataFrame, cond: str | Column) -> bool:
+    """Does a condition given as text name a text column?"""
+    return isinstance(cond, str) and any(c in cond for c, kind in df.dtypes if kind == "string")
+
+
 def compares_unlike(df: DataFrame, cond: str | Column) -> str | None:
     """The error of a condition that reads text cells as numbers or dates, where some are not; else None.
 
     Only a condition given as text that names a text column is tried, on the columns it reads.
     """
-    texts = [c for c, kind in df.dtypes if kind == "string"]
-    if not isinstance(cond, str) or df.isStreaming or not any(c in cond for c in texts):
+    if df.isStreaming or not names_text(df, cond):
         return None
     try:
         df.agg(F.count_if(condition(cond))).first()

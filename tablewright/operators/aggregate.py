@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions.aggregates import NESTED, QUANTILES, approx_quantiles, check_name, measures
 from ..functions.nulls import as_list, col, nan_to_null, nulls_last, numeric_columns, require_columns, require_frame, value_of
-from ..functions.predicates import condition
+from ..functions.predicates import names_text
 from ..functions.quantiles import ROW_LIMIT, quantile_frame, quantile_values
+from ..session import freeze
+from .clean import filter_rows
 
 ARRAY_LIMIT = 100_000  # most distinct values allowed in one array cell
 SUMMARY_PROBS = [0.25, 0.5, 0.75]
@@ -78,7 +80,9 @@ def aggregate(
     result = result.select(*[col(k) for k in keys], *[col(c) for c in _output_columns(requests)])
 
     if post_filter is not None and post_filter != "":
-        result = result.filter(condition(post_filter))
+        if names_text(result, post_filter):
+            result = freeze(result, "aggregated")  # its text cells are looked at before they are compared
+        result = filter_rows(result, post_filter)
     sort_cols = as_list(sort_by)
     if sort_cols:
         require_columns(result, sort_cols, "Sort")

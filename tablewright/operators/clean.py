@@ -14,6 +14,7 @@ from ..functions.nulls import (
     CAST_TARGETS,
     as_list,
     col,
+    free_names,
     is_orderable,
     nan_to_null,
     nulls_last,
@@ -47,7 +48,8 @@ def dedup(df: DataFrame, subset: list[str] | str | None = None, order_by: list[s
     if not order:
         return df.dropDuplicates(subset)
     first = Window.partitionBy(*[col(c) for c in subset]).orderBy(*nulls_last(order))
-    return df.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
+    place = free_names(df.columns, "_place")[0]
+    return df.withColumn(place, F.row_number().over(first)).filter(col(place) == 1).drop(place)
 
 
 def drop_missing(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -117,9 +119,8 @@ def fill_mode(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def filter_rows(df: DataFrame, cond: str | Column, on_error: str = "raise", skipped: list[str] | None = None) -> DataFrame:
     """Keep rows where ``cond`` is true. Where it has no result, as after a division by zero, it is not.
 
-    NaN is missing in a condition given as text; a Column is taken as it is. ``on_error="skip"`` leaves
-    out a condition that does not resolve or that takes text cells for numbers, logs it and adds it to
-    ``skipped``.
+    NaN is missing in a condition given as text; a Column is taken as it is. A condition that does not resolve or
+    that takes text cells for numbers is refused, or with ``on_error="skip"`` left out, logged and added to ``skipped``.
     """
     if on_error not in ("raise", "skip"):
         raise ValueError("on_error must be 'raise' or 'skip'")
@@ -127,7 +128,9 @@ def filter_rows(df: DataFrame, cond: str | Column, on_error: str = "raise", skip
     if isinstance(cond, str):
         df = nan_to_null(df)
     try:
-        if on_error == "skip" and (unlike := compares_unlike(df, cond)):
+        if unlike := compares_unlike(df, cond):
+            if on_error == "raise":
+                raise ValueError(f"filter {cond!r} takes text for another type: {unlike}")
             return _skip(df, "filter", cond, unlike, skipped)
         with lenient(df.sparkSession):
             if isinstance(cond, str) and not tells_missing(cond):

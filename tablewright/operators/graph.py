@@ -9,17 +9,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.nulls import as_list, col, nulls_last, require_columns, total_order
-from ..functions.predicates import condition
+from ..functions.nulls import as_list, col, free_names, nan_to_null, nulls_last, require_columns, total_order
+from .clean import filter_rows
 from .joins import spread_join
 
 MODES = ("merge", "replace")
 
 
 def match_nodes(nodes: DataFrame, label: str | None = None, where: str | Column | None = None) -> DataFrame:
+    """Nodes of a label for which ``where`` is true; NaN is missing, in the condition and in the result."""
+    nodes = nan_to_null(nodes)
     if label is not None:
         nodes = nodes.filter(F.col("label") == label)
-    return nodes if where is None else nodes.filter(condition(where))
+    return nodes if where is None else filter_rows(nodes, where)
 
 
 def match_edges(
@@ -38,6 +40,7 @@ def match_edges(
 
     A node with very many edges does not slow its task down, see ``spread_join``.
     """
+    edges = nan_to_null(edges)
     if rel_type is not None:
         edges = edges.filter(F.col("type") == rel_type)
     starts = _ends(match_nodes(nodes, from_label), id_field, from_field, "from_", edges)
@@ -62,7 +65,8 @@ def _latest(incoming: DataFrame, keys: list[str], order_by) -> DataFrame:
         return incoming.dropDuplicates(keys)
     backwards = [col(c).desc_nulls_last() for c in order]
     last = Window.partitionBy(*[col(k) for k in keys]).orderBy(*backwards)
-    return incoming.withColumn("_rn", F.row_number().over(last)).filter("_rn = 1").drop("_rn")
+    place = free_names(incoming.columns, "_place")[0]
+    return incoming.withColumn(place, F.row_number().over(last)).filter(col(place) == 1).drop(place)
 
 
 def _refuse_null(df: DataFrame, keys: list[str]) -> None:
@@ -76,18 +80,19 @@ def _refuse_null(df: DataFrame, keys: list[str]) -> None:
 def _overlay(existing: DataFrame, incoming: DataFrame, keys: list[str], mode: str) -> DataFrame:
     """Keyed full outer join; incoming columns win where the key came in, nulls included."""
     extra = [c for c in incoming.columns if c not in existing.columns]
-    old = existing.select(*[col(k) for k in keys], F.struct(*[col(c) for c in existing.columns]).alias("_old"))
-    new = incoming.select(*[col(k) for k in keys], F.struct(*[col(c) for c in incoming.columns]).alias("_new"))
+    was, now = free_names(keys, "_old", "_new")
+    old = existing.select(*[col(k) for k in keys], F.struct(*[col(c) for c in existing.columns]).alias(was))
+    new = incoming.select(*[col(k) for k in keys], F.struct(*[col(c) for c in incoming.columns]).alias(now))
     joined = old.join(new, keys, "full_outer")
-    came = F.col("_new").isNotNull()
+    came = F.col(now).isNotNull()
     columns = []
     for c in existing.columns + extra:
         if c in keys:
             columns.append(col(c))
             continue
-        before = F.col("_old").getField(c) if c in existing.columns else F.lit(None)
+        before = F.col(was).getField(c) if c in existing.columns else F.lit(None)
         if c in incoming.columns:
-            columns.append(F.when(came, F.col("_new").getField(c)).otherwise(before).alias(c))
+            columns.append(F.when(came, F.col(now).getField(c)).otherwise(before).alias(c))
         elif mode == "replace":
             columns.append(F.when(~came, before).alias(c))
         else:
@@ -111,6 +116,7 @@ def upsert_nodes(
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     keys = [id_field]
+    existing, incoming = nan_to_null(existing), nan_to_null(incoming)
     if label is not None:
         incoming = incoming.withColumn("label", F.lit(label))
         keys = ["label", id_field]
@@ -140,7 +146,7 @@ def upsert_edges(
     end nodes are looked up.
     """
     keys = [from_field, to_field, "type"]
-    incoming = incoming.withColumn("type", F.lit(rel_type))
+    edges, incoming = nan_to_null(edges), nan_to_null(incoming).withColumn("type", F.lit(rel_type))
     require_columns(incoming, keys, "Edge key")
     incoming = incoming.filter(col(from_field).isNotNull() & col(to_field).isNotNull())
     latest = _latest(incoming, keys, order_by)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.nulls import as_list, col, is_orderable, legacy_type, nan_to_null, require_frame
+from ..functions.nulls import as_list, col, is_orderable, legacy_type, nan_to_null, refuse_taken, require_frame
 from ..functions.predicates import lenient, violates, why_invalid
 from .profile import Facts, duplicates, percent, printed, rounded
 
@@ -319,8 +319,12 @@ def _issue(result: dict, rules: dict) -> str:
 
 
 def tag_violations(df: DataFrame, rules: dict | None = None, out: str = "violated_rules") -> DataFrame:
-    """``df`` plus the names of the row rules each row violates; a projection, also on streams."""
+    """``df`` plus the names of the row rules each row violates; a projection, also on streams.
+
+    ``out`` must not be a column of ``df``.
+    """
     require_frame(df, "tag_violations")
+    refuse_taken(df.columns, out)
     clean = nan_to_null(df)
     marks = [
         F.when(r.row, F.lit(r.target if r.name == "condition" else f"{r.target}:{r.name}"))
@@ -332,8 +336,8 @@ def tag_violations(df: DataFrame, rules: dict | None = None, out: str = "violate
         return clean.withColumn(out, names)
 
 
-def split_violations(df: DataFrame, rules: dict | None = None) -> tuple[DataFrame, DataFrame]:
-    """(good rows, bad rows with ``violated_rules``)."""
-    tagged = tag_violations(df, rules)
-    good = tagged.filter(F.size("violated_rules") == 0).drop("violated_rules")
-    return good, tagged.filter(F.size("violated_rules") > 0)
+def split_violations(df: DataFrame, rules: dict | None = None, out: str = "violated_rules") -> tuple[DataFrame, DataFrame]:
+    """(good rows, bad rows with the names of the violated rules in ``out``)."""
+    tagged = tag_violations(df, rules, out)
+    good = tagged.filter(F.size(col(out)) == 0).drop(out)
+    return good, tagged.filter(F.size(col(out)) > 0)

@@ -5,8 +5,12 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.nulls import nan_to_null, require_frame
+from ..functions.predicates import lenient
+
+TEXT_BYTES = 16 << 20  # longest query text
 
 
 def sql_transform(
@@ -14,7 +18,7 @@ def sql_transform(
 ) -> DataFrame:
     """Run ``query`` (or the text in ``sql_file``, which wins) with ``df`` visible as ``table_name``.
 
-    NaN is missing there. The view is dropped again at once: the returned plan is already resolved.
+    NaN is missing there, and a division by zero has no result. The view is dropped again at once: the returned plan is already resolved.
     """
     require_frame(df, "sql_transform")
     if not query and not sql_file:
@@ -29,7 +33,8 @@ def sql_transform(
         spark.table(table_name).createOrReplaceTempView(shadowed)
     df.createOrReplaceTempView(table_name)
     try:
-        return spark.sql(query)
+        with lenient(spark):
+            return spark.sql(query)
     finally:
         if shadowed:
             spark.table(shadowed).createOrReplaceTempView(table_name)
@@ -39,11 +44,14 @@ def sql_transform(
 
 
 def read_text(df: DataFrame, uri: str) -> str:
-    """A small text file from any file system Spark can reach."""
-    rows = df.sparkSession.read.text(uri, wholetext=True).collect()
-    if not rows:
+    """A text file of at most ``TEXT_BYTES`` from any file system Spark can reach."""
+    files = df.sparkSession.read.format("binaryFile").load(uri)
+    found = files.select("path", "length").orderBy("path").limit(2).collect()
+    if not found or not found[0]["length"]:
         raise FileNotFoundError(f"SQL file is empty or missing: {uri}")
-    return rows[0][0]
+    if len(found) > 1 or found[0]["length"] > TEXT_BYTES:
+        raise ValueError(f"{uri} is not one file of at most {TEXT_BYTES} bytes")
+    return files.select(F.decode("content", "UTF-8")).first()[0]
 
 
 def apply_sql_transform(df: DataFrame, sql_query: str, table_name: str = "data") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -210,10 +211,14 @@ def run_pipeline(
         if config.get(section):
             pick(registry, config[section], section)  # refuse unknown types before any job
 
-    source = extract(spark, config["source"])
-    content = runs.content_of(source) if ledger else None
-    if ledger and runs.unchanged(spark, ledger, name, config, content):
+    content = _file_content(spark, ledger, config["source"]) if ledger else None
+    if content and runs.unchanged(spark, ledger, name, config, content):
         return Run("skipped")
+    source = extract(spark, config["source"])
+    if ledger and content is None:
+        content = runs.content_of(source)
+        if runs.unchanged(spark, ledger, name, config, content):
+            return Run("skipped")
 
     watched: dict[str, Observation] = {}
     data = _watch(source, "extract", watched) if metrics else source
@@ -241,6 +246,25 @@ def run_pipeline(
     return Run("completed", data, analysis, counted)
 
 
+def _file_content(spark: SparkSession, ledger: str, source: dict) -> str | None:
+    """The content of a source that is files, without opening those that the ledger knows; None for other sources."""
+    if source["type"] == "csv" and source.get("path"):
+        return _known_files(spark, ledger, source["path"], "csv", None)
+    if source["type"] == "s3":
+        uri = object_uri(source)
+        return _known_files(spark, ledger, uri, "parquet" if uri.endswith(".parquet") else "lines", object_settings(source))
+    return None
+
+
+def _known_files(spark: SparkSession, ledger: str, path, fmt: str, storage: dict | None) -> str | None:
+    try:
+        return runs.content_of_files(spark, ledger, path, fmt, storage)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return None  # the source itself says what is missing
+        raise
+
+
 def _watch(df: DataFrame, step: str, watched: dict[str, Observation]) -> DataFrame:
     watched[step] = Observation()
     return df.observe(watched[step], F.count(F.lit(1)).alias("rows"))

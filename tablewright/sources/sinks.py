@@ -14,6 +14,9 @@ from .files import BATCH_FORMATS, load_intermediate
 
 MODES = ("error", "overwrite", "append")
 
+# Times are written with all six digits, which the readers take as they are.
+TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 
 def _write(write, uri: str) -> None:
     try:
@@ -51,6 +54,7 @@ def write_csv(
         .option("encoding", encoding)
         .option("escape", '"')
         .option("quote", '"')
+        .options(**TIMES)
         .options(**(storage or {}))
     )
     _write(lambda: writer.csv(path), path)
@@ -68,7 +72,7 @@ def write_object(df: DataFrame, uri: str, overwrite: bool = False, storage: dict
     if fmt == "csv":
         write_csv(df, uri, mode, storage=storage)
     elif fmt == "json":
-        _write(lambda: writer.option("ignoreNullFields", "false").json(uri), uri)
+        _write(lambda: writer.option("ignoreNullFields", "false").options(**TIMES).json(uri), uri)
     else:
         _write(lambda: writer.parquet(uri), uri)
 
@@ -98,7 +102,7 @@ def materialize(df: DataFrame, uri: str | None = None, fmt: str = "parquet") ->
     elif fmt == "csv":
         write_csv(df, uri, "overwrite")
     elif fmt == "json":
-        df.write.mode("overwrite").option("ignoreNullFields", "false").json(uri)
+        df.write.mode("overwrite").option("ignoreNullFields", "false").options(**TIMES).json(uri)
     else:
         raise ValueError(f"unsupported format: {fmt}")
     return load_intermediate(spark, uri, fmt)

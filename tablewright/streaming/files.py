@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.nulls import as_list, col, is_orderable, nan_to_null
+from ..functions.nulls import as_list, col, free_names, is_orderable, nan_to_null
 from ..operators.clean import clean, drop_missing, fill_missing, filter_rows, standardize_columns
-from ..operators.quality import tag_violations
-
-BATCH_COLUMN = "batch"  # sink files are kept apart by micro-batch
+from ..operators.quality import split_violations
+from .commits import stream_id, write_batch
 
 
 def read_stream(
@@ -58,8 +57,9 @@ def clean_stream(
         subset = as_list(config.get("dedup_cols")) or df.columns
         if slices > 1:
             content = [col(f.name) for f in df.schema.fields if is_orderable(f.dataType)]
-            df = df.withColumn("_slice", F.pmod(F.xxhash64(*content, F.spark_partition_id()), F.lit(slices)))
-            df = df.dropDuplicatesWithinWatermark([*subset, "_slice"]).drop("_slice")
+            piece = free_names(df.columns, "_slice")[0]
+            df = df.withColumn(piece, F.pmod(F.xxhash64(*content, F.spark_partition_id()), F.lit(slices)))
+            df = df.dropDuplicatesWithinWatermark([*subset, piece]).drop(piece)
         df = df.dropDuplicatesWithinWatermark(subset)
     strategy = config.get("missing_strategy", "drop")
     if strategy == "drop":
@@ -81,42 +81,50 @@ def write_batchwise(
     once: bool = True,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Apply a table step to each micro-batch and keep its result under ``uri``.
+    """Apply a table step to each micro-batch and keep its result under ``uri``, each batch exactly once.
 
-    Each batch replaces its own folder, so a batch that is run again leaves no copies. Progress is
-    kept below ``uri`` unless ``checkpoint`` names a place, so a later start goes on where the last
-    one ended. A stream belongs to its source folder; streams of several folders into one place need a
-    ``name`` each, and Spark refuses to go on with another folder under the same name.
+    A batch has a folder of its own and a commit, written last; ``commits.read_sink`` reads what is committed, and a
+    batch that runs again after its commit is not written twice. Progress is kept below ``uri`` unless ``checkpoint``
+    names a place, so a later start goes on where the last one ended. A stream belongs to its source folder; streams
+    of several folders into one place need a ``name`` or a ``checkpoint`` each.
     """
-    prefix = f"{name}-" if name else ""
+    place = checkpoint or progress_of(uri, name)
 
     def write(batch: DataFrame, number: int) -> None:
-        step(batch).write.mode("overwrite").parquet(f"{uri}/{BATCH_COLUMN}={prefix}{number}")
+        write_batch(step(batch), uri, stream_id(batch.sparkSession, place), number)
 
-    return _start(df.writeStream.foreachBatch(write), df, checkpoint or progress_of(uri, name), once)
+    return _start(df.writeStream.foreachBatch(write), df, place, once)
 
 
-def write_cleaned(df: DataFrame, config: dict, uri: str, checkpoint: str | None = None, once: bool = True):
+def write_cleaned(df: DataFrame, config: dict, uri: str, checkpoint: str | None = None, once: bool = True, name: str | None = None):
     """Full cleaning per micro-batch: statistics are those of the batch."""
-    return write_batchwise(df, lambda batch: clean(batch, config), uri, checkpoint, once)
+    return write_batchwise(df, lambda batch: clean(batch, config), uri, checkpoint, once, name)
 
 
 def write_quarantine(
-    df: DataFrame, rules: dict, good_uri: str, bad_uri: str, checkpoint: str | None = None, once: bool = True
+    df: DataFrame,
+    rules: dict,
+    good_uri: str,
+    bad_uri: str,
+    checkpoint: str | None = None,
+    once: bool = True,
+    name: str | None = None,
+    out: str = "violated_rules",
 ) -> StreamingQuery:
-    """Good rows to one place, violating rows with their rule names to another."""
+    """Good rows to one place, violating rows with their rule names in ``out`` to another; places as for ``write_batchwise``."""
+    place = checkpoint or progress_of(good_uri, name)
 
     def write(batch: DataFrame, number: int) -> None:
-        tagged = tag_violations(batch, rules).persist()
+        stream = stream_id(batch.sparkSession, place)
+        batch = batch.persist()
         try:
-            clean_rows = tagged.filter(F.size("violated_rules") == 0).drop("violated_rules")
-            clean_rows.write.mode("overwrite").parquet(f"{good_uri}/{BATCH_COLUMN}={number}")
-            bad_rows = tagged.filter(F.size("violated_rules") > 0)
-            bad_rows.write.mode("overwrite").parquet(f"{bad_uri}/{BATCH_COLUMN}={number}")
+            good, bad = split_violations(batch, rules, out)
+            write_batch(good, good_uri, stream, number)
+            write_batch(bad, bad_uri, stream, number)
         finally:
-            tagged.unpersist()
+            batch.unpersist()
 
-    return _start(df.writeStream.foreachBatch(write), df, checkpoint or progress_of(good_uri), once)
+    return _start(df.writeStream.foreachBatch(write), df, place, once)
 
 
 def write_append(
@@ -127,9 +135,9 @@ def write_append(
     state_partitions: int | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Append a stream to Parquet files, each row exactly once, over any number of starts.
+    """Append a stream to Parquet files, each row exactly once, over any number of starts and progress folders.
 
-    Places and ``name`` as for ``write_batchwise``; readers see the column ``batch``.
+    Places and ``name`` as for ``write_batchwise``; read with ``commits.read_sink``.
     ``state_partitions`` sets the number of state stores of stateful steps, which a stream
     keeps from its first start on; the default is the session's shuffle partitions.
     """

@@ -1,5 +1,6 @@
 import datetime
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,10 +8,12 @@ from pyspark.sql import functions as F
 from tablewright.operators.graph import match_edges, match_nodes, upsert_edges, upsert_nodes
 from tablewright.operators.sqlops import apply_sql_transform, sql_transform
 from tablewright.plans import ledger
+from tablewright.plans.ledger import content_of, content_of_files
 from tablewright.plans.pipeline import SINKS, SOURCES, TRANSFORMS, extract, load, pick, run_pipeline, transform
 from tablewright.session import freeze, shared_dir
 from tablewright.sources.files import from_rows, load_intermediate, object_settings, object_uri, read_csv, read_object
 from tablewright.sources.sinks import materialize, write_batches, write_csv, write_object
+from tablewright.streaming.commits import commits, read_sink, write_batch
 from tablewright.streaming.files import clean_stream, read_stream, write_append, write_batchwise, write_quarantine
 
 
@@ -382,3 +385,77 @@ def test_stream_batches_and_quarantine(spark, stream_folder, tmp_path):
     write_quarantine(stream, rules, good, bad).awaitTermination()
     assert spark.read.parquet(good).count() == 24
     assert {tuple(r["violated_rules"]) for r in spark.read.parquet(bad).collect()} == {("v:required",)}
+
+
+def test_own_progress_folders_share_a_sink(spark, stream_folder, tmp_path):
+    """Ten rows and then three, each stream with a batch number zero."""
+    more = str(tmp_path / "more")
+    spark.read.parquet(stream_folder).limit(3).coalesce(1).write.parquet(more)
+    out = str(tmp_path / "out")
+    for i, folder in enumerate((stream_folder, more)):
+        stream = read_stream(spark, folder, SCHEMA)
+        write_append(stream, out, checkpoint=str(tmp_path / f"progress{i}")).awaitTermination()
+    assert read_sink(spark, out).count() == 33
+    assert commits(spark, out).select("stream").distinct().count() == 2
+
+
+def test_batch_that_breaks_off_is_not_read_and_runs_again(spark, stream_folder, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    stream = read_stream(spark, stream_folder, SCHEMA, max_files=1)
+    calls = []
+
+    def step(batch):
+        calls.append(1)
+        if len(calls) == 2:
+            batch.limit(1).write.parquet(f"{out}/batch=left-over")  # as if the files were there and the commit was not
+            raise RuntimeError("lost")
+        return batch
+
+    with pytest.raises(Exception, match="lost"):
+        write_batchwise(stream, step, out).awaitTermination()
+    assert read_sink(spark, out).count() == 10
+    write_batchwise(stream, step, out).awaitTermination()
+    assert read_sink(spark, out).count() == 30 and len(calls) == 4
+    identity = commits(spark, out).first()["stream"]
+    batch = spark.read.parquet(stream_folder)
+    write_batch(batch, out, identity, 0)  # a batch that has a commit is not written twice
+    assert read_sink(spark, out).count() == 30
+    with pytest.raises(FileNotFoundError):
+        read_sink(spark, str(tmp_path / "nothing"))
+    with pytest.raises(ValueError, match="batch"):
+        write_batch(batch.withColumn("batch", F.lit(1)), out, identity, 9)
+
+
+# --- what is known of files ----------------------------------------------------------------
+
+
+def test_known_files_are_not_opened(spark, tmp_path):
+    ledger, folder = str(tmp_path / "ledger"), str(tmp_path / "in")
+    rows = spark.range(40).selectExpr("id", "map('b', id, 'a', 1L) AS m", "array(map(1, id)) AS deep", "named_struct('m', map('x', id)) AS s")
+    rows.repartition(4).write.parquet(folder)
+    first = content_of_files(spark, ledger, folder, "parquet")
+    assert first == content_of(rows) == content_of(rows.selectExpr("id", "map('a', 1L, 'b', id) AS m", "deep", "s").repartition(3))
+    assert first != content_of(rows.selectExpr("id", "map('b', id, 'a', 2L) AS m", "deep", "s"))
+    stored = spark.read.parquet(f"{ledger}/_files").count()
+    assert content_of_files(spark, ledger, folder, "parquet") == first
+    assert spark.read.parquet(f"{ledger}/_files").count() == stored == 4
+    for file in (tmp_path / "in").glob("part-*.parquet"):  # the same size and time, and nothing that could be read
+        changed = file.stat().st_mtime_ns
+        file.write_bytes(b"x" * file.stat().st_size)
+        os.utime(file, ns=(changed, changed))
+    assert content_of_files(spark, ledger, folder, "parquet") == first
+
+
+def test_only_new_files_are_read(spark, tmp_path):
+    ledger, folder = str(tmp_path / "ledger"), tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,v\n1,x\n")
+    (folder / "empty.csv").write_text("")
+    config = {"source": {"type": "csv", "path": str(folder)}, "load": {"type": "csv", "path": str(tmp_path / "out"), "overwrite": True}}
+    assert [run_pipeline(spark, config, ledger).status for _ in range(2)] == ["completed", "skipped"]
+    (folder / "b.csv").write_text("id,v\n2,y\n")
+    assert [run_pipeline(spark, config, ledger).status for _ in range(2)] == ["completed", "skipped"]
+    assert spark.read.parquet(f"{ledger}/_files").count() == 2  # an empty file has nothing to be known
+    (folder / "b.csv").write_text("id,v\n2,zz\n")
+    assert run_pipeline(spark, config, ledger).status == "completed"
+    assert spark.read.parquet(f"{ledger}/_files").count() == 3
