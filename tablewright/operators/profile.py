@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,13 +63,6 @@ def _bytes(df: DataFrame, name: str) -> Column:
     return F.octet_length(c.cast("string"))
 
 
-def correlation(a: Column, b: Column) -> Column:
-    """Pearson correlation over rows where both are known; null when either is constant."""
-    a_known, b_known = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-    raw = F.try_divide(F.covar_pop(a, b), F.stddev_pop(a_known) * F.stddev_pop(b_known))
-    return F.when(raw > 1, 1.0).when(raw < -1, -1.0).otherwise(raw)
-
-
 DIRECT_ROWS = 5_000_000  # rows compared in full without looking at hashes first
 REPEATED_HASHES = 500_000  # most repeated row hashes sent to every task
 
@@ -133,26 +129,49 @@ def null_analysis(df: DataFrame) -> DataFrame:
 
 
 def correlations(df: DataFrame, cols: list[str] | None = None, numeric: str = "strict") -> DataFrame:
-    """column_a, column_b, correlation for every ordered pair.
+    """column_a, column_b, correlation for every ordered pair, over the rows where both are known.
 
-    One scan for any number of columns: each row is spread over the pairs, which are combined before
-    the shuffle to one row per pair and task.
+    No row is spread over pairs: a task adds up matrices of counts, sums and products, and these are summed by
+    position, one row per pair and task. Values are taken less a middle one of their column, so that large
+    values with a small spread lose no digits; a constant has no correlation.
     """
     cols = cols or numeric_columns(df, numeric)
-    n = len(cols)
+    n, spark = len(cols), df.sparkSession
     if not n:
-        return df.sparkSession.createDataFrame([], "column_a string, column_b string, correlation double")
-    firsts = df.select(
-        F.array(*[value_of(df, c).cast("double") for c in cols]).alias("v"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i")
-    )
-    pairs = firsts.select("v", "i", F.explode(F.sequence(F.col("i"), F.lit(n - 1))).alias("j"))
-    pairs = pairs.select("i", "j", F.get("v", F.col("i")).alias("x"), F.get("v", F.col("j")).alias("y"))
-    found = pairs.groupBy("i", "j").agg(correlation(F.col("x"), F.col("y")).alias("correlation"))
+        return spark.createDataFrame([], "column_a string, column_b string, correlation double")
+    values = df.select(*[value_of(df, c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+    middle = values.agg(*[F.percentile_approx(f"v{i}", 0.5, 100) for i in range(n)]).first()
+    shift = [m or 0.0 for m in middle]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((5, n, n))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float) - shift
+            known = ~np.isnan(x)
+            x = np.where(known, x, 0.0)
+            with np.errstate(invalid="ignore"):
+                sums += (known.T.astype(float) @ known, x.T @ known, known.T @ x, (x * x).T @ known, x.T @ x)
+        i, j = np.triu_indices(n)
+        # Squares of the second column where the first is known: those of the first, mirrored.
+        found = [*(s[i, j] for s in sums[:4]), sums[3][j, i], sums[4][i, j]]
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), *map(pa.array, found)], names=["i", "j", "n", "x", "y", "xx", "yy", "xy"])
+
+    parts = values.mapInArrow(run, "i int, j int, n double, x double, y double, xx double, yy double, xy double")
+    none = spark.range(n * n).select((F.col("id") / n).cast("int").alias("i"), (F.col("id") % n).cast("int").alias("j")).filter("i <= j")
+    parts = parts.unionByName(none.withColumns({c: F.lit(0.0) for c in ("n", "x", "y", "xx", "yy", "xy")}))  # for an empty table
+    total = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    spread = F.sqrt(F.greatest(_moment("xx", "x", "x"), F.lit(0.0))) * F.sqrt(F.greatest(_moment("yy", "y", "y"), F.lit(0.0)))
+    raw = F.try_divide(_moment("xy", "x", "y"), spread)
+    found = total.select("i", "j", F.when(raw > 1, 1.0).when(raw < -1, -1.0).otherwise(raw).alias("correlation"))
     name = F.array(*[F.lit(c) for c in cols])
-    ordered = df.sparkSession.range(n * n).select((F.col("id") / n).cast("int").alias("a"), (F.col("id") % n).cast("int").alias("b"))
-    # One row per pair of columns, whatever the number of rows.
-    joined = ordered.join(F.broadcast(found), (F.least("a", "b") == F.col("i")) & (F.greatest("a", "b") == F.col("j")), "left")
-    return joined.select(F.get(name, F.col("a")).alias("column_a"), F.get(name, F.col("b")).alias("column_b"), "correlation")
+    pair = F.array(F.struct(F.col("i").alias("a"), F.col("j").alias("b")), F.struct(F.col("j").alias("a"), F.col("i").alias("b")))
+    both = found.select(F.explode(F.when(F.col("i") == F.col("j"), F.slice(pair, 1, 1)).otherwise(pair)).alias("p"), "correlation")
+    return both.select(F.get(name, F.col("p.a")).alias("column_a"), F.get(name, F.col("p.b")).alias("column_b"), "correlation")
+
+
+def _moment(product: str, first: str, second: str) -> Column:
+    """Mean of the product less the product of the means."""
+    return F.try_divide(F.col(product), F.col("n")) - F.try_divide(F.col(first), F.col("n")) * F.try_divide(F.col(second), F.col("n"))
 
 
 def duplicates(

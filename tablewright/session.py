@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +44,20 @@ def scratch_uri(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tablewright/{name}-{uuid.uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers of the session's executors, once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_shipped_tablewright", None) == context.applicationId:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(target, "w") as file:
+        for source in sorted(package.rglob("*.py")):
+            file.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(target))  # Spark takes it from the driver to the executors
+    context._shipped_tablewright = context.applicationId
+
+
 def freeze(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import freeze
+from ..session import freeze, ship_package
 
 PIECE_BYTES = 1 << 16  # longest piece of a border record that the first pass keeps; longer ones take a pass of their own
 
@@ -184,6 +184,7 @@ def records_of(spark: SparkSession, path: str | list[str], sep: str, skip_first:
     Partitions are those of the plain read, and one more where records cross borders. The splits are worked out here;
     a later read that cuts the files otherwise (the session's split size or number of cores has changed) ends with an error.
     """
+    ship_package(spark)
     lines = lines_of(spark, path, storage)
     notes = freeze(_notes(lines, sep, piece_bytes), "csv-splits")
     inside, begun = _begins(notes)
