@@ -1,6 +1,9 @@
 """Spark SQL over registered tables; the oracle is the same question in the other dialect."""
 
+from pyspark.sql import functions as F
+
 from tablewright.operators.sqlops import apply_sql_transform, sql_transform
+from tablewright.operators.timejoins import asof_join, interval_join
 
 from .registry import query
 
@@ -118,19 +121,34 @@ def sql_anti_join(t):
     return t.spark.sql(EXISTS_SQL.replace("{word}", "NOT"), supplier=t.supplier, lineitem=t.lineitem)
 
 
-# The last shipment that each order's customer got up to the day of the order: both tables in one
-# window per customer, so no pairs of orders and shipments are made.
-ASOF_SQL = """WITH shipped AS (SELECT o_custkey AS k, l_shipdate AS at FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey),
-    mixed AS (SELECT o_custkey AS k, o_orderdate AS at, o_orderkey, NULL AS shipment FROM {orders}
-        UNION ALL SELECT k, at, NULL, at FROM shipped),
-    known AS (SELECT o_orderkey, max(shipment) OVER (PARTITION BY k ORDER BY at) AS last_shipment FROM mixed)
-    SELECT o_orderkey, last_shipment FROM known WHERE o_orderkey IS NOT NULL"""
-
-
 @query("""WITH shipped AS (SELECT o_custkey AS k, l_shipdate AS last_shipment FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
     SELECT o_orderkey, last_shipment FROM orders ASOF LEFT JOIN shipped ON k = o_custkey AND o_orderdate >= last_shipment""")
 def sql_asof_join(t):
-    return t.spark.sql(ASOF_SQL, lineitem=t.lineitem, orders=t.orders)
+    """The last shipment that each order's customer got up to the day of the order."""
+    shipped = t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", F.col("l_shipdate").alias("last_shipment"))
+    found = asof_join(t.orders, shipped, "o_orderdate", "o_custkey", "last_shipment")
+    return found.select("o_orderkey", "last_shipment")
+
+
+@query("""SELECT event_id, o_orderkey FROM events ASOF LEFT JOIN
+    (SELECT o_orderdate AS at, max(o_orderkey) AS o_orderkey FROM orders GROUP BY o_orderdate) ON ts > at""")
+def asof_join_sliced(t):
+    """The last order before each event, all under one key, which is above the limit: last rows are carried over slices."""
+    placed = t.orders.select(F.col("o_orderdate").cast("timestamp").alias("at"), "o_orderkey")
+    events = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    found = asof_join(events, placed, "ts", right_time="at", exact=False, row_limit=events.count() // 4)
+    return found.select("event_id", "o_orderkey")
+
+
+@query("""WITH o AS (SELECT *, o_orderdate + to_days((CASE WHEN o_orderkey % 500 = 0 THEN 400 ELSE o_orderkey % 3 END)::INT) AS upto FROM orders)
+    SELECT o_orderpriority, l_returnflag, count(*) AS n, round(sum(l_quantity), 2) AS units FROM lineitem
+    JOIN o ON l_shipdate BETWEEN o_orderdate AND upto GROUP BY ALL""")
+def interval_join_shipments(t):
+    """Shipments while an order is open; a few orders stay open for more than a year."""
+    days = F.when(F.col("o_orderkey") % 500 == 0, 400).otherwise(F.col("o_orderkey") % 3)
+    spans = t.orders.withColumn("upto", F.col("o_orderdate") + F.make_dt_interval(days)).select("o_orderpriority", "o_orderdate", "upto")
+    pairs = interval_join(t.lineitem.select("l_shipdate", "l_returnflag", "l_quantity"), spans, "l_shipdate", ("o_orderdate", "upto"))
+    return pairs.groupBy("o_orderpriority", "l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("units"))
 
 
 HAVING_SQL = """SELECT l_suppkey, count(DISTINCT l_partkey) AS parts,
