@@ -2,6 +2,6 @@
 
 from .registry import ORACLES, QUERIES
 
-from . import aggregation, cleaning, files, graph, profiling, quality, sql  # noqa: F401, E402
+from . import aggregation, cleaning, files, graph, profiling, quality, sql, whole  # noqa: F401, E402
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -193,3 +193,11 @@ def group_row_index(t):
 def agg_boolean(t):
     rows = t.orders.select("o_orderstatus", (F.col("o_totalprice") > 100000).alias("dear"))
     return aggregate(rows, "o_orderstatus", {"dear": ["sum", "mean"]}).withColumn("dear_mean", F.round("dear_mean", 6))
+
+
+@query("""SELECT o_custkey, round(sum(o_totalprice), 2) AS o_totalprice_sum, count(o_orderkey) AS o_orderkey_count FROM orders GROUP BY 1
+    HAVING sum(o_totalprice) / nullif(count(o_orderkey) - 5, 0) > 100000""")
+def post_filter_zero_divisor(t):
+    """A group whose condition has no result is left out and ends no job."""
+    config = {"o_totalprice": ["sum"], "o_orderkey": ["count"]}
+    return _rounded(aggregate(t.orders, "o_custkey", config, post_filter="o_totalprice_sum / (o_orderkey_count - 5) > 100000"), 2, "o_totalprice_sum")

@@ -225,3 +225,32 @@ def filter_forms(t):
     for more in kept[1:]:
         result = result.unionByName(more)
     return result
+
+
+HELPERS = ("_place", "_rn", "_at", "_slice", "_slot", "_rows")
+
+
+@query("""SELECT o_orderkey, o_custkey, o_totalprice, 1 AS _place, 2 AS _rn, 3 AS _at, 4 AS _slice, 5 AS _slot, 6 AS _rows FROM orders
+    QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) <= 1""")
+def dedup_taken_names(t):
+    """Columns named like the helpers of the operators stay as they are."""
+    named = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", *[F.lit(i).alias(n) for i, n in enumerate(HELPERS, 1)])
+    first = dedup(named, ["o_custkey"], ["o_orderkey"])
+    return group_head(first, ["o_custkey"], ["o_orderkey"], 1)
+
+
+@query("""SELECT count(*) AS rows, true AS refused, count(*) FILTER (c_mktsegment = 'BUILDING') AS building FROM customer""")
+def dedup_filter_unlike(t):
+    """A filter that takes text for numbers is refused; one over text is not."""
+    try:
+        dedup_and_filter(t.customer, {"filter_expr": "c_name > 5"})
+        refused = False
+    except ValueError:
+        refused = True
+    kept = dedup_and_filter(t.customer, {"filter_expr": "c_mktsegment = 'BUILDING'"}).agg(F.count(F.lit(1)).alias("building"))
+    return t.customer.agg(F.count(F.lit(1)).alias("rows"), F.lit(refused).alias("refused")).crossJoin(kept)
+
+
+@query("SELECT o_orderkey, o_totalprice / nullif(o_custkey % 3, 0) AS share FROM orders")
+def sql_zero_divisor(t):
+    return sql_transform(t.orders, "SELECT o_orderkey, o_totalprice / (o_custkey % 3) AS share FROM source_data")

@@ -84,3 +84,12 @@ def matched_nodes(t):
         t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.lit("Supplier").alias("label"))
     )
     return match_nodes(people, "Supplier", "id > 2")
+
+
+@query("""SELECT c_custkey AS id, c_acctbal AS v FROM customer WHERE c_nationkey % 3 <> 0 AND c_acctbal > 0.5 AND c_custkey % 7 <> 0""")
+def match_nodes_nan(t):
+    """NaN is missing in a condition, and a division by zero in it has no result."""
+    nodes = t.customer.select(
+        F.col("c_custkey").alias("id"), F.when(F.col("c_nationkey") % 3 == 0, float("nan")).otherwise(F.col("c_acctbal")).alias("v")
+    )
+    return match_nodes(nodes, where="v > 0.5 AND v / (id % 7) IS NOT NULL")

@@ -131,7 +131,7 @@ def sql_asof_join(t):
 
 
 @query("""SELECT event_id, o_orderkey FROM events ASOF LEFT JOIN
-    (SELECT o_orderdate AS at, max(o_orderkey) AS o_orderkey FROM orders GROUP BY o_orderdate) ON ts > at""")
+    (SELECT o_orderdate AS placed, max(o_orderkey) AS o_orderkey FROM orders GROUP BY o_orderdate) ON ts > placed""")
 def asof_join_sliced(t):
     """The last order before each event, all under one key, which is above the limit: last rows are carried over slices."""
     placed = t.orders.select(F.col("o_orderdate").cast("timestamp").alias("at"), "o_orderkey")
