@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import re
+from itertools import batched
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Window
@@ -31,6 +32,8 @@ from ..session import freeze
 
 log = logging.getLogger(__name__)
 
+COUNTED_AT_ONCE = 32  # columns whose values are counted in one scan
+
 
 def dedup(df: DataFrame, subset: list[str] | str | None = None, order_by: list[str] | str | None = None) -> DataFrame:
     """Drop repeated rows, or keep the first row per ``subset``.
@@ -95,8 +98,8 @@ def fill_mean(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def fill_mode(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Other gaps take the most frequent value, the smallest one on ties.
 
-    Values are counted with an ordinary group-by, so no task holds a whole column; columns
-    without gaps, found in one pass, are not counted at all.
+    Two scans for any number of columns: one finds the columns with gaps, one counts the values of these, each
+    value combined before the shuffle, so no task holds a whole column.
     """
     if cols is None:
         numeric = set(numeric_columns(df))
@@ -105,17 +108,42 @@ def fill_mode(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     if not cols:
         return df
     gaps = df.agg(*[F.count_if(value_of(df, c).isNull()).alias(f"g{i}") for i, c in enumerate(cols)]).first()
+    gappy = [c for i, c in enumerate(cols) if gaps[f"g{i}"]]
     fills = {}
-    for c in [c for i, c in enumerate(cols) if gaps[f"g{i}"]]:
-        counts = df.select(value_of(df, c).alias("v")).filter("v is not null").groupBy("v").count()
-        top = counts.agg(F.min_by("v", F.struct(-F.col("count"), F.col("v"))).alias("v"))
-        choices = [value_of(df, c), top.scalar()]
+    for c, top in most_frequent(df, gappy).items():
+        choices = [value_of(df, c), top]
         if isinstance(df.schema[c].dataType, T.StringType):
             choices.append(F.lit("Unknown"))
         fills[c] = F.coalesce(*choices)
     return df.withColumns(fills) if fills else df
 
 
+def value_counts(df: DataFrame, cols: list[str]) -> tuple[DataFrame, list[Column]]:
+    """How often each value of each column occurs, in one scan, and for each column which rows of the result are its own.
+
+    The result has ``v0, v1, ...`` for the columns and ``n``; a row belongs to one of them, missing values included.
+    """
+    names = [f"v{i}" for i in range(len(cols))]
+    values = df.select(*[value_of(df, c).alias(n) for c, n in zip(cols, names)])
+    counts = values.groupingSets([[n] for n in names], *names).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("g"))
+    every = (1 << len(cols)) - 1
+    return counts, [F.col("g") == every - (1 << (len(cols) - 1 - i)) for i in range(len(cols))]
+
+
+def most_frequent(df: DataFrame, cols: list[str]) -> dict[str, Column]:
+    """For each column its most frequent value, the smallest on ties, as a one-cell subquery."""
+    found = {}
+    for some in batched(cols, COUNTED_AT_ONCE):
+        counts, own = value_counts(df, list(some))
+        tops = [
+            F.min_by(f"v{i}", F.when(mine & F.col(f"v{i}").isNotNull(), F.struct(-F.col("n"), F.col(f"v{i}")))).alias(f"m{i}")
+            for i, mine in enumerate(own)
+        ]
+        row = freeze(counts.agg(*tops), "modes")
+        found |= {c: row.select(f"m{i}").scalar() for i, c in enumerate(some)}
+    return found
+
+
 def filter_rows(df: DataFrame, cond: str | Column, on_error: str = "raise", skipped: list[str] | None = None) -> DataFrame:
     """Keep rows where ``cond`` is true. Where it has no result, as after a division by zero, it is not.
 

@@ -5,12 +5,14 @@ from __future__ import annotations
 import json
 from collections import Counter
 from datetime import datetime, timezone
+from itertools import batched
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.nulls import col, legacy_type, nan_to_null, numeric_columns, require_frame
+from .clean import COUNTED_AT_ONCE, value_counts
 from .profile import Facts, gather
 
 # Lowest score of each status band, best first.
@@ -42,8 +44,8 @@ def string_columns(df: DataFrame) -> list[str]:
 def low_cardinality(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """column, distinct_values, ratio for string columns with few distinct values.
 
-    One sketch pass sets aside the columns that are far above the limit; only the others
-    are counted exactly, which is cheap because they hold few values.
+    One sketch pass sets aside the columns that are far above the limit; the others are counted exactly, all in
+    one scan, which is cheap because they hold few values.
     """
     cols = string_columns(df) if cols is None else cols
     schema = "column string, distinct_values bigint, ratio double"
@@ -55,21 +57,12 @@ def low_cardinality(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     ).first()
     n = row["n"]
     likely = [c for i, c in enumerate(cols) if n and row[f"d{i}"] * (1 - 6 * SKETCH_ERROR) < LOW_CARDINALITY * n]
-    parts = [
-        df.select(col(c).alias("v"))
-        .filter("v is not null")
-        .groupBy("v")
-        .agg(F.lit(1))
-        .agg(F.count(F.lit(1)).alias("distinct_values"))
-        .select(F.lit(c).alias("column"), "distinct_values", (F.col("distinct_values") / F.lit(n)).alias("ratio"))
-        for c in likely
-    ]
-    if not parts:
-        return df.sparkSession.createDataFrame([], schema)
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part)
-    return table.filter(F.col("ratio") < LOW_CARDINALITY)
+    found = []
+    for some in batched(likely, COUNTED_AT_ONCE):
+        counts, own = value_counts(df, list(some))
+        row = counts.agg(*[F.count_if(mine & F.col(f"v{i}").isNotNull()).alias(f"d{i}") for i, mine in enumerate(own)]).first()
+        found += [(c, row[f"d{i}"], row[f"d{i}"] / n) for i, c in enumerate(some)]
+    return df.sparkSession.createDataFrame([f for f in found if f[2] < LOW_CARDINALITY], schema)
 
 
 def overview(df: DataFrame, facts: Facts) -> dict:

@@ -1,9 +1,14 @@
+import collections
+import datetime
+import decimal
 import math
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tablewright.operators import clean as clean_module
 from tablewright.operators.clean import (
     clean,
     convert_types,
@@ -150,3 +155,26 @@ def test_filter_reaches_the_scan(spark, sf):
     fenced = remove_outliers(df, ["o_totalprice"]).select("o_orderkey")._jdf.queryExecution().toString()
     assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThanOrEqual" in fenced
     assert not math.isnan(1.0)
+
+
+def test_modes_of_many_columns_in_one_scan(spark, monkeypatch):
+    """Five gappy columns of different types, ties included; their values are counted together."""
+    rng = random.Random(6)
+    day = lambda n: datetime.date(2024, 1, 1) + datetime.timedelta(days=n)
+    makers = [lambda n: f"t{n}", day, lambda n: n % 2 == 0, lambda n: decimal.Decimal(n), lambda n: [n, n], lambda n: float(n)]
+    data = [tuple(None if rng.random() < 0.2 else make(rng.randrange(4)) for make in makers) for _ in range(200)]
+    data += [(None,) * 6]
+    frame = spark.createDataFrame(data, "a string, b date, c boolean, d decimal(9,2), e array<int>, f float")
+    calls = []
+    real = clean_module.value_counts
+    monkeypatch.setattr(clean_module, "value_counts", lambda df, cols: calls.append(cols) or real(df, cols))
+    filled = fill_mode(frame)
+    assert calls == [["a", "b", "c", "d", "e", "f"]]
+    counts = [collections.Counter(tuple(r[i]) if isinstance(r[i], list) else r[i] for r in data if r[i] is not None) for i in range(6)]
+    modes = [min(c, key=lambda v: (-c[v], v)) for c in counts]
+    last = filled.collect()[-1]
+    assert [tuple(v) if isinstance(v, list) else v for v in last] == modes
+    wide = spark.range(3).select(*[F.when(F.col("id") > i % 2, "x").alias(f"c{i}") for i in range(70)])
+    assert fill_mode(wide).filter("c0 = 'x' AND c69 = 'x'").count() == 3
+    empty = frame.limit(0).unionByName(frame.limit(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in frame.schema.fields]))
+    assert fill_mode(empty, ["a", "b"]).first()[:2] == ("Unknown", None)
