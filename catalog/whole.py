@@ -15,6 +15,8 @@ from tablewright.plans.pipeline import SINKS, SOURCES, TRANSFORMS, run_pipeline
 from tablewright.session import scratch_uri
 from tablewright.sources.files import from_rows, object_settings, object_uri, read_object
 from tablewright.sources.sinks import write_batches, write_csv, write_object
+from tablewright.streaming.files import read_stream
+from tablewright.streaming.scores import running_quality, write_quality
 
 from .quality import ORDERS, RULES, _orders
 from .registry import query
@@ -118,16 +120,22 @@ ISSUES = [
 _SHARES = {"nulls": "round_even(nulls * 100.0 / n, 2)::DOUBLE", "custs": "round_even((n - custs) * 100.0 / n, 2)::DOUBLE"}
 
 
-@query(
+QUALITY_SQL = (
     f"WITH {ORDERS}, {SCORES} "
     + _sql(QUALITY, "s")
     + " UNION ALL "
     + " UNION ALL ".join(f"SELECT 'issue', NULL, {text.format(**_SHARES)} FROM s WHERE {cond}" for cond, text in ISSUES)
     + " UNION ALL SELECT 'passed/' || unnest(['completeness', 'uniqueness', 'validity', 'consistency', 'accuracy']), unnest([complete::INT, 0, 0, consistent::INT, 0]), NULL FROM s"
 )
+
+
+@query(QUALITY_SQL)
 def quality_whole(t):
     """Scores, counts and issues of every family; the wording of the rule that cannot be evaluated is Spark's."""
-    found = check_quality(_orders(t), RULES)
+    return _judged(t, check_quality(_orders(t), RULES))
+
+
+def _judged(t, found):
     families = found.pop("detailed_results")
     issues, rows = found.pop("issues"), {k: found[k] for k in ("overall_score", "checks_passed", "checks_failed")}
     rows |= {f"{f}/{k}": v for f, d in families.items() for k, v in d.items() if k not in ("passed", "issues")}
@@ -135,7 +143,17 @@ def quality_whole(t):
     return t.spark.createDataFrame(tidy(rows) + [("issue", None, i) for i in issues if "'broken'" not in i], SCHEMA)
 
 
-ORDER_TYPES = {"o_orderkey": "int64", "o_custkey": "int64", "status": "object", "o_totalprice": "float64", "o_orderdate": "datetime64[ns]"}
+@query(QUALITY_SQL)
+def stream_quality_scores(t):
+    """The same from the counts of three batches of a stream."""
+    folder, uri = scratch_uri(t.spark, "incoming"), scratch_uri(t.spark, "counts")
+    orders = _orders(t)
+    orders.repartition(3, "o_orderkey").write.parquet(folder)
+    stream = read_stream(t.spark, folder, orders.schema, max_files=1)
+    write_quality(stream, RULES, uri).awaitTermination()
+    return _judged(t, running_quality(t.spark, uri, orders.schema, RULES))
+
+
 ORDER_BYTES = "round((SELECT sum(8 + 8 + coalesce(strlen(status), 0) + 8 + 8) FROM o) / 1048576.0, 2)"
 
 

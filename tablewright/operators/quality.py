@@ -236,7 +236,11 @@ def check_quality(
         # A condition failed on some row. Find which ones, so that only they become issues.
         built = [replace(r, **_runtime_error(df, r)) for r in built]
         results = _collect(df, built, duplicate_method)
+    return roll_up(results, rules, len(df.columns))
 
+
+def roll_up(results: list[dict], rules: dict, columns: int) -> dict:
+    """Scores and issues of all families from the results of their rules, over a table of so many columns."""
     details, issues, failed = {}, [], []
     for family in FAMILIES:
         if not (rules.get(family) or {}).get("enabled", True):
@@ -246,7 +250,7 @@ def check_quality(
         texts = [_issue(r, rules) for r in bad]
         issues += texts
         failed += bad
-        details[family] = {"passed": not bad, "issues": texts, **_score(family, own, len(df.columns))}
+        details[family] = {"passed": not bad, "issues": texts, **_score(family, own, columns)}
     passed = sum(d["passed"] for d in details.values())
     return {
         "overall_score": round(passed / len(details) * 100, 2) if details else 0.0,
@@ -258,6 +262,54 @@ def check_quality(
     }
 
 
+def partial_counts(df: DataFrame, rules: dict | None = None) -> DataFrame:
+    """What a part of a table adds to its results: ``position`` of the rule, ``cell``, ``n`` and ``rows``.
+
+    Rules that count rows give one row each, without ``cell``; rules about distinct values one row for each digest of a
+    value or row, with the number of its copies. Parts are put together by adding up, see ``results_of``.
+    """
+    df = nan_to_null(df)
+    built = list(enumerate(build_rules(df, rules)))
+    schema = "position int, cell string, n bigint, rows bigint"
+    parts = [df.sparkSession.createDataFrame([], schema)]
+    counted = [(p, r) for p, r in built if r.distinct is None]
+    if counted:
+        counts = [(F.count_if(r.row) if r.row is not None else r.count if r.count is not None else F.lit(None)).cast("long") for _, r in counted]
+        with lenient(df.sparkSession):
+            wide = df.agg(F.count(F.lit(1)).alias("rows"), *[c.alias(f"v{i}") for i, c in enumerate(counts)])
+        rows = [F.struct(F.lit(p).alias("position"), F.lit(None).cast("string").alias("cell"), F.col(f"v{i}").alias("n"), F.col("rows")) for i, (p, _) in enumerate(counted)]
+        parts.append(wide.select(F.inline(F.array(*rows))))
+    cells = []
+    for p, r in built:
+        if r.distinct is not None:
+            exact = [printed(col(c), df.schema[c].dataType).alias(f"c{i}") for i, c in enumerate(r.distinct)]
+            text = F.to_json(F.struct(*exact), {"ignoreNullFields": "false"})
+            cells.append(F.struct(F.lit(p).alias("position"), F.sha2(text, 256).alias("cell")))
+    if cells:
+        copies = df.select(F.inline(F.array(*cells))).groupBy("position", "cell").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(copies.withColumn("rows", F.lit(None).cast("bigint")))
+    table = parts[0]
+    for part in parts[1:]:
+        table = table.unionByName(part)
+    return table
+
+
+def results_of(parts: DataFrame, built: list[Rule]) -> list[dict]:
+    """The results of the rules over all parts, as ``quality_table`` has them."""
+    sums = parts.filter("cell IS NULL").groupBy("position").agg(F.sum("n").alias("v"), F.sum("rows").alias("n"))
+    cells = parts.filter("cell IS NOT NULL").groupBy("position", "cell").agg(F.sum("n").alias("copies"))
+    copies = cells.groupBy("position").agg((F.sum("copies") - F.count(F.lit(1))).alias("v"), F.sum("copies").alias("n"))
+    found = {r["position"]: (r["v"], r["n"]) for r in sums.unionByName(copies).collect()}  # one row for each rule
+    rows = []
+    for p, rule in enumerate(built):
+        v, n = found.get(p, (0, 0))
+        rows.append(_result(p, rule, F.lit(v).cast("long"), F.lit(n or 0).cast("long")))
+    if not rows:
+        return []
+    table = parts.sparkSession.range(1).select(F.inline(F.array(*rows)))
+    return sorted((r.asDict() for r in table.collect()), key=lambda r: r.pop("position"))
+
+
 def _collect(df: DataFrame, built: list[Rule], duplicate_method: str) -> list[dict]:
     if not built:
         return []
