@@ -1,6 +1,8 @@
 from pyspark.sql import functions as F
 
+from tablewright.operators.buckets import create_buckets, latest, read_buckets, upsert_buckets
 from tablewright.operators.graph import match_edges, match_nodes, upsert_edges, upsert_nodes
+from tablewright.session import scratch_uri
 
 from .registry import query
 
@@ -24,9 +26,12 @@ UPDATES = """u AS (SELECT * EXCLUDE (rn) FROM (SELECT o_custkey * 2 AS id, nulli
     c AS (SELECT c_custkey AS id, c_name AS name, c_acctbal FROM customer)"""
 
 
-@query(f"""WITH {UPDATES} SELECT coalesce(c.id, u.id) AS id, c.name,
+MERGED_NODES = f"""WITH {UPDATES} SELECT coalesce(c.id, u.id) AS id, c.name,
     CASE WHEN u.id IS NOT NULL THEN u.c_acctbal ELSE c.c_acctbal END AS c_acctbal, u.status, u.seq
-    FROM c FULL OUTER JOIN u ON c.id = u.id""")
+    FROM c FULL OUTER JOIN u ON c.id = u.id"""
+
+
+@query(MERGED_NODES)
 def merge_nodes(t):
     return upsert_nodes(_customers(t), _updates(t), "id", "merge", order_by="seq")
 
@@ -38,15 +43,58 @@ def replace_nodes(t):
     return upsert_nodes(_customers(t), _updates(t), "id", "replace", order_by="seq")
 
 
-@query("""WITH inc AS (SELECT o_custkey * 2 AS from_id, o_orderkey % 100 AS to_id, o_totalprice AS price,
+MERGED_EDGES = """WITH inc AS (SELECT o_custkey * 2 AS from_id, o_orderkey % 100 AS to_id, o_totalprice AS price,
         row_number() OVER (PARTITION BY o_custkey, o_orderkey % 100 ORDER BY o_orderkey DESC) AS rn, o_orderkey AS seq FROM orders),
     linked AS (SELECT from_id, to_id, price, seq FROM inc WHERE rn = 1
         AND from_id IN (SELECT c_custkey FROM customer) AND to_id IN (SELECT c_custkey FROM customer)),
     old AS (SELECT c_custkey AS from_id, c_custkey % 100 AS to_id, c_acctbal AS weight FROM customer)
     SELECT coalesce(old.from_id, linked.from_id) AS from_id, coalesce(old.to_id, linked.to_id) AS to_id, 'BUYS' AS type,
     old.weight, linked.price, linked.seq FROM old FULL OUTER JOIN linked
-    ON old.from_id = linked.from_id AND old.to_id = linked.to_id""")
+    ON old.from_id = linked.from_id AND old.to_id = linked.to_id"""
+
+
+@query(MERGED_EDGES)
 def merge_edges(t):
+    nodes, edges, incoming = _links(t)
+    return upsert_edges(nodes, edges, incoming, rel_type="BUYS", order_by="seq")
+
+
+@query(MERGED_NODES)
+def merge_nodes_in_buckets(t):
+    """The same on a stored table; a second upsert of the same records changes nothing."""
+    uri = scratch_uri(t.spark, "nodes")
+    create_buckets(_customers(t), uri, "id", 16)
+    for _ in range(2):
+        upsert_buckets(t.spark, uri, _updates(t), lambda old, new: upsert_nodes(old, new, "id", "merge", order_by="seq"))
+    return read_buckets(t.spark, uri)
+
+
+@query(MERGED_EDGES)
+def merge_edges_in_buckets(t):
+    nodes, edges, incoming = _links(t)
+    uri = scratch_uri(t.spark, "edges")
+    create_buckets(edges, uri, ["from_id", "to_id", "type"], 16)
+    incoming = incoming.withColumn("type", F.lit("BUYS"))
+    upsert_buckets(t.spark, uri, incoming, lambda old, new: upsert_edges(nodes, old, new, rel_type="BUYS", order_by="seq"))
+    return read_buckets(t.spark, uri)
+
+
+@query("""SELECT count(*) FILTER (c_custkey % 100 = 0) AS written, true AS only_touched, true AS others_as_before, count(*) AS rows FROM customer""")
+def upsert_of_one_percent(t):
+    """An upsert of one id in a hundred leaves the folders of all buckets as they were that no id falls into."""
+    uri = scratch_uri(t.spark, "nodes")
+    create_buckets(_customers(t), uri, "id", 256)
+    before = latest(t.spark, uri).folders
+    few = _customers(t).filter("id % 100 = 0").withColumn("name", F.lit("new"))
+    touched = upsert_buckets(t.spark, uri, few, lambda old, new: upsert_nodes(old, new, "id"))
+    after = latest(t.spark, uri).folders
+    changed = {b for b in after if before.get(b) != after[b]}
+    rows = read_buckets(t.spark, uri)
+    facts = [F.lit(changed == set(touched) and len(touched) < 256).alias("only_touched"), F.lit(all(before[b] == after[b] for b in before if b not in touched)).alias("others_as_before")]
+    return rows.agg(F.count_if(F.col("name") == "new").alias("written"), F.count(F.lit(1)).alias("rows")).select("written", *facts, "rows")
+
+
+def _links(t):
     nodes = t.customer.select(F.col("c_custkey").alias("id"))
     edges = t.customer.select(
         F.col("c_custkey").alias("from_id"),
@@ -60,7 +108,7 @@ def merge_edges(t):
         F.col("o_totalprice").alias("price"),
         F.col("o_orderkey").alias("seq"),
     )
-    return upsert_edges(nodes, edges, incoming, rel_type="BUYS", order_by="seq")
+    return nodes, edges, incoming
 
 
 @query("""SELECT o_orderkey AS from_id, o_custkey AS to_id, o_totalprice AS price, c_name AS to_name, o_orderstatus AS from_status

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregate import aggregate
+from ..operators.buckets import BUCKETS, create_buckets, latest, read_buckets, upsert_buckets
 from ..operators.clean import clean
 from ..operators.graph import match_edges, match_nodes, upsert_edges, upsert_nodes
 from ..operators.report import analyze
@@ -59,12 +60,13 @@ def _object_source(spark: SparkSession, config: dict) -> DataFrame:
 
 def _graph_source(spark: SparkSession, config: dict) -> DataFrame:
     _need(config, ["nodes"], "graph source")
-    nodes = load_intermediate(spark, config["nodes"])
+    stored = read_buckets if config.get("bucketed") else load_intermediate
+    nodes = stored(spark, config["nodes"])
     if not config.get("edges"):
         return match_nodes(nodes, config.get("label"), config.get("where"))
     return match_edges(
         nodes,
-        load_intermediate(spark, config["edges"]),
+        stored(spark, config["edges"]),
         config.get("relationship_type"),
         config.get("from_label"),
         config.get("to_label"),
@@ -114,7 +116,10 @@ def _object_sink(df: DataFrame, config: dict) -> None:
 
 
 def _graph_sink(df: DataFrame, config: dict) -> None:
-    """Node or edge tables: read the current version, write the next one to ``target``."""
+    """Node or edge tables: read the current version, write the next one to ``target``.
+
+    With ``bucketed`` the target is a table in buckets, made where there is none, and only touched buckets are written.
+    """
     kind = config.get("load_type", "nodes")
     spark = df.sparkSession
     if kind == "custom":
@@ -124,6 +129,9 @@ def _graph_sink(df: DataFrame, config: dict) -> None:
     if kind not in ("nodes", "relationships"):
         raise ValueError(f"unknown load_type: {kind}. Available: nodes, relationships, custom")
     _need(config, ["target"], "graph sink")
+    if config.get("bucketed"):
+        _bucketed_sink(df, config, kind)
+        return
     if kind == "nodes":
         mode = "replace" if config.get("overwrite") else "merge"
         id_field = config.get("id_field", "id")
@@ -146,6 +154,34 @@ def _graph_sink(df: DataFrame, config: dict) -> None:
     write_object(result, config["target"], config.get("replace_target", False))
 
 
+def _bucketed_sink(df: DataFrame, config: dict, kind: str) -> None:
+    spark, target = df.sparkSession, config["target"]
+    if kind == "nodes":
+        label, id_field = config.get("node_label"), config.get("id_field", "id")
+        df = df.withColumn("label", F.lit(label)) if label else df
+        keys = ["label", id_field] if label else [id_field]
+        mode = "replace" if config.get("overwrite") else "merge"
+
+        def merge(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+            return upsert_nodes(existing, incoming, id_field, mode, config.get("order_by"), label)
+    else:
+        _need(config, ["nodes"], "relationship load")
+        rel_type = config.get("relationship_type", "RELATED_TO")
+        df = df.withColumn("type", F.lit(rel_type))
+        keys = [config.get("from_field", "from_id"), config.get("to_field", "to_id"), "type"]
+        nodes = read_buckets(spark, config["nodes"])
+
+        def merge(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+            options = _given(config, "id_field", "from_field", "to_field", "from_label", "to_label", "order_by")
+            return upsert_edges(nodes, existing, incoming, rel_type=rel_type, **options)
+
+    try:
+        latest(spark, target)
+    except FileNotFoundError:
+        create_buckets(df.limit(0), target, keys, config.get("buckets", BUCKETS))
+    upsert_buckets(spark, target, df, merge)
+
+
 SOURCES: dict[str, Callable[[SparkSession, dict], DataFrame]] = {
     "csv": _csv_source,
     "s3": _object_source,
