@@ -290,16 +290,19 @@ def _search(shards: DataFrame, lists: DataFrame, least: float, beam: int) -> Dat
     return freeze(known.groupBy("cell", "i", "j").applyInPandas(run, "a bigint, b bigint, n bigint"), "vector-links")
 
 
-def _recall(found: DataFrame, counts: DataFrame, least: float, size: int) -> float | None:
+def _recall(found: DataFrame, counts: DataFrame, least: float, size: int, more: bool = False) -> float | None:
     """The worst share of true links that ``counts`` holds: of all links of the audited classes, of the links of
     a class on average, of the links of classes with at most ``FEW``. None where the audited have no link.
 
-    Audited are one class in ``ONE_IN`` by a hash of its id, and ``AUDIT`` more. They are compared with all classes
-    in blocks of both.
+    Audited are one class in ``ONE_IN`` by a hash of its id, and ``AUDIT`` more; with ``more`` ten times the former, and
+    ``AUDIT`` classes of which a link was found. They are compared with all classes in blocks of both.
     """
     order = F.xxhash64("vec_id", "cid")
     first = [r["cid"] for r in found.select("cid", order.alias("h")).orderBy("h").limit(AUDIT).collect()]
-    asked = freeze(found.filter((F.pmod(order, F.lit(ONE_IN)) == 0) | F.col("cid").isin(first)).select("cid", "copies", "x"), "vector-audit")
+    if more:
+        first += [r["a"] for r in counts.filter("n > 0").orderBy(F.xxhash64("a")).limit(AUDIT).collect()]
+    one_in = max(1, ONE_IN // 10) if more else ONE_IN
+    asked = freeze(found.filter((F.pmod(order, F.lit(one_in)) == 0) | F.col("cid").isin(first)).select("cid", "copies", "x"), "vector-audit")
     parts = {"i": max(1, -(-asked.count() // BLOCK)), "j": max(1, -(-size // BLOCK))}
 
     def dealt(frame: DataFrame, own: str, other: str, asks: bool) -> DataFrame:
@@ -350,7 +353,8 @@ def near_vectors(vectors: DataFrame, least: float = COSINE) -> DataFrame:
     of repeated rows too. The search is repeated with more shards and a wider beam while the
     audited recall is below ``RECALL``; if it still is after ``TRIES``, all classes are compared in full.
     ``audit_recall`` is the last figure (1.0 after comparing in full), null ("not measured") where the audited
-    classes have no link. Other columns are not read.
+    classes have no link, also after ten times as many were asked. An empty table gives an empty table. Other columns
+    are not read, whatever their names.
     """
     rows = vectors.select(column("vec_id").cast("bigint").alias("vec_id"), column("embedding").cast("array<double>").alias("v"))
     rows = rows.withColumn("ok", _valid(F.col("v")) & F.col("vec_id").isNotNull())
@@ -361,7 +365,10 @@ def near_vectors(vectors: DataFrame, least: float = COSINE) -> DataFrame:
         shards = freeze(_overlapping(found.select("cid", "copies", "x"), overlap, size), "vector-blocks")
         links = _search(shards, freeze(_lists(shards), "vector-lists"), least, beam)
         counts = links.filter("n IS NOT NULL").groupBy("a").agg(F.sum("n").alias("n"))
-        recall = _recall(found.select("cid", "vec_id", "copies", "x"), counts, least, size)
+        audited = found.select("cid", "vec_id", "copies", "x")
+        recall = _recall(audited, counts, least, size)
+        if recall is None:  # none of the audited has a link: look further before that is taken for a success
+            recall = _recall(audited, counts, least, size, more=True)
         if recall is None or recall >= RECALL:
             break
         log.warning("audited recall %.3f with %d shards a class is below %s", recall, overlap, RECALL)

@@ -337,6 +337,21 @@ def test_audit_in_blocks(spark, monkeypatch):
     assert vectors._recall(found, half, 0.95, 500) == 0.5
 
 
+def test_audit_looks_further_where_it_sees_no_link(spark, monkeypatch):
+    """One pair among lone vectors, none of it audited at first; then a class is asked of which a link was found."""
+    monkeypatch.setattr(vectors, "AUDIT", 1)
+    monkeypatch.setattr(vectors, "ONE_IN", 1 << 40)
+    rng = np.random.default_rng(3)
+    x = list(rng.normal(size=(200, 32)))
+    x += [x[-1] + rng.normal(size=32) * 0.01]
+    rows = [(i, i, 1, [float(c) for c in v / np.linalg.norm(v)]) for i, v in enumerate(x)]
+    found = spark.createDataFrame(rows, "cid bigint, vec_id bigint, copies bigint, x array<double>")
+    one_side = spark.createDataFrame([(199, 1)], "a bigint, n bigint")
+    assert vectors._recall(found, one_side, 0.95, 201) is None
+    assert vectors._recall(found, one_side, 0.95, 201, more=True) == 1.0
+    assert vectors._recall(found, one_side.limit(0), 0.95, 201, more=True) is None
+
+
 def test_short_search_is_made_up_by_comparing(spark, monkeypatch):
     """Shards that part every pair: after the last try all classes are compared, over several blocks."""
     monkeypatch.setattr(vectors, "BLOCK", 50)
