@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.nulls import col, legacy_type, nan_to_null, numeric_columns, require_frame
+from ..sources.files import file_address, object_settings
 from .clean import COUNTED_AT_ONCE, value_counts
 from .profile import Facts, gather
 
@@ -166,10 +167,10 @@ def _summary(report: dict) -> dict:
     return summary
 
 
-def save_report(spark, report: dict, uri: str) -> str:
-    """Write the report as JSON text to any file system."""
+def save_report(spark, report: dict, uri: str, storage: dict[str, str] | None = None) -> str:
+    """Write the report as JSON text to any file system; ``storage`` holds access settings."""
     text = json.dumps(report, default=str, ensure_ascii=False)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(uri)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").options(**(storage or {})).text(uri)
     return uri
 
 
@@ -193,5 +194,5 @@ def analyze(df: DataFrame, config: dict | None = None) -> dict | None:
     reporting = config.get("reporting") or {}
     report = build_report(clean, inspection, quality, reporting, facts)
     if config.get("save_report", True) and reporting.get("output_path"):
-        save_report(df.sparkSession, report, reporting["output_path"])
+        save_report(df.sparkSession, report, file_address(reporting["output_path"]), object_settings(reporting | {"uri": reporting["output_path"]}))
     return {"inspection": inspection, "quality": quality, "report": report}

@@ -15,8 +15,8 @@ from ..operators.clean import clean
 from ..operators.graph import match_edges, match_nodes, upsert_edges, upsert_nodes
 from ..operators.report import analyze
 from ..operators.sqlops import sql_transform
-from ..session import freeze
-from ..sources.files import load_intermediate, object_settings, object_uri, read_csv, read_object
+from ..session import drop_stages, freeze, stage_count
+from ..sources.files import from_rows, load_intermediate, object_settings, object_uri, read_csv, read_object
 from ..sources.sinks import materialize, write_batches, write_csv, write_object
 from . import ledger as runs
 
@@ -60,7 +60,9 @@ def _object_source(spark: SparkSession, config: dict) -> DataFrame:
 
 def _graph_source(spark: SparkSession, config: dict) -> DataFrame:
     _need(config, ["nodes"], "graph source")
-    stored = read_buckets if config.get("bucketed") else load_intermediate
+    def stored(spark: SparkSession, uri: str) -> DataFrame:
+        return read_buckets(spark, uri) if config.get("bucketed") else load_intermediate(spark, uri, storage=_settings(config, uri))
+
     nodes = stored(spark, config["nodes"])
     if not config.get("edges"):
         return match_nodes(nodes, config.get("label"), config.get("where"))
@@ -74,6 +76,11 @@ def _graph_source(spark: SparkSession, config: dict) -> DataFrame:
     )
 
 
+def _settings(config: dict, uri: str) -> dict[str, str]:
+    """Access settings of a section for one of its addresses."""
+    return object_settings(config | {"uri": uri})
+
+
 def _given(config: dict, *names: str) -> dict:
     return {n: config[n] for n in names if config.get(n) is not None}
 
@@ -137,21 +144,21 @@ def _graph_sink(df: DataFrame, config: dict) -> None:
         id_field = config.get("id_field", "id")
         label = config.get("node_label")
         if config.get("nodes"):
-            existing = load_intermediate(spark, config["nodes"])
+            existing = load_intermediate(spark, config["nodes"], storage=_settings(config, config["nodes"]))
         else:
             existing = (df.withColumn("label", F.lit(label)) if label else df).limit(0)
         result = upsert_nodes(existing, df, id_field, mode, config.get("order_by"), label)
     else:
         _need(config, ["nodes"], "relationship load")
-        nodes = load_intermediate(spark, config["nodes"])
+        nodes = load_intermediate(spark, config["nodes"], storage=_settings(config, config["nodes"]))
         rel_type = config.get("relationship_type", "RELATED_TO")
         if config.get("edges"):
-            edges = load_intermediate(spark, config["edges"])
+            edges = load_intermediate(spark, config["edges"], storage=_settings(config, config["edges"]))
         else:
             edges = df.withColumn("type", F.lit(rel_type)).limit(0)
         options = _given(config, "id_field", "from_field", "to_field", "from_label", "to_label", "order_by")
         result = upsert_edges(nodes, edges, df, rel_type=rel_type, **options)
-    write_object(result, config["target"], config.get("replace_target", False))
+    write_object(result, config["target"], config.get("replace_target", False), _settings(config, config["target"]))
 
 
 def _bucketed_sink(df: DataFrame, config: dict, kind: str) -> None:
@@ -217,8 +224,10 @@ def transform(df: DataFrame, config: dict) -> DataFrame:
     return pick(TRANSFORMS, config, "transform")(df, config)
 
 
-def load(df: DataFrame, config: dict) -> None:
-    pick(SINKS, config, "sink")(df, config)
+def load(df: DataFrame | list[dict] | dict, config: dict) -> None:
+    """Write a table, a list of records or one record."""
+    sink = pick(SINKS, config, "sink")
+    sink(df if isinstance(df, DataFrame) else from_rows(SparkSession.active(), df), config)
 
 
 @dataclass
@@ -232,15 +241,30 @@ class Run:
 
 
 def run_pipeline(
-    spark: SparkSession, config: dict, ledger: str | None = None, name: str = "default", metrics: bool = False
+    spark: SparkSession,
+    config: dict,
+    ledger: str | None = None,
+    name: str = "default",
+    metrics: bool = False,
+    clean_up: bool = False,
 ) -> Run:
     """source → transform → analysis → sink, each after the first optional.
 
     ``ledger`` names a table of finished runs; a run with the same configuration over the
     same content is skipped, and a run is recorded only after it has succeeded.
     ``metrics`` counts the rows of each step while it runs. It is off by default because a
-    counted step cannot have later filters pushed below it.
+    counted step cannot have later filters pushed below it. ``clean_up`` deletes the stages that the run has
+    left in the shared folder, whether it succeeds or not; the run then has no ``data``, which would read them.
+    Access settings of a section (``storage``, keys and region) hold for all addresses in it.
     """
+    if clean_up:
+        before = stage_count(spark)
+        try:
+            run = run_pipeline(spark, config, ledger, name, metrics)
+        finally:
+            drop_stages(spark, before)
+        run.data = None
+        return run
     if not config.get("source"):
         raise ValueError("configuration must include 'source'")
     for section, registry in (("source", SOURCES), ("transform", TRANSFORMS), ("load", SINKS)):
@@ -260,12 +284,12 @@ def run_pipeline(
     data = _watch(source, "extract", watched) if metrics else source
     kept = config.get("intermediates") or {}
     if kept.get("extract"):
-        data = materialize(data, kept["extract"])
+        data = materialize(data, kept["extract"], storage=_settings(kept, kept["extract"]))
     if config.get("transform"):
         data = transform(data, config["transform"])
         data = _watch(data, "transform", watched) if metrics else data
         if kept.get("transform"):
-            data = materialize(data, kept["transform"])
+            data = materialize(data, kept["transform"], storage=_settings(kept, kept["transform"]))
 
     analytics = config.get("analytics")
     if analytics and (config.get("transform") or config.get("load")) and not kept.get("transform"):

@@ -58,6 +58,30 @@ def ship_package(spark: SparkSession) -> None:
     context._shipped_tablewright = context.applicationId
 
 
+def _stages(spark: SparkSession) -> list[str]:
+    """Where this application has frozen stages, in order."""
+    context = spark.sparkContext
+    if getattr(context, "_tablewright_stages", (None,))[0] != context.applicationId:
+        context._tablewright_stages = (context.applicationId, [])
+    return context._tablewright_stages[1]
+
+
+def stage_count(spark: SparkSession) -> int:
+    return len(_stages(spark))
+
+
+def drop_stages(spark: SparkSession, since: int = 0) -> int:
+    """Delete the frozen stages after the first ``since``; frames that read them can no longer be used."""
+    stages = _stages(spark)
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for uri in stages[since:]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+        path.getFileSystem(hadoop).delete(path, True)
+    dropped = len(stages) - since
+    del stages[since:]
+    return dropped
+
+
 def freeze(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -65,5 +89,6 @@ def freeze(df: DataFrame, name: str = "stage") -> DataFrame:
     read only the columns they use.
     """
     uri = scratch_uri(df.sparkSession, name)
+    _stages(df.sparkSession).append(uri)
     df.write.parquet(uri)
     return df.sparkSession.read.schema(df.schema).parquet(uri)

@@ -150,6 +150,7 @@ def read_object(
     """
     if not uri:
         raise ValueError("object source requires 'uri'")
+    uri = file_address(uri)
     reader = spark.read.options(**(storage or {}))
     suffix = next((f for s, f in BATCH_FORMATS.items() if uri.endswith(s)), None)
     if suffix == "parquet":
@@ -162,10 +163,15 @@ def read_object(
     return read_csv(spark, uri, storage=storage)
 
 
+def file_address(uri: str) -> str:
+    """The address under which Spark's file systems know an object; ``s3://`` is served by ``s3a://``."""
+    return "s3a://" + uri[len("s3://") :] if uri.startswith("s3://") else uri
+
+
 def object_uri(config: dict) -> str:
-    """``uri`` as given, or an s3a address from ``bucket`` and ``key``."""
+    """``uri``, or an s3a address from ``bucket`` and ``key``."""
     if config.get("uri"):
-        return config["uri"]
+        return file_address(config["uri"])
     for name in ("bucket", "key"):
         if not config.get(name):
             raise ValueError(f"object store requires '{name}' in configuration")
@@ -173,11 +179,17 @@ def object_uri(config: dict) -> str:
 
 
 def object_settings(config: dict) -> dict[str, str]:
-    """Hadoop settings for one bucket, to pass as ``storage``; the default provider chain does the rest."""
-    if not config.get("bucket"):
-        return {}
-    prefix = f"fs.s3a.bucket.{config['bucket']}."
-    settings = {}
+    """Hadoop settings for one bucket, to pass as ``storage``; the default provider chain does the rest.
+
+    The bucket is named by ``bucket`` or stands in an ``s3://`` or ``s3a://`` address. ``storage`` adds settings of any kind.
+    """
+    settings = dict(config.get("storage") or {})
+    bucket = config.get("bucket")
+    if not bucket and file_address(config.get("uri") or "").startswith("s3a://"):
+        bucket = file_address(config["uri"])[len("s3a://") :].split("/")[0]
+    if not bucket:
+        return settings
+    prefix = f"fs.s3a.bucket.{bucket}."
     if config.get("access_key") and config.get("secret_key"):
         settings[prefix + "access.key"] = config["access_key"]
         settings[prefix + "secret.key"] = config["secret_key"]
@@ -200,11 +212,12 @@ def from_rows(spark: SparkSession, rows: list[dict] | dict, schema: str | T.Stru
     return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], names)
 
 
-def load_intermediate(spark: SparkSession, uri: str, fmt: str = "parquet") -> DataFrame:
+def load_intermediate(spark: SparkSession, uri: str, fmt: str = "parquet", storage: dict[str, str] | None = None) -> DataFrame:
+    uri, reader = file_address(uri), spark.read.options(**(storage or {}))
     if fmt == "parquet":
-        return _open(lambda: spark.read.parquet(uri), uri)
+        return _open(lambda: reader.parquet(uri), uri)
     if fmt == "csv":
-        return read_csv(spark, uri)
+        return read_csv(spark, uri, storage=storage)
     if fmt == "json":
-        return _open(lambda: spark.read.json(uri), uri)
+        return _open(lambda: reader.json(uri), uri)
     raise ValueError(f"unsupported format: {fmt}")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.nulls import require_frame
 from ..session import scratch_uri
-from .files import BATCH_FORMATS, load_intermediate
+from .files import BATCH_FORMATS, file_address, load_intermediate
 
 MODES = ("error", "overwrite", "append")
 
@@ -66,6 +66,7 @@ def write_object(df: DataFrame, uri: str, overwrite: bool = False, storage: dict
     ``storage`` holds access settings for this write only, see ``object_settings``.
     """
     require_frame(df, "write_object")
+    uri = file_address(uri)
     fmt = next((f for s, f in BATCH_FORMATS.items() if uri.endswith(s)), "csv")
     mode = "overwrite" if overwrite else "error"
     writer = df.write.mode(mode).options(**(storage or {}))
@@ -89,20 +90,21 @@ def write_batches(df: DataFrame, fn: Callable[[list[dict]], None], batch_size: i
     df.foreachPartition(send)
 
 
-def materialize(df: DataFrame, uri: str | None = None, fmt: str = "parquet") -> DataFrame:
+def materialize(df: DataFrame, uri: str | None = None, fmt: str = "parquet", storage: dict[str, str] | None = None) -> DataFrame:
     """Write the table and read it back, so that later steps start from the files.
 
-    Without ``uri`` it goes to the shared folder of the session.
+    Without ``uri`` it goes to the shared folder of the session. ``storage`` holds access settings for ``uri``.
     """
     require_frame(df, "materialize")
     spark: SparkSession = df.sparkSession
-    uri = uri or scratch_uri(spark, "intermediate")
+    uri = file_address(uri) if uri else scratch_uri(spark, "intermediate")
+    writer = df.write.mode("overwrite").options(**(storage or {}))
     if fmt == "parquet":
-        df.write.mode("overwrite").parquet(uri)
+        writer.parquet(uri)
     elif fmt == "csv":
-        write_csv(df, uri, "overwrite")
+        write_csv(df, uri, "overwrite", storage=storage)
     elif fmt == "json":
-        df.write.mode("overwrite").option("ignoreNullFields", "false").options(**TIMES).json(uri)
+        writer.option("ignoreNullFields", "false").options(**TIMES).json(uri)
     else:
         raise ValueError(f"unsupported format: {fmt}")
-    return load_intermediate(spark, uri, fmt)
+    return load_intermediate(spark, uri, fmt, storage)

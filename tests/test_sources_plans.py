@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.graph import match_edges, match_nodes, upsert_edges, upsert_nodes
 from tablewright.operators.sqlops import apply_sql_transform, sql_transform
-from tablewright.plans import ledger
+from tablewright import session
+from tablewright.plans import ledger, pipeline
 from tablewright.plans.ledger import content_of, content_of_files
 from tablewright.plans.pipeline import SINKS, SOURCES, TRANSFORMS, extract, load, pick, run_pipeline, transform
-from tablewright.session import freeze, shared_dir
+from tablewright.session import freeze, shared_dir, stage_count
 from tablewright.sources.files import from_rows, load_intermediate, object_settings, object_uri, read_csv, read_object
 from tablewright.sources.sinks import materialize, write_batches, write_csv, write_object
 from tablewright.streaming.commits import commits, read_sink, write_batch
@@ -459,3 +460,45 @@ def test_only_new_files_are_read(spark, tmp_path):
     (folder / "b.csv").write_text("id,v\n2,zz\n")
     assert run_pipeline(spark, config, ledger).status == "completed"
     assert spark.read.parquet(f"{ledger}/_files").count() == 3
+
+
+# --- addresses, settings and what a run leaves behind ---------------------------------------
+
+
+def test_addresses_and_settings():
+    keys = {"access_key": "a", "secret_key": "b", "region": "r"}
+    assert object_uri({"uri": "s3://sales/raw/x.csv"}) == "s3a://sales/raw/x.csv" == object_uri({"bucket": "sales", "key": "raw/x.csv"})
+    named = object_settings({"bucket": "sales"} | keys)
+    assert named == object_settings({"uri": "s3://sales/raw/x.csv"} | keys) == object_settings({"uri": "s3a://sales/x"} | keys)
+    assert named["fs.s3a.bucket.sales.endpoint.region"] == "r" and len(named) == 3
+    assert object_settings({"uri": "/local/x", "storage": {"k": "v"}} | keys) == {"k": "v"}
+
+
+def test_records_go_straight_to_a_sink(spark, tmp_path):
+    load([{"a": 1, "b": "x"}, {"a": 2}], {"type": "s3", "uri": str(tmp_path / "t.parquet")})
+    assert rows(spark.read.parquet(str(tmp_path / "t.parquet")).orderBy("a")) == [(1, "x"), (2, None)]
+    load({"a": 3}, {"type": "csv", "path": str(tmp_path / "t.csv")})
+    assert rows(read_csv(spark, str(tmp_path / "t.csv"))) == [(3,)]
+
+
+def test_stages_go_after_a_run(spark, tmp_path, monkeypatch):
+    data = spark.createDataFrame([(1, "x"), (1, "x"), (2, None)], "a bigint, b string")
+    data.write.parquet(str(tmp_path / "in.parquet"))
+    config = {
+        "source": {"type": "s3", "uri": str(tmp_path / "in.parquet")},
+        "transform": {"type": "cleaner", "missing_strategy": "fill", "remove_outliers": True, "outlier_cols": ["a"]},
+        "analytics": {"save_report": False},
+        "load": {"type": "s3", "uri": str(tmp_path / "out.parquet")},
+    }
+    own = freeze(data, "own")
+    before = stage_count(spark)
+    made = []
+    monkeypatch.setattr(pipeline, "drop_stages", lambda s, since: made.extend(session._stages(s)[since:]) or session.drop_stages(s, since))
+    run = run_pipeline(spark, config, clean_up=True)
+    assert run.status == "completed" and run.data is None and run.analysis["report"]
+    assert len(made) > 1 and not any(os.path.exists(uri.removeprefix("file://")) for uri in made)
+    assert stage_count(spark) == before and own.count() == 3
+    assert spark.read.parquet(str(tmp_path / "out.parquet")).count() == 2
+    with pytest.raises(FileExistsError):
+        run_pipeline(spark, config, clean_up=True)
+    assert stage_count(spark) == before and not any(os.path.exists(uri.removeprefix("file://")) for uri in made)
