@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 
 from ..session import freeze, ship_package
 
+STATE_BYTES = 64 << 20  # most bytes of what every executor is told about the splits
+LARGEST = (1 << 63) - 1
 PIECE_BYTES = 1 << 16  # longest piece of a border record that the first pass keeps; longer ones take a pass of their own
 
 
@@ -76,6 +79,23 @@ def _by_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, in
         yield split, (lines for _, lines in runs)
 
 
+class _States:
+    """For each split whether it begins inside a cell: 17 bytes a split, so the bound is reached at some 500 TB of CSV."""
+
+    def __init__(self, inside: dict[tuple[int, int], bool]):
+        known = sorted(inside)
+        self.splits = np.array(known, np.int64).reshape(-1, 2)
+        self.inside = np.array([inside[k] for k in known], bool)
+        if self.splits.nbytes + self.inside.nbytes > STATE_BYTES:
+            raise ValueError(f"{len(known)} splits are too many: set spark.sql.files.maxPartitionBytes higher")
+
+    def find(self, split: tuple[int, int]) -> bool | None:
+        """None for a split that was not there when the files were opened."""
+        first, last = np.searchsorted(self.splits[:, 0], [split[0], split[0] + 1]) if split[0] < LARGEST else (np.searchsorted(self.splits[:, 0], split[0]), len(self.splits))
+        at = first + np.searchsorted(self.splits[first:last, 1], split[1])
+        return bool(self.inside[at]) if at < last and self.splits[at, 1] == split[1] else None
+
+
 class _Piece:
     """Lines of a record that is not whole, up to a size."""
 
@@ -133,12 +153,12 @@ class _Reading:
 NOTES = "file bigint, start bigint, inside boolean, ends_inside boolean, closes boolean, complete boolean, head string, tail string, whole boolean"
 
 
-def _notes(lines: DataFrame, sep: str, limit: int | None, only: dict | None = None) -> DataFrame:
-    """Two rows per split, one for each state at its start; with ``only``, one for the state that holds."""
+def _notes(lines: DataFrame, sep: str, limit: int | None, only=None) -> DataFrame:
+    """Two rows per split, one for each state at its start; with ``only`` (the states, as sent), one for the state that holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for split, parts in _by_split(batches):
-            states = [False, True] if only is None else [only[split]]
+            states = [False, True] if only is None else [_known(only.value, split)]
             readings = [_Reading(s, sep, limit) for s in states]
             for part in parts:
                 quoted = pc.match_substring(part, '"')
@@ -157,6 +177,13 @@ def _notes(lines: DataFrame, sep: str, limit: int | None, only: dict | None = No
     return lines.mapInArrow(run, NOTES)
 
 
+def _known(states: _States, split: tuple[int, int]) -> bool:
+    found = states.find(split)
+    if found is None:
+        raise ValueError("the files are split otherwise than when they were opened: open them again")
+    return found
+
+
 def _begins(notes: DataFrame) -> tuple[dict[tuple[int, int], bool], dict[tuple[int, int], int]]:
     """For each split whether it begins inside a cell, and the start of the split in which that record begins.
 
@@ -190,16 +217,14 @@ def records_of(spark: SparkSession, path: str | list[str], sep: str, skip_first:
     inside, begun = _begins(notes)
     known = spark.createDataFrame([(f, s, i) for (f, s), i in inside.items()], "file bigint, start bigint, inside boolean")
     held = notes.join(known, ["file", "start", "inside"])  # the reading that holds
+    sent = spark.sparkContext.broadcast(_States(inside))
     if not held.filter("NOT whole AND (inside OR ends_inside)").isEmpty():
-        held = freeze(_notes(lines, sep, None, inside), "csv-splits")
-    sent = spark.sparkContext.broadcast(inside)
+        held = freeze(_notes(lines, sep, None, sent), "csv-splits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states = sent.value
         for split, parts in _by_split(batches):
-            if split not in states:
-                raise ValueError("the files are split otherwise than when they were opened: open them again")
-            open_cell = states[split]
+            open_cell = _known(states, split)
             waiting = open_cell  # for the end of a record that began earlier
             skip = skip_first and split[1] == 0
             piece: list[str] = []

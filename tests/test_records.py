@@ -6,6 +6,7 @@ import random
 import pytest
 
 from tablewright.plans.pipeline import run_pipeline
+from tablewright.sources import records
 from tablewright.sources.files import read_csv
 from tablewright.sources.records import ends_inside, records_of
 
@@ -47,8 +48,8 @@ def test_any_split(spark, tmp_path, split_into, size, end, piece):
         _write(tmp_path / f"{name}.csv", [["id", 'first\n"line"' * 20, "last"], *rows], end)
         files[name] = rows
     split_into(size)
-    records = records_of(spark, str(tmp_path), ",", True, {}, piece)
-    found = [next(csv.reader([r["record"]] if "\n" not in r["record"] else r["record"].splitlines(keepends=True))) for r in records.collect()]
+    found = records_of(spark, str(tmp_path), ",", True, {}, piece)
+    found = [next(csv.reader([r["record"]] if "\n" not in r["record"] else r["record"].splitlines(keepends=True))) for r in found.collect()]
     assert len(found) == 50
     table = read_csv(spark, str(tmp_path), infer=False, multi_line=True)
     assert table.columns == ["id", 'first\n"line"' * 20, "last"]
@@ -103,3 +104,15 @@ def test_ends_inside():
     cases = {"a": True, 'a"': False, 'a",b': False, 'a","b': True, 'a""': True, '"': False, '","': True, '"x,y': False, 'x"y"z,"': True}
     for line, wanted in cases.items():
         assert ends_inside(line, True, ",") == wanted, line
+
+
+def test_states_of_splits(monkeypatch):
+    rng = random.Random(1)
+    ends = [-(2**63), 2**63 - 1, 0, 5]
+    inside = {(rng.choice(ends), start): rng.random() < 0.5 for start in range(0, 9000, 7)}
+    states = records._States(inside)
+    assert all(states.find(k) == v for k, v in inside.items())
+    assert states.find((5, 1)) is None and states.find((6, 0)) is None and records._States({}).find((1, 1)) is None
+    monkeypatch.setattr(records, "STATE_BYTES", 1000)
+    with pytest.raises(ValueError, match="too many"):
+        records._States(inside)
