@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 import zipfile
@@ -50,9 +51,12 @@ def ship_package(spark: SparkSession) -> None:
     if getattr(context, "_shipped_tablewright", None) == context.applicationId:
         return
     package = Path(__file__).resolve().parent
-    target = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    sources = sorted(package.rglob("*.py"))
+    # Executors refuse another file of the same name, so the name follows the content.
+    digest = hashlib.sha256(b"\0".join(s.read_bytes() for s in sources)).hexdigest()[:12]
+    target = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}-{digest}.zip"
     with zipfile.ZipFile(target, "w") as file:
-        for source in sorted(package.rglob("*.py")):
+        for source in sources:
             file.write(source, source.relative_to(package.parent))
     context.addPyFile(str(target))  # Spark takes it from the driver to the executors
     context._shipped_tablewright = context.applicationId

@@ -188,13 +188,25 @@ def test_large_keys_show_in_the_sample(spark, monkeypatch):
 
     monkeypatch.setattr(joins, "SAMPLED_ROWS", 100)
     df = spark.range(0, 40_000, numPartitions=4).select(F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("k"))
-    hot = joins.key_counts(df, ["k"], 5000).filter("_rows > 5000").collect()
-    assert [r["k"] for r in hot] == [1] and 15_000 < hot[0]["_rows"] < 25_000
+    counts, n = joins.key_counts(df, ["k"], 5000)
+    hot = counts.filter(F.col(n) > 5000).collect()
+    assert [r["k"] for r in hot] == [1] and 15_000 < hot[0][n] < 25_000
+    assert joins.key_counts(df.withColumnRenamed("k", "_rows"), ["_rows"], 5000)[1] != "_rows"
     right = spark.range(50).select(F.col("id").alias("k"), F.lit("x").alias("x"))
     want = df.join(right, "k").count()
     assert spread_join(df, right, "k", hot_rows=5000).count() == want
 
 
+def test_spread_join_bounds_the_bytes_of_hot_keys(spark, monkeypatch):
+    """Hot keys beyond the bytes join as usual, with the same result."""
+    left = spark.range(300).select(F.concat(F.repeat(F.lit("long key "), 20), (F.col("id") % 3).cast("string")).alias("_slot"), F.col("id").alias("_seed"))
+    right = left.select("_slot").distinct().withColumn("_slices", F.lit("x"))
+    want = sorted(rows(left.join(right, "_slot")), key=str)
+    for most in (0, 250, 10_000):
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", most)
+        assert sorted(rows(spread_join(left, right, "_slot", hot_rows=20)), key=str) == want
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_spread_join_sends_the_largest_keys_only(spark, how, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
