@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package as ship  # noqa: F401  operators and the pipeline ship the package before they use it
+
 #: The white space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -63,17 +62,3 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
         step = max(1, int(batch.num_rows * SLICE_CHARS / max(sizes, 1)))
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
-
-
-def ship(spark: SparkSession) -> None:
-    """Give this package to the Python workers of the session's executors, once per application."""
-    context = spark.sparkContext
-    if getattr(context, "_shipped_package", None) == context.applicationId:
-        return
-    package = Path(__file__).resolve().parent.parent
-    target = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
-    with zipfile.ZipFile(target, "w") as file:
-        for source in sorted(package.rglob("*.py")):
-            file.write(source, source.relative_to(package.parent))
-    context.addPyFile(str(target))
-    context._shipped_package = context.applicationId
