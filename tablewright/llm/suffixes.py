@@ -80,7 +80,8 @@ def write_blocks(docs: DataFrame, held: str) -> DataFrame:
         def close() -> pa.RecordBatch:
             nonlocal number
             rows = pa.Table.from_batches(part).combine_chunks()
-            split = pc.ascii_split_whitespace(pc.ascii_lower(rows.column("text").cast(pa.large_string()))).combine_chunks()
+            # Lower case first: Arrow's ascii_lower returns other texts for a slice that has been cast before.
+            split = pc.ascii_split_whitespace(pc.ascii_lower(rows.column("text")).cast(pa.large_string())).combine_chunks()
             flat, owner = split.flatten(), pc.list_parent_indices(split)
             full = pc.greater(pc.binary_length(flat), 0)  # blanks at the ends of a text give empty pieces
             coded, owner = pc.dictionary_encode(flat.filter(full)), owner.filter(full).to_numpy()

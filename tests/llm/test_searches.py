@@ -186,6 +186,18 @@ def test_scores(spark, babble, monkeypatch, size):
     assert sum(chance(("w1",), w) for w in vocabulary) == pytest.approx(1) == pytest.approx(sum(chance((), w) for w in vocabulary))
 
 
+def test_block_of_the_rest_of_a_batch(spark, monkeypatch):
+    """A block may hold a later slice of a batch alone; its words are those of its own texts."""
+    monkeypatch.setattr(suffixes, "BLOCK_BYTES", 1)
+    rows = [(i, "".join(f"Word{j} " for j in range(4000 + 100 * i)), False) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, held boolean").coalesce(1)
+    blocks = suffixes.write_blocks(docs, "held").collect()
+    assert len(blocks) > 1
+    assert {d: n for b in blocks for d, n in zip(b["doc_ids"], b["lengths"])} == {i: 4001 + 100 * i for i in range(60)}
+    known = {suffixes.xxhash.xxh64_intdigest(f"word{j}") for j in range(9900)} | {int(suffixes._END)}
+    assert all(set(np.frombuffer(b["words"], np.uint64).tolist()) <= known for b in blocks)
+
+
 def test_scores_of_odd_texts(spark, odd_docs, no_docs):
     held = F.col("doc_id").isin(1, 8)
     rows = [(r["doc_id"], r["text"], r["doc_id"] in (1, 8)) for r in odd_docs.collect()]
