@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from tablewright.functions.nulls import nan_to_null
 from tablewright.operators.sqlops import apply_sql_transform, sql_transform
 from tablewright.operators.timejoins import asof_join, interval_join
+from tablewright.session import freeze
 
 from .registry import query
 
@@ -144,11 +146,20 @@ def asof_join_sliced(t):
     SELECT o_orderpriority, l_returnflag, count(*) AS n, round(sum(l_quantity), 2) AS units FROM lineitem
     JOIN o ON l_shipdate BETWEEN o_orderdate AND upto GROUP BY ALL""")
 def interval_join_shipments(t):
-    """Shipments while an order is open; a few orders stay open for more than a year."""
+    """Shipments while an order is open; a few orders stay open for more than a year.
+
+    Rows that are alike in what the join and the groups look at are joined once, with their numbers: the pairs grow with
+    the different times, not with the square of the rows.
+    """
     days = F.when(F.col("o_orderkey") % 500 == 0, 400).otherwise(F.col("o_orderkey") % 3)
-    spans = t.orders.withColumn("upto", F.col("o_orderdate") + F.make_dt_interval(days)).select("o_orderpriority", "o_orderdate", "upto")
-    pairs = interval_join(t.lineitem.select("l_shipdate", "l_returnflag", "l_quantity"), spans, "l_shipdate", ("o_orderdate", "upto"))
-    return pairs.groupBy("o_orderpriority", "l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("units"))
+    spans = t.orders.withColumn("upto", F.col("o_orderdate") + F.make_dt_interval(days))
+    spans = spans.groupBy("o_orderpriority", "o_orderdate", "upto").agg(F.count(F.lit(1)).alias("orders"))
+    shipped = nan_to_null(t.lineitem.select("l_shipdate", "l_returnflag", "l_quantity")).groupBy("l_shipdate", "l_returnflag")
+    # In a struct, because the join takes a NaN column for missing values, which a sum of infinities is not.
+    shipped = shipped.agg(F.count(F.lit(1)).alias("lines"), F.struct(F.sum("l_quantity").alias("units")).alias("sums"))
+    pairs = interval_join(freeze(shipped, "shipped"), freeze(spans, "spans"), "l_shipdate", ("o_orderdate", "upto"))
+    units = F.round(F.sum(F.col("sums.units") * F.col("orders")), 2)
+    return pairs.groupBy("o_orderpriority", "l_returnflag").agg(F.sum(F.col("lines") * F.col("orders")).alias("n"), units.alias("units"))
 
 
 HAVING_SQL = """SELECT l_suppkey, count(DISTINCT l_partkey) AS parts,

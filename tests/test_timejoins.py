@@ -6,6 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import catalog
+import catalog.sql
 from tablewright.operators.timejoins import asof_join, interval_join
 
 NOT_A_PAIRWISE_JOIN = ("BroadcastNestedLoopJoin", "CartesianProduct")
@@ -96,3 +98,24 @@ def test_intervals_of_large_numbers_and_none(spark):
     assert interval_join(a.limit(0), b, ("s", "e"), "p").count() == 0
     with pytest.raises(ValueError, match="span needs"):
         interval_join(a.withColumn("t", F.lit("x")), b, "t", "p")
+
+
+def test_shipments_join_alike_rows_once(spark, tmp_path, monkeypatch):
+    """Rows alike in times and groups are joined once with their numbers; missing and infinite quantities count as before."""
+    nan, inf = float("nan"), float("inf")
+    day = lambda d: None if d is None else datetime.datetime(2024, 1, 1) + datetime.timedelta(days=d)
+    lines = [(1, "A", 2.25), (1, "A", 2.25), (1, "A", None), (1, "A", nan), (2, None, 1.5), (None, "A", 9.0), (3, "R", inf), (3, "R", -inf), (3, "N", None), (300, "B", 1.0)]
+    orders = [(500, 0, "x"), (500, 0, "x"), (1, 1, "x"), (4, 1, None), (2, 1, "y"), (None, 1, "x"), (2, None, "x"), (3, 3, "x"), (1000, -400, "z")]
+    spark.createDataFrame([(day(d), f, q) for d, f, q in lines], "l_shipdate timestamp_ntz, l_returnflag string, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, day(d), p) for k, d, p in orders], "o_orderkey long, o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    wanted = {}
+    for d, flag, quantity in lines:
+        for key, start, priority in orders:
+            if None not in (d, key, start) and start <= d <= start + (400 if key % 500 == 0 else key % 3):
+                wanted.setdefault((priority, flag), []).append(quantity)
+    joined = []
+    monkeypatch.setattr(catalog.sql, "interval_join", lambda a, b, *spans: joined.append((a.count(), b.count())) or interval_join(a, b, *spans))
+    found = {(r[0], r[1]): (r["n"], str(r["units"])) for r in catalog.QUERIES["interval_join_shipments"](spark, str(tmp_path)).collect()}
+    total = lambda qs: sum(known) if (known := [q for q in qs if q is not None and q == q]) else None
+    assert found == {k: (len(qs), str(total(qs))) for k, qs in wanted.items()} and found["x", "R"][1] == "nan"
+    assert joined == [(6, 8)]
