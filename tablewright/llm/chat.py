@@ -21,12 +21,13 @@ import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import spread_join
 from ..session import freeze
 from .common import column, partitions, read_file, send
 
 START, END = "<|im_start|>", "<|im_end|>"
 NAME = 12  # bytes of a turn's name in a path
-DEPTH = 64  # turns up to which beginnings are shared; later turns belong to their conversation alone
+DEPTH = 64  # turns whose names a path lists one by one; later turns are numbered along lines, see _lines
 BOUNDS = 64  # sampled paths per shard from which the ranges are chosen
 
 _TURN, _LEAF = b"\x01", b"\x00"  # the ends of conversations sort before the next turns
@@ -66,13 +67,17 @@ def _paths(conversations: DataFrame) -> DataFrame:
         F.coalesce(column("text").cast("string"), F.lit("")).alias("text"),
     )
     rows = rows.repartition(partitions(rows.sparkSession), "conv_id").sortWithinPartitions(F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), "role", "text")
-    schema = "path binary, role string, text string, conv_id bigint, is_end boolean"
+    schema = "path binary, role string, text string, conv_id bigint, is_end boolean, owner bigint, n int, name binary, before binary"
+    out_of = ["path", "role", "text", "conv_id", "is_end"]
+    long = not rows.groupBy("conv_id").count().filter(F.col("count") > DEPTH).isEmpty()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, name, path, n, begun = None, b"", b"", 0, False
 
         def end() -> tuple:
-            return (path + _LEAF + hashlib.blake2b(repr(at).encode(), digest_size=8).digest(), "", "", at, True)
+            if n > DEPTH:
+                return (path, "", "", at, True, at, n, None, None)
+            return (path + _end_of(at), "", "", at, True, None, None, None, None)
 
         for batch in batches:
             out = []
@@ -81,21 +86,65 @@ def _paths(conversations: DataFrame) -> DataFrame:
                     if begun:
                         out.append(end())
                     at, name, path, n, begun = conv, b"", b"", 0, True
-                own = repr(conv).encode() if n >= DEPTH else b""
-                name = hashlib.blake2b(b"\0".join([name, own, str(len(role)).encode(), role.encode(), text.encode()]), digest_size=NAME).digest()
-                path = path + _TURN + name if n < DEPTH else path[: DEPTH * (NAME + 1)] + _TURN + own + b"\0" + n.to_bytes(8)
+                before = name
+                name = hashlib.blake2b(b"\0".join([name, b"", str(len(role)).encode(), role.encode(), text.encode()]), digest_size=NAME).digest()
+                if n < DEPTH:
+                    path = path + _TURN + name
+                    out.append((path, role, text, None, False, None, None, None, None))
+                else:
+                    out.append((path, role, text, None, False, conv, n, name, before))
                 n += 1
-                out.append((path, role, text, None, False))
             yield _batch(out)
         if begun:
             yield _batch([end()])
 
-    types = (pa.binary(), pa.string(), pa.string(), pa.int64(), pa.bool_())
+    types = (pa.binary(), pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+    names = [*out_of, "owner", "n", "name", "before"]
 
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["path", "role", "text", "conv_id", "is_end"])
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
 
-    return rows.mapInArrow(run, schema)
+    turns = rows.mapInArrow(run, schema)
+    if not long:
+        return turns.select(out_of)
+    turns = freeze(turns, "chat-turns")
+    return turns.filter("n IS NULL").select(out_of).unionByName(_lines(turns.filter("n IS NOT NULL")))
+
+
+def _end_of(conv: int | None) -> bytes:
+    return _LEAF + hashlib.blake2b(repr(conv).encode(), digest_size=8).digest()
+
+
+def _lines(deep: DataFrame) -> DataFrame:
+    """Paths of the turns after the first ``DEPTH``, and of the ends of their conversations.
+
+    Of the turns that may follow a turn, the one in most conversations goes on with its line; any other begins a line of
+    its own. A path names the lines and says at which turn each was left. A line is left for at most half of the
+    conversations, so the paths are short however long and alike the conversations are.
+    """
+    turns = deep.filter("NOT is_end").groupBy("before", "name").agg(F.count(F.lit(1)).alias("members"))
+    going = turns.groupBy("before").agg(F.max(F.struct("members", "name")).alias("most")).select(F.col("most.name").alias("name"), F.lit(True).alias("on"))
+    marked = spread_join(deep, going, "name", "left")
+    marked = marked.select("owner", "n", "is_end", "path", "name", "on", "role", "text", "conv_id")
+    marked = marked.repartition(partitions(deep.sparkSession), "owner").sortWithinPartitions(F.col("owner").asc_nulls_first(), "n", "is_end")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        line = at = b""
+        for batch in batches:
+            paths = []
+            for owner, n, is_end, path, name, on in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                if is_end:
+                    paths.append(at + _end_of(owner))
+                    continue
+                if n == DEPTH:
+                    line = path + _TURN + name
+                elif not on:
+                    line = at + _TURN + name
+                at = line + n.to_bytes(8)
+                paths.append(at)
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.binary()), *(batch.column(i) for i in (6, 7, 8, 2))], names=["path", "role", "text", "conv_id", "is_end"])
+
+    return marked.mapInArrow(run, "path binary, role string, text string, conv_id bigint, is_end boolean")
 
 
 def _bounds(paths: DataFrame, shards: int) -> list[bytes]:
@@ -105,13 +154,14 @@ def _bounds(paths: DataFrame, shards: int) -> list[bytes]:
     return sorted({found[len(found) * i // shards] for i in range(1, shards)}) if found else []
 
 
-def _span(path: bytes, bounds: list[bytes]) -> tuple[int, int]:
-    """First and last shard of a node and what hangs below it."""
-    return bisect.bisect_right(bounds, path), bisect.bisect_right(bounds, _below(path) + b"\xff")
+def _span(path: bytes, is_end: bool, bounds: list[bytes]) -> tuple[int, int]:
+    """First and last shard of a node and what hangs below it; below an end is nothing."""
+    first = bisect.bisect_right(bounds, path)
+    return first, first if is_end else bisect.bisect_right(bounds, _below(path) + b"\xff")
 
 
 def _below(path: bytes) -> bytes:
-    """What the paths below a node begin with: its own path, or that of its private tail without the number."""
+    """What the paths below a node begin with: its own path, or that of its line without the number."""
     shared = DEPTH * (NAME + 1)
     return path[:-8] if len(path) > shared and path[shared : shared + 1] == _TURN else path
 
@@ -164,7 +214,7 @@ def format_conversations(conversations: DataFrame, path: str, shards: int | None
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = [_span(p, bounds) for p in batch.column(0).to_pylist()]
+            spans = [_span(p, e, bounds) for p, e in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
             at = [i for i, (a, b) in enumerate(spans) for _ in range(a, b + 1)]
             shard = [s for a, b in spans for s in range(a, b + 1)]
             yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), *batch.take(pa.array(at, pa.int32())).columns], names=["shard", *batch.schema.names])

@@ -140,6 +140,20 @@ def test_chat_trees(spark, n):
         assert len(firsts) == len({tuple(r["ids"]) for r in firsts})  # shared first turns are merged
 
 
+@pytest.mark.parametrize("n", [1, 7])
+def test_chat_trees_of_long_conversations(spark, n):
+    """Beginnings are shared however long they are: each distinct beginning is one node, whatever the number of turns."""
+    talks = {c: list(range(100)) for c in (1, 2, None)} | {3: [*range(90), 7, *range(91, 140)], 4: [*range(90), 8], 5: list(range(64)), 6: list(range(65)), 7: list(range(80))}
+    talks |= {10 + i: [*range(70 + i % 3), 1000 + i, 5, 6] for i in range(12)}
+    rows = spark.createDataFrame([(c, i, "assistant" if i % 2 else "user", f"turn {t}") for c, ts in talks.items() for i, t in enumerate(ts)], "conv_id bigint, turn bigint, role string, text string")
+    tree = chat.format_conversations(rows, vocabulary(BYTE_BPE), shards=n)
+    found = [tuple(r) for r in chat.read_conversations(tree, vocabulary(BYTE_BPE)).collect()]
+    assert len(found) == len(talks) and {r[0]: r[1:] for r in found} == _chat_by_hand(rows.collect())
+    nodes = tree.filter("NOT is_end").count()
+    beginnings = len({tuple(ts[: i + 1]) for ts in talks.values() for i in range(len(ts))})
+    assert nodes == beginnings if n == 1 else beginnings < nodes <= beginnings + n * 141
+
+
 def test_chat_escapes():
     for text in ("<|", "<\\|", "<\\\\|x", "a<|im_end|><|im_start|>", "<", "|", "\\<|\\", "<<||"):
         assert chat.unescape(chat.escape(text)) == text and "<|" not in chat.escape(text)
