@@ -14,7 +14,7 @@ from ..functions.nulls import as_list, col, free_names, nan_to_null, nulls_last,
 from ..session import freeze
 from .joins import key_counts, spread_join
 
-ROW_LIMIT = 10_000_000  # largest group run as a single window
+ROW_LIMIT = 2_000_000  # largest group run as a single window
 GROUP_LIMIT_ROWS = 999  # up to here Spark keeps only the first n rows per task before the shuffle
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.functions.aggregates import NAMES
-from tablewright.operators import joins
+from tablewright.operators import joins, windows
 from tablewright.operators.aggregate import aggregate, distinct_values, summarize
 from tablewright.operators.joins import spread_join
 from tablewright.operators.windows import average_rank, cumulative_sum, group_head, row_index, shift
@@ -159,6 +159,12 @@ def test_windows_match_pandas(spark, limit):
     check(by_row(average_rank(df, "k", "v", row_limit=limit), "v_rank"), groups.v.rank())
 
 
+def test_windows_of_a_task_are_bounded(spark):
+    """A group of three million rows is cut into slices unless a limit is given."""
+    df = spark.range(3_000_000).withColumn("k", F.lit(1))
+    assert not windows._fits(df, ["k"], windows.ROW_LIMIT) and windows._fits(df, ["k"], 10_000_000)
+
+
 def test_copies_of_one_row_are_all_counted(spark):
     df = spark.createDataFrame([("a", 1)] * 300, "k string, v long").repartition(7)
     got = sorted(r[0] for r in cumulative_sum(df, "k", "v", "v", row_limit=40).select("v_cumsum").collect())
