@@ -22,6 +22,7 @@ from .quality import ORDERS, RULES, _orders
 from .registry import query
 
 SCHEMA = "key string, number double, text string"
+FILE_ROWS = 500_000  # rows of a file of a stream, about; a task reads files whole
 
 
 def tidy(value, key: str = "") -> list[tuple]:
@@ -148,8 +149,9 @@ def stream_quality_scores(t):
     """The same from the counts of three batches of a stream."""
     folder, uri = scratch_uri(t.spark, "incoming"), scratch_uri(t.spark, "counts")
     orders = _orders(t)
-    orders.repartition(3, "o_orderkey").write.parquet(folder)
-    stream = read_stream(t.spark, folder, orders.schema, max_files=1)
+    files = 1 + orders.count() // (3 * FILE_ROWS)  # of a batch
+    orders.repartition(3 * files, "o_orderkey").write.parquet(folder)
+    stream = read_stream(t.spark, folder, orders.schema, max_files=files)
     write_quality(stream, RULES, uri).awaitTermination()
     return _judged(t, running_quality(t.spark, uri, orders.schema, RULES))
 
