@@ -77,14 +77,17 @@ def roundtrip_csv_split(t):
     """One file read in splits of a few lines, so that many texts with line breaks cross their borders."""
     uri = scratch_uri(t.spark, "conversations") + ".csv"
     write_csv(t.conversations, uri, single_file=True)
-    before = {k: t.spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
-    t.spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
-    t.spark.conf.set("spark.sql.files.openCostInBytes", "2k")
+    # The splits stay small, but a task reads many of them.
+    small = {"maxPartitionBytes": "4k", "openCostInBytes": "2k", "maxPartitionNum": 8 * t.spark.sparkContext.defaultParallelism}
+    small = {f"spark.sql.files.{k}": v for k, v in small.items()}
+    before = {k: t.spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        t.spark.conf.set(k, v)
     try:
         return freeze(read_csv(t.spark, uri, schema="conv_id bigint, turn bigint, role string, text string", multi_line=True))
     finally:
         for k, v in before.items():
-            t.spark.conf.set(k, v)
+            t.spark.conf.unset(k) if v is None else t.spark.conf.set(k, v)
 
 
 @query("SELECT * FROM orders")

@@ -14,6 +14,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +22,7 @@ from ..session import freeze, ship_package
 
 STATE_BYTES = 64 << 20  # most bytes of what every executor is told about the splits
 LARGEST = (1 << 63) - 1
+CROSSING = 10_000  # records that cross borders for which the read gets one more partition, about
 PIECE_BYTES = 1 << 16  # longest piece of a border record that the first pass keeps; longer ones take a pass of their own
 
 
@@ -213,13 +215,16 @@ def records_of(spark: SparkSession, path: str | list[str], sep: str, skip_first:
     """
     ship_package(spark)
     lines = lines_of(spark, path, storage)
-    notes = freeze(_notes(lines, sep, piece_bytes), "csv-splits")
+    # Kept as they are made: stored as files they would be read in splits as small as those of the text.
+    notes = _notes(lines, sep, piece_bytes).persist(StorageLevel.DISK_ONLY)
     inside, begun = _begins(notes)
     known = spark.createDataFrame([(f, s, i) for (f, s), i in inside.items()], "file bigint, start bigint, inside boolean")
     held = notes.join(known, ["file", "start", "inside"])  # the reading that holds
     sent = spark.sparkContext.broadcast(_States(inside))
+    kept = [notes]
     if not held.filter("NOT whole AND (inside OR ends_inside)").isEmpty():
-        held = freeze(_notes(lines, sep, None, sent), "csv-splits")
+        held = _notes(lines, sep, None, sent).persist(StorageLevel.DISK_ONLY)
+        kept.append(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states = sent.value
@@ -250,9 +255,12 @@ def records_of(spark: SparkSession, path: str | list[str], sep: str, skip_first:
                 yield pa.RecordBatch.from_arrays([records], names=["record"])
 
     whole = lines.mapInArrow(run, "record string")
-    if not begun and not any(r for r in held.filter("ends_inside").limit(1).collect()):
-        return whole
-    return whole.unionByName(_crossing(spark, held, begun, skip_first))
+    crossing = bool(begun) or not held.filter("ends_inside").isEmpty()
+    if crossing:
+        whole = whole.unionByName(_crossing(spark, held, begun, skip_first))
+    for frame in kept:
+        frame.unpersist()
+    return whole
 
 
 def _full(records: pa.Array) -> pa.Array:
@@ -273,4 +281,4 @@ def _crossing(spark: SparkSession, held: DataFrame, begun: dict[tuple[int, int],
     if skip_first:  # the first record of a file may be one that crosses
         first = held.filter("start = 0 AND NOT complete").select("file", F.col("start").alias("begun"))
         records = records.join(first, ["file", "begun"], "left_anti")
-    return freeze(records.select("record"), "csv-crossing").coalesce(1)
+    return freeze(records.select("record"), "csv-crossing").coalesce(1 + len(begun) // CROSSING)

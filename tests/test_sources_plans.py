@@ -5,6 +5,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+import catalog
+import catalog.files
+import catalog.whole
 from tablewright.operators.graph import match_edges, match_nodes, upsert_edges, upsert_nodes
 from tablewright.operators.sqlops import apply_sql_transform, sql_transform
 from tablewright import session
@@ -502,3 +505,37 @@ def test_stages_go_after_a_run(spark, tmp_path, monkeypatch):
     with pytest.raises(FileExistsError):
         run_pipeline(spark, config, clean_up=True)
     assert stage_count(spark) == before and not any(os.path.exists(uri.removeprefix("file://")) for uri in made)
+
+
+def test_small_splits_of_a_csv_file_share_tasks(spark, tmp_path, monkeypatch):
+    """A file has many splits of a few lines, but a task reads many of them; the texts come back whole."""
+    rows = [(i, i % 7, "user", f'{i} "a",\n' + "line\n" * (i % 300) + "end") for i in range(6000)]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    tasks = []
+    monkeypatch.setattr(catalog.files, "freeze", lambda df: tasks.append(df.rdd.getNumPartitions()) or freeze(df))
+    settings = {k: spark.conf.get(f"spark.sql.files.{k}", None) for k in ("maxPartitionBytes", "openCostInBytes", "maxPartitionNum")}
+    found = catalog.QUERIES["roundtrip_csv_split"](spark, str(tmp_path))
+    assert sorted(tuple(r) for r in found.collect()) == rows
+    splits = sum(len(r[3]) for r in rows) // 4096
+    assert splits > 1000 and tasks[0] < splits // 4
+    assert settings == {k: spark.conf.get(f"spark.sql.files.{k}", None) for k in settings}
+
+
+def test_content_fingerprint_in_more_tasks(spark, sf, monkeypatch):
+    """The files grow in number with the rows, and say the same."""
+    files = []
+    monkeypatch.setattr(catalog.files, "TASK_ROWS", 1000)
+    monkeypatch.setattr(catalog.files, "content_of_files", lambda s, ledger, folder, fmt: files.append(len(s.read.parquet(folder).inputFiles())) or content_of_files(s, ledger, folder, fmt))
+    row = catalog.QUERIES["content_fingerprint"](spark, sf).first()
+    assert tuple(row)[1:] == (True, True, False, True)
+    assert files == [5 + row["rows"] // 1000] * 2
+
+
+def test_stream_of_orders_in_more_files(spark, sf, monkeypatch):
+    """Three batches of any size come in files of a bounded one."""
+    read = []
+    monkeypatch.setattr(catalog.whole, "FILE_ROWS", 100)
+    monkeypatch.setattr(catalog.whole, "read_stream", lambda s, folder, schema, max_files: read.append((len(s.read.parquet(folder).inputFiles()), max_files)) or read_stream(s, folder, schema, max_files))
+    found = catalog.QUERIES["stream_quality_scores"](spark, sf).collect()
+    assert sorted(map(str, found)) == sorted(map(str, catalog.QUERIES["quality_whole"](spark, sf).collect()))
+    assert read[0][1] > 1 and read[0][0] == 3 * read[0][1]
