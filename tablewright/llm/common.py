@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,6 +16,8 @@ BLANKS = " \t\n\x0b\x0c\r"
 
 MODEL_BYTES = 64 << 20  # most bytes of a vocabulary or model sent to every executor
 SLICE_CHARS = 1 << 20  # characters of text a task holds in pieces at a time
+PART_CHARS = 4 << 20  # characters of text that are worth a partition, and so a file, of their own
+PART_ROWS = 250_000  # rows of a few numbers that are
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -43,6 +46,21 @@ def partitions(spark: SparkSession, number: int | None = None) -> int:
     return number or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def parts_for(spark: SparkSession, amount: float, each: int) -> int:
+    """Partitions for ``amount`` at ``each`` a partition: at least one a core, at most those of a shuffle."""
+    return min(partitions(spark), max(spark.sparkContext.defaultParallelism, math.ceil(amount / each)))
+
+
+def gathered(df: DataFrame, amount: float, each: int) -> DataFrame:
+    """A table about to be written, in as many partitions as ``amount`` is worth; a large one as it is.
+
+    Hadoop starts a process for each of several steps of a local file, and until it is its own program that
+    process holds all memory of its executor once more. So a small table is not cut into a file per shuffle partition.
+    """
+    n = parts_for(df.sparkSession, amount, each)
+    return df.coalesce(n) if n < partitions(df.sparkSession) else df
+
+
 def send(spark: SparkSession, content: bytes):
     """Broadcast a vocabulary or model, whose size does not depend on the corpus; refused above the bound."""
     if len(content) > MODEL_BYTES:

@@ -7,26 +7,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import freeze
+from .common import PART_ROWS, gathered
 
 ROUNDS = 60  # more than the logarithm squared of any number of nodes that fits
 
 
-def connected(links: DataFrame) -> DataFrame:
+def connected(links: DataFrame, amount: int | None = None) -> DataFrame:
     """``node`` and ``root``, the smallest node it is linked with over any path; roots themselves are left out.
 
     ``links``: columns ``a`` and ``b``, whole numbers; order, repeats and links to itself do not matter.
+    ``amount``: how many rows, where that is known.
     Each round hangs the larger neighbours of every node on its smallest neighbour (large star), then
     the smaller ones (small star); joins are on nodes and split by adaptive execution where a hub is
     large. Each round is a table in the shared folder.
     """
-    links = freeze(_pairs(links), "links")
+    links = _pairs(links)
+    links = freeze(links if amount is None else gathered(links, amount, PART_ROWS), "links")
     mark = None
     for _ in range(ROUNDS):
         state = links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if state == mark or not state[0]:
             break
         mark = state
-        links = freeze(_small_star(_large_star(links)), "links")
+        links = freeze(gathered(_small_star(_large_star(links)), state[0], PART_ROWS), "links")
     else:
         raise RuntimeError("the components did not settle")
     return links.select(F.col("a").alias("node"), F.col("b").alias("root"))

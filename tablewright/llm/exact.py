@@ -17,9 +17,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import freeze
-from .common import BLANKS, column, fresh, text_of
+from .common import BLANKS, PART_CHARS, column, fresh, gathered, text_of
 
 COUNTERS = 1024  # counters of a summary, and so the most digests that are broadcast
+WINNERS_PART = 64  # of these, rows that are worth a partition
 
 
 def digest(text: Column) -> Column:
@@ -71,7 +72,7 @@ def winners(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
     rank = F.struct("n_points", F.col("doc_id").isNotNull().alias("known"), (-F.col("doc_id")).alias("back"))
     exact = digests.join(heavy, "sha").groupBy("sha").agg(F.count(F.lit(1)).alias("group_size"), F.max(rank).alias("top"))
     chosen = exact.filter("group_size > 2").select("sha", (-F.col("top.back")).alias("keep_id"), F.col("top.n_points").alias("keep_points"), "group_size")
-    return freeze(chosen, "winners")
+    return freeze(gathered(chosen, counters, WINNERS_PART), "winners")
 
 
 def digests_of(docs: DataFrame) -> DataFrame:
@@ -105,7 +106,9 @@ def drop_exact_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     Rules as in ``exact_duplicates``; of rows that agree in ``doc_id`` and length one stays, chosen by
     a hash of all columns that can be hashed.
     """
-    heavy = winners(digests_of(docs), counters)
+    digests = digests_of(docs)
+    heavy = winners(digests, counters)
+    chars = digests.agg(F.sum("n_points")).first()[0] or 0
     sha, points, keep_id, keep_points, place = fresh(docs, "_sha", "_points", "_keep_id", "_keep_points", "_place")
     text = text_of()
     rows = docs.withColumns({sha: digest(text), points: F.char_length(text)})
@@ -115,7 +118,8 @@ def drop_exact_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     rows = rows.join(F.broadcast(known), sha, "left").filter(stays).drop(keep_id, keep_points)
     content = F.xxhash64(*[column(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()])
     order = Window.partitionBy(sha).orderBy(F.col(points).desc(), column("doc_id").asc_nulls_last(), content)
-    return rows.withColumn(place, F.row_number().over(order)).filter(F.col(place) == 1).select(*[column(c) for c in docs.columns])
+    staying = rows.withColumn(place, F.row_number().over(order)).filter(F.col(place) == 1).select(*[column(c) for c in docs.columns])
+    return gathered(staying, chars, PART_CHARS)
 
 
 ORACLE = r"""

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import freeze
-from .common import column, fresh, partitions, text_of
+from .common import PART_CHARS, column, fresh, parts_for, text_of
 
 STEP = 16.0  # largest mean that is inverted at once; larger ones are sums of several numbers
 TERMS = 80  # terms of a distribution of mean STEP after which no hashed number is left (below 2**-70)
@@ -72,9 +72,9 @@ def _inverse(rate: Column, seed: int, key: Column) -> Column:
 def mix_sources(docs: DataFrame, weights: dict[str, float], other: float = 1.0, budget: float | None = None, seed: int = 7, copy: str = "copy", parts: int | None = None) -> DataFrame:
     """The mixture: all columns of ``docs`` and ``copy`` (1, 2, …), in a global random order.
 
-    The order is that of a hash of seed, ``doc_id`` and copy, over partitions and within them. Rows
-    with the same ``doc_id``, repeated or not, get the same count; a null ``doc_id`` is a value like any
-    other. Null and empty texts have the size of their end alone. Rows of a source with weight 0 go.
+    The order is that of a hash of seed, ``doc_id`` and copy, over partitions (``parts``, or as many as its
+    expected size is worth) and within them. Rows with the same ``doc_id``, repeated or not, get the same
+    count; a null ``doc_id`` is a value like any other. Null and empty texts have the size of their end alone. Rows of a source with weight 0 go.
     An empty table gives an empty table. The column named ``copy`` gets underscores if it is taken.
 
     Two passes: sizes per source (combined before the shuffle), then one shuffle of the mixture. Rates
@@ -82,14 +82,14 @@ def mix_sources(docs: DataFrame, weights: dict[str, float], other: float = 1.0,
     they are joined with every source spread over ``SLICES`` keys.
     """
     spark = docs.sparkSession
-    name, rates_source, sums, times, number, order, slot, parts_column = fresh(docs, copy, "_source", "_sums", "_times", "_number", "_order", "_slot", "parts")
+    name, rates_source, sums, times, number, order, slot, expected, parts_column = fresh(docs, copy, "_source", "_sums", "_times", "_number", "_order", "_slot", "_expected", "parts")
     if parts_column != "parts":
         return _renamed(docs, "parts", lambda d: mix_sources(d, weights, other, budget, seed, copy, parts))
     rates = source_rates(docs, weights, other, budget).filter("rate > 0")
     key = F.coalesce(column("doc_id").cast("string"), F.lit(""))
     many, table, count = _inverse(F.col("rate"), seed, key)
-    rates = freeze(rates.select(F.col("source").alias(rates_source), many.alias("parts"), table.alias(sums)), "rates")
-    bound = rates.agg(F.count(F.lit(1)), F.sum(F.coalesce(F.char_length(rates_source), F.lit(0)))).first()
+    rates = freeze(rates.select(F.col("source").alias(rates_source), many.alias("parts"), table.alias(sums), (F.col("size") * F.col("rate")).alias(expected)), "rates")
+    bound = rates.agg(F.count(F.lit(1)), F.sum(F.coalesce(F.char_length(rates_source), F.lit(0))), F.sum(expected)).first()
     same = column("source").cast("string").eqNullSafe(F.col(rates_source))
     if bound[0] <= SOURCES and (bound[1] or 0) <= SOURCE_CHARS:
         joined = docs.join(F.broadcast(rates), same)
@@ -99,7 +99,7 @@ def mix_sources(docs: DataFrame, weights: dict[str, float], other: float = 1.0,
         joined = docs.withColumn(slot + "own", own).join(spread, same & (F.col(slot + "own") == F.col(slot)))
     counted = joined.withColumn(times, count(F.col(sums))).filter(F.col(times) > 0)
     copies = counted.select(*[column(c) for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col(times))).alias(number))
-    n = partitions(spark, parts)
+    n = parts or parts_for(spark, bound[2] or 0, PART_CHARS)
     placed = copies.withColumn(order, uniform(F.lit(f"{seed}|order"), key, F.col(number).cast("string")))
     # The hash is spread evenly, so equal ranges of it are equal partitions, and no sample is needed.
     dealt = placed.repartitionById(n, F.floor(F.col(order) * n).cast("int")).sortWithinPartitions(order, key)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import freeze
-from .common import column, fresh, partitions, text_of
+from .common import PART_CHARS, PART_ROWS, column, fresh, gathered, partitions, text_of
 from .components import connected, stars
 
 BITS = 4  # most differing bits of a link
@@ -34,6 +34,7 @@ WORDS = 4  # words of a shingle
 SEED = 42
 RUN = 8192  # fingerprints with one key that a task compares by itself; more are dealt out in tiles
 HELD = 500_000  # links a task holds before it thins them out
+KEYS = 117  # keys of a fingerprint, on average
 SHINGLES = 1 << 16  # shingles whose bits are counted at a time
 
 GENERATOR = 0b110001110101  # of the Golay code: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
@@ -179,7 +180,12 @@ def _rows(a, b, slices) -> pa.RecordBatch:
 
 
 def links(fps: DataFrame, run_rows: int = RUN) -> DataFrame:
-    """Links ``a``, ``b`` that connect the same fingerprints as all pairs within four bits do.
+    """The links of ``counted_links``."""
+    return counted_links(fps, run_rows)[0]
+
+
+def counted_links(fps: DataFrame, run_rows: int = RUN) -> tuple[DataFrame, int | None]:
+    """Links ``a``, ``b`` that connect the same fingerprints as all pairs within four bits do, and their number if known.
 
     ``fps``: different fingerprints ``fp``. Keys are shuffled and sorted; a task compares the run of
     each key and gives links as stars, never all pairs of a run. A run longer than ``run_rows`` is cut
@@ -226,10 +232,12 @@ def links(fps: DataFrame, run_rows: int = RUN) -> DataFrame:
 
     rows = fps.select("fp").mapInArrow(spread, "key bigint, fp bigint")
     rows = rows.repartition(partitions(spark), F.shiftright("key", 1)).sortWithinPartitions("key")
-    found = freeze(rows.mapInArrow(compare, "a bigint, b bigint, slices int"), "simhash-links")
+    found = rows.mapInArrow(compare, "a bigint, b bigint, slices int")
+    found = freeze(gathered(found, KEYS * fps.count(), PART_ROWS), "simhash-links")
     near, long = found.filter("slices = 0").select("a", "b"), found.filter("slices > 0")
-    if long.isEmpty():
-        return near
+    n_near, n_long = found.agg(F.count_if(F.col("slices") == 0), F.count_if(F.col("slices") > 0)).first()
+    if not n_long:
+        return near, n_near
 
     def tile(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("key")
@@ -246,13 +254,13 @@ def links(fps: DataFrame, run_rows: int = RUN) -> DataFrame:
     own = F.pmod(F.xxhash64("b"), F.col("slices").cast("bigint"))
     dealt = long.select(F.col("a").alias("key"), F.col("b").alias("fp"), own.alias("own"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - F.lit(1).cast("bigint"))).alias("other"))
     dealt = dealt.select(F.shiftright("key", 1).alias("group"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.col("own").alias("side"), "key", "fp")
-    return near.unionByName(dealt.groupBy("group", "i", "j").applyInPandas(tile, "a bigint, b bigint"))
+    return near.unionByName(dealt.groupBy("group", "i", "j").applyInPandas(tile, "a bigint, b bigint")), None
 
 
 def classes(rows: DataFrame) -> DataFrame:
     """``fp``, ``root`` of its component and ``component_id`` (smallest ``doc_id`` reachable), one row per fingerprint."""
-    distinct = freeze(rows.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "fingerprints")
-    roots = connected(links(distinct))
+    distinct = freeze(gathered(rows.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), rows.count(), PART_ROWS), "fingerprints")
+    roots = connected(*counted_links(distinct))
     rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "doc_id", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rooted.join(least, "root").select("fp", "root", "component_id")
@@ -277,14 +285,16 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     and of repeated rows one. A row with a null id stays only where its component has no other ids.
     """
     hashed, least_hash, doc, place = fresh(docs, "_hash", "_least_hash", "_doc", "_place")
-    rows = freeze(fingerprints(docs, F.xxhash64(text_of()).alias("hash")), "simhash")
+    rows = freeze(fingerprints(docs, F.xxhash64(text_of()).alias("hash"), F.char_length(text_of()).alias("chars")), "simhash")
+    chars = rows.agg(F.sum("chars")).first()[0] or 0
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "hash"))
     staying = rows.join(classes(rows), "fp").groupBy("root").agg(first.alias("first"))
     staying = staying.select(F.col("first.doc_id").alias(doc), F.col("first.hash").alias(least_hash))
     marked = docs.withColumn(hashed, F.xxhash64(text_of()))
     joined = marked.join(staying, (F.col(hashed) == F.col(least_hash)) & column("doc_id").cast("bigint").eqNullSafe(F.col(doc)))
     order = Window.partitionBy(hashed, doc).orderBy(F.lit(1))
-    return joined.withColumn(place, F.row_number().over(order)).filter(F.col(place) == 1).select(*[column(c) for c in docs.columns])
+    kept = joined.withColumn(place, F.row_number().over(order)).filter(F.col(place) == 1).select(*[column(c) for c in docs.columns])
+    return gathered(kept, chars, PART_CHARS)
 
 
 def op5_simhash(spark, folder: str) -> DataFrame:

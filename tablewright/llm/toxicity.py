@@ -19,10 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import freeze
-from .common import column, fresh, send, slices, text_of
+from .common import column, fresh, gathered, send, slices, text_of
 
 SPACE = 1 << 24  # buckets
 SAMPLE = 8000  # most labelled rows that are learnt from
+SAMPLE_PART = 250  # of them, rows that are worth a partition
 KEPT = 512  # most buckets that the model has weights for: those that tell the labels apart best
 LEAST = 3  # learnt rows in which a kept bucket occurs at least
 FACTORS = 8
@@ -57,7 +58,7 @@ def _learnt_from(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
             terms = [sorted({b for w in set(WORD.findall(t.lower())) for b in buckets(w)}) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(terms, pa.list_(pa.int32()))], names=["label", "terms"])
 
-    return freeze(texts.mapInArrow(run, "label int, terms array<int>"), "terms")
+    return freeze(gathered(texts.mapInArrow(run, "label int, terms array<int>"), sample, SAMPLE_PART), "terms")
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, size: int, factors: int = FACTORS, epochs: int = EPOCHS, seed: int = 1) -> dict[str, np.ndarray]:

@@ -4,8 +4,10 @@ import hashlib
 import json
 import math
 import os
+import random
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -13,8 +15,9 @@ import tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tablewright.llm import chat, mixing, shards, toxicity
+from tablewright.llm import chat, exact, mixing, shards, simhash, toxicity
 from tablewright.llm.queries import BYTE_BPE, QUERIES, WORD_BPE, vocabulary
+from tablewright.session import _stages
 from tests.llm.test_dedup import _exact_by_hand, _plain, _simhash_by_hand
 
 # --- mixing
@@ -304,3 +307,34 @@ def test_pipeline_odd_rows(spark, odd_docs, no_docs, sf):
                 assert docs.columns == start.columns
             docs = spark.createDataFrame(docs.collect(), docs.schema)
         assert len({_plain(r["text"]) for r in start.collect()}) >= docs.select("doc_id").distinct().count() or start is no_docs
+
+
+def test_small_tables_are_few_files(spark):
+    """However many partitions a shuffle has, a small table is not cut into a file for each."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("river hill stone cloud leaf rain wind snow".split(), k=40)) for _ in range(300)]
+    texts += [f"{t} end" for t in texts[:150]] + texts[:100] * 2
+    docs = spark.createDataFrame([(i, t, "en", f"s{i % 3}", len(t)) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    labels = docs.select("doc_id", F.col("text").contains("snow snow").alias("toxic"))
+
+    def run():
+        since, tables = len(_stages(spark)), [exact.drop_exact_copies(docs), simhash.drop_near_copies(docs), mixing.mix_sources(docs, mixing.WEIGHTS)]
+        toxicity.train(docs, labels)
+        files = {uri.split("/")[-1]: len(list(Path(uri.removeprefix("file:")).glob("part-*"))) for uri in _stages(spark)[since:]}
+        return [sorted(map(tuple, t.collect())) for t in tables], [t.rdd.getNumPartitions() for t in tables], files
+
+    plain = run()[0]
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows, parts, files = run()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    cores = spark.sparkContext.defaultParallelism
+    assert rows == plain
+    assert max(parts) <= cores
+    assert {k: n for k, n in files.items() if n > max(cores, 32 if k.startswith("terms") else 16 if k.startswith("winners") else 0)} == {}
+    assert any(k.startswith("links") for k in files)
