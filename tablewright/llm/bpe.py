@@ -8,7 +8,11 @@ every arc ``u`` whose copy lost ``v`` it lays an arc ``w`` to the state that ``v
 copy differs from its original by one arc, and the automaton needs one entry per merge:
 ``cut[(u, v)] = k``. Whether an arc is there follows from these entries (``_arc``); answers are
 kept in the transition table. One path through the automaton spells a word, and it is the word's
-encoding, so the encoder walks the word once, keeping the arc that ends at each symbol.
+encoding. Each beginning of a word has one such path too, so one arc ends at each symbol. The encoder
+therefore walks a word once, one step a symbol, and never steps back. A state of this walk (``_State``) is the
+longest beginning of a label that the symbols read end with (``_Node``) and, for each of its places, the
+arc that ends there; the next symbol leads to one state, which is worked out when first met and kept in
+a table. From the last symbol back, the arcs spell the encoding.
 """
 
 from __future__ import annotations
@@ -16,8 +20,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import accumulate
+from operator import getitem
 
 import pyarrow as pa
 import regex
@@ -28,6 +34,8 @@ from .common import column, read_file, send, slices, text_of
 
 KEPT_WORDS = 250_000  # encoded words a worker keeps; the oldest half goes when it is full
 KEPT_ARCS = 2_000_000  # transitions a worker keeps
+KEPT_STEPS = 500_000  # steps of the walk a worker keeps, with the states they lead to; others are worked out each time
+LATIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")  # printable ASCII and the letters of Latin-1 that have case
 END = "\0"  # stands for the word-end suffix inside this module, so that it is one character
 
 
@@ -38,6 +46,39 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(256 + shifted.index(b)) for b in range(256)]
 
 
+class _Node(dict):
+    """A beginning of a label: symbol -> the beginning that is longer by it."""
+
+    __slots__ = ("ends", "number", "rest", "size")
+
+    def __init__(self, number: int, size: int):
+        self.number, self.size = number, size
+        self.rest: _Node | None = None  # the longest other beginning that this one ends with
+        self.ends: tuple[tuple[int, int], ...] = ()  # the tokens that end here with their lengths, longest first
+
+    def after(self, symbol: str) -> _Node:
+        """The longest beginning that ends with this symbol."""
+        node = self
+        while symbol not in node:
+            if node.rest is None:
+                raise ValueError(f"the symbol {symbol!r} is not in the vocabulary")
+            node = node.rest
+        return node[symbol]
+
+
+class _State(dict):
+    """What is known after some symbols of a word: symbol -> the next state, filled in as met."""
+
+    __slots__ = ("end", "kept", "node", "step")
+
+    def __init__(self, node: _Node, kept: tuple[int, ...], end: tuple[int, int], step: Callable[[_State, str], _State]):
+        self.node, self.kept, self.step = node, kept, step
+        self.end = end  # the token of the arc that ends here, and its length
+
+    def __missing__(self, symbol: str) -> _State:
+        return self.step(self, symbol)
+
+
 class MergeAutomaton:
     """The automaton of a merge list. ``vocab``: label -> id; labels of word ends carry ``suffix``."""
 
@@ -60,22 +101,56 @@ class MergeAutomaton:
                 self.made[w] = (u, v, k)
                 self.cut[(u, v)] = k
         live = base | self.made.keys()
-        #: Each label with its token, each beginning of a label with -1.
-        self.labels: dict[str, int] = {}
-        #: The longest other token that a token begins with.
-        self.shorter: dict[int, int | None] = {}
-        self.lengths: dict[int, int] = {}
-        self.words: dict[str, list[int]] = {}
-        for label, i in self.ids.items():
-            if i in live:
-                self.labels[label] = i
-                self.lengths[i] = len(label)
-                for end in range(1, len(label)):
-                    self.labels.setdefault(label[:end], -1)
-        for label, i in self.ids.items():
-            if i in live:
-                before = (self.labels[label[:end]] for end in range(len(label) - 1, 0, -1))
-                self.shorter[i] = next((t for t in before if t >= 0), None)
+        root = self._beginnings({label: i for label, i in self.ids.items() if i in live})
+        self.start = _State(root, (-1,), (-1, 0), self._step)
+        self.states: dict[tuple[int, tuple[int, ...]], _State] = {}
+        self.room = KEPT_STEPS
+
+    def _symbols(self, label: str) -> list[str]:
+        """The last symbol and the suffix are one symbol."""
+        return [*label[:-2], label[-2:]] if self.suffix and label.endswith(END) else list(label)
+
+    def _beginnings(self, labels: dict[str, int]) -> _Node:
+        root, number = _Node(0, 0), 0
+        for label, token in labels.items():
+            node, symbols = root, self._symbols(label)
+            for symbol in symbols:
+                if symbol not in node:
+                    number += 1
+                    node[symbol] = _Node(number, node.size + 1)
+                node = node[symbol]
+            node.ends = ((token, len(symbols)),)
+        level = [root]
+        while level:  # shorter beginnings first
+            below = []
+            for node in level:
+                for symbol, child in node.items():
+                    child.rest = root if node is root else node.rest.after(symbol) if symbol in root else root
+                    child.ends += child.rest.ends
+                    below.append(child)
+            level = below
+        return root
+
+    def _step(self, state: _State, symbol: str) -> _State:
+        node, kept, arcs = state.node.after(symbol), state.kept, self.arcs.get
+        for end in node.ends:
+            token, length = end
+            before = kept[-length]
+            if before < 0:
+                break
+            allowed = arcs(before << 32 | token)
+            if self.follows(before, token) if allowed is None else allowed:
+                break
+        else:
+            raise ValueError(f"no path reads {symbol!r} here")
+        kept = (*kept, token)[-node.size - 1 :]
+        following = self.states.get((node.number, kept))
+        if following is None:
+            following = _State(node, kept, end, state.step)
+        if self.room > 0:
+            self.room -= 1
+            self.states[node.number, kept] = state[symbol] = following
+        return following
 
     def _removed(self, u: int, t: int, time: int) -> bool:
         """Has the state of ``u`` lost its arc ``t`` by this time? A new token starts with the state of its right part."""
@@ -106,50 +181,16 @@ class MergeAutomaton:
         return known
 
     def encode(self, word: str) -> list[int]:
-        """The ids of one word, given as byte symbols without suffix.
-
-        Longest arcs first, back where none leads on. Only one token can end at a position of a
-        word's path, so a position that led nowhere once never leads anywhere.
-        """
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        spelled = word + END if self.suffix else word
-        stop, inner = len(spelled), len(word) if self.suffix else -1
-        labels, shorter, arcs, follows = self.labels.get, self.shorter, self.arcs.get, self.follows
+        """The ids of one word, given as byte symbols without suffix."""
+        symbols = [*word[:-1], word[-1:] + END] if self.suffix and word else word
+        ends = [state.end for state in accumulate(symbols, getitem, initial=self.start)]
         path: list[int] = []
-        dead: set[int] = {inner}  # the last symbol and the suffix are one symbol
-        at, token, before, back = 0, None, -1, False
-        while at < stop:
-            if not back:
-                end = at + 1
-                while end <= stop and (found := labels(spelled[at:end])) is not None:
-                    if found >= 0:
-                        token = found
-                    end += 1
-            while token is not None:
-                end = at + self.lengths[token]
-                if end not in dead:
-                    if before < 0:
-                        break
-                    allowed = arcs(before << 32 | token)
-                    if follows(before, token) if allowed is None else allowed:
-                        break
-                token = shorter[token]
-            if token is not None:
-                path.append(token)
-                before, at, token, back = token, end, None, False
-                continue
-            dead.add(at)
-            if not path:
-                raise ValueError(f"a symbol of {word[:40]!r} is not in the vocabulary")
-            token = path.pop()
-            at -= self.lengths[token]
-            before = path[-1] if path else -1
-            token, back = shorter[token], True
-        if len(self.words) >= KEPT_WORDS:
-            self.words.clear()
-        self.words[word] = path
+        at = len(ends) - 1
+        while at:
+            token, length = ends[at]
+            path.append(token)
+            at -= length
+        path.reverse()
         return path
 
 
@@ -182,7 +223,7 @@ class Tokenizer:
         self.pattern = regex.compile(split["pattern"]["Regex"])
         library = tokenizers.Tokenizer.from_str(content.decode())
         self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
-        self.controls = dict(enumerate(byte_symbols()[:128]))
+        self.symbols = {byte: symbol for byte, symbol in enumerate(byte_symbols()) if chr(byte) != symbol}
         self.words: dict[str, list[int]] = {}
 
     def _chunk(self, chunk: str) -> list[int]:
@@ -192,14 +233,20 @@ class Tokenizer:
                 del self.words[old]
         if chunk.isascii():
             # Printable ASCII stands for itself; control characters have symbols of their own.
-            split = self.pattern.findall(chunk.lower())
+            split = [chunk.lower()] if chunk.isalpha() else self.pattern.findall(chunk.lower())
             if not chunk.isprintable():
-                split = [word.translate(self.controls) for word in split]
+                split = [word.translate(self.symbols) for word in split]
+        elif LATIN.fullmatch(chunk):  # letters in every version of the tables, which no normaliser but lower case changes
+            split = [chunk.lower()] if chunk.isalpha() else self.pattern.findall(chunk.lower())
+            split = [word if word.isascii() else word.encode().decode("latin-1").translate(self.symbols) for word in split]
         else:  # which characters are letters depends on the library's tables
             split = [word for word, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(chunk))]
-        ids: list[int] = []
-        for word in split:
-            ids += self.automaton.encode(word)
+        if len(split) == 1:
+            ids = self.automaton.encode(split[0])
+        else:
+            ids = []
+            for word in split:
+                ids += self.automaton.encode(word)
         self.words[chunk] = ids
         return ids
 
@@ -249,7 +296,7 @@ def encode_texts(docs: DataFrame, path: str, outputs: tuple[str, ...] = ("n_toke
     One row out per row in, repeated rows and rows with null keys included; columns besides ``keep``
     and ``text`` are not read. A null text is empty: no ids, and the empty text decoded. The work is
     one pass without a shuffle. A worker compiles the vocabulary once and keeps a bounded number of
-    encoded words; a text of any length is encoded whole.
+    encoded words and steps of the walk; a text of any length is encoded whole.
     """
     sent = send(docs.sparkSession, content := read_file(path))
     digest = hashlib.sha256(content).hexdigest()

@@ -74,6 +74,37 @@ def test_gadgets_against_merging():
             assert [labels[i] for i in own.encode(word)] == _merge_by_hand(word, merges), (merges, word)
 
 
+def test_walk_never_steps_back(monkeypatch):
+    """One step a symbol; steps are worked out once, and beyond the kept ones the ids are the same."""
+    labels, merges = ["a", "b", "ab", "aba", "abab", "ababb"], [("a", "b"), ("ab", "a"), ("ab", "ab"), ("abab", "b")]
+    words = ["".join("ab"[n >> i & 1] for i in range(9)) for n in range(512)]
+    own = bpe.MergeAutomaton({label: i for i, label in enumerate(labels)}, merges)
+    before = own.room
+    first = [own.encode(word) for word in words]
+    assert 0 < before - own.room < 9 * 512
+    after = own.room
+    assert [own.encode(word) for word in words] == first and own.room == after
+    assert [[labels[i] for i in ids] for ids in first] == [_merge_by_hand(word, merges) for word in words]
+    monkeypatch.setattr(bpe, "KEPT_STEPS", 5)
+    small = bpe.MergeAutomaton({label: i for i, label in enumerate(labels)}, merges)
+    assert [small.encode(word) for word in words] == first
+    assert small.room == 0 and len(small.states) <= 5
+    assert small.encode("abbab" * 20_000) == own.encode("abbab" * 20_000)
+
+
+def test_latin_words_are_taken_apart_here(word_library):
+    """Letters of Latin-1 need no call of the library for each word."""
+    own = bpe.Tokenizer(bpe.read_file(vocabulary(WORD_BPE)))
+    library, own.normalizer, own.splitter = (own.normalizer, own.splitter), None, None
+    latin = ["über Straße", "ÀÖØÞÿ", "l'été s'il", "Ñandú!!", "naïve's 3é4", "ß", "É.É"]
+    for text in latin:
+        assert own.encode(text) == word_library.encode(text, add_special_tokens=False).ids, text
+    own.normalizer, own.splitter = library
+    signs = [chr(i) for i in range(256)]
+    for text in [*signs, *(f"a{sign}b{sign}{sign}É" for sign in signs), "e\u0301 é\u0301", "İß", "ΣÀΣ"]:
+        assert own.encode(text) == word_library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_vocabulary_rules():
     with pytest.raises(ValueError, match="no earlier merge"):
         bpe.MergeAutomaton({"a": 0, "b": 1, "ab": 2, "abab": 3}, [("ab", "ab"), ("a", "b")])
