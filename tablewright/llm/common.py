@@ -73,10 +73,10 @@ def read_file(path: str) -> bytes:
         return file.read()
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The rows of the batches in runs of about ``SLICE_CHARS`` bytes of text; a text is never cut."""
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", chars: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in runs of about ``chars`` bytes of text; a text is never cut."""
     for batch in batches:
         sizes = batch.column(batch.schema.get_field_index(text)).nbytes
-        step = max(1, int(batch.num_rows * SLICE_CHARS / max(sizes, 1)))
+        step = max(1, int(batch.num_rows * chars / max(sizes, 1)))
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)

@@ -16,7 +16,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,23 +33,90 @@ from .common import column, partitions, read_file, send, slices, text_of
 LENGTH = 2048  # ids of a sequence
 ROWS = 64  # sequences of a batch
 KEPT_PIECES = 1_000_000  # encoded pieces a worker keeps
+ENCODED_CHARS = 4 << 20  # characters of text encoded together; each different piece among them is looked up once
 
 # White space as the splitting pattern of byte-level vocabularies sees it (Unicode White_Space).
-SPACE = "".join(map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
-LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-# A Latin word with the space before it, and marks after such a word, where white space or the end comes
-# next; else all up to the next white space; else a run of white space up to its last character, or one
-# such character. The pattern of the vocabulary never joins characters of two such pieces.
-MARKS = "[.,;:!?]+"
-PIECES = re.compile(f" ?[{LETTERS}]+(?={MARKS}(?:[{SPACE}]|\\Z)|[{SPACE}]|\\Z)|{MARKS}(?=[{SPACE}]|\\Z)| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-LATIN = re.compile(f" ?[{LETTERS}]+")  # one word for the vocabulary's pattern, too
-
-
-class _Known(dict):
-    """Numbers of pieces; -1 for an unknown one."""
-
-    def __missing__(self, piece: str) -> int:
-        return -1
+SPACES = "".join(map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+WIDE = sorted({c.encode()[:-1] for c in SPACES if not c.isascii()})  # all but the last byte of such a character
+LAST = {begin: [c.encode()[-1] for c in SPACES if c.encode()[:-1] == begin] for begin in WIDE}
+
+# Kinds of bytes. LETTER: ASCII's letters, and both bytes of Latin-1's. SYMBOL: ASCII's marks but the
+# apostrophe, which begins a contraction. OTHER: control characters and the rest of Unicode.
+OTHER, BLANK, SPACE, LETTER, DIGIT, SYMBOL, QUOTE = range(7)
+BEGIN = 255  # in place of a pair of kinds: a text begins here
+LINE = "\u2028"  # between words for the model; no byte's symbol
+
+
+def _kinds_of_ascii() -> bytes:
+    kinds = bytearray(256)
+    for i in range(128):
+        c = chr(i)
+        if c in SPACES:
+            kinds[i] = BLANK if c == " " else SPACE
+        elif c.isalnum():
+            kinds[i] = LETTER if c.isalpha() else DIGIT
+        elif c.isprintable():
+            kinds[i] = QUOTE if c == "'" else SYMBOL
+    return bytes(kinds)
+
+
+def _cuts_of_pairs() -> bytes:
+    """For the kinds of two neighbours, 8 * the first + the second: 1, a piece begins with the second; 2, with the first."""
+    cuts = bytearray(256)
+    white, plain = (BLANK, SPACE), (LETTER, DIGIT, SYMBOL)
+    for a in range(7):
+        for b in range(7):
+            if a in white and b not in white:  # the last of a run of white space stands alone; a blank joins what follows
+                cuts[8 * a + b] = 2 if a == BLANK else 3
+            elif a not in white and b in white or a != b and a in plain and b in plain or a in (LETTER, DIGIT) and b == QUOTE:
+                cuts[8 * a + b] = 1
+    cuts[BEGIN] = 1
+    return bytes(cuts)
+
+
+KINDS, CUTS = _kinds_of_ascii(), _cuts_of_pairs()
+
+
+def _kinds(data: bytes) -> tuple[np.ndarray, list[tuple[np.ndarray, int]]]:
+    """The kind of each byte, and the places of white space of several bytes with its length."""
+    kinds = np.frombuffer(bytearray(data).translate(KINDS), np.uint8)
+    wide = []
+    if not data.isascii():
+        raw = np.frombuffer(data, np.uint8)
+        at = np.flatnonzero(raw[:-1] == 0xC3)
+        at = at[(raw[at + 1] >> 6 == 2) & (raw[at + 1] != 0x97) & (raw[at + 1] != 0xB7)]  # not the signs for times and divided by
+        kinds[at] = kinds[at + 1] = LETTER
+        for begin in WIDE:
+            at = np.flatnonzero(raw[: len(raw) - len(begin)] == begin[0])
+            for k in range(1, len(begin)):
+                at = at[raw[at + k] == begin[k]]
+            at = at[np.isin(raw[at + len(begin)], LAST[begin])]
+            if len(at):
+                wide.append((at, len(begin) + 1))
+                for k in range(len(begin) + 1):
+                    kinds[at + k] = SPACE
+    return kinds, wide
+
+
+def _begins(data: bytes, limits: np.ndarray) -> np.ndarray:
+    """Whether a piece begins with a byte of the texts that begin at ``limits``.
+
+    A piece is a run of letters, digits or symbols with the blank before it, or of white space up to its
+    last character, or such a character; runs without a cut between them stay together. The pattern of
+    the vocabulary never joins characters of two pieces.
+    """
+    kinds, wide = _kinds(data)
+    pairs = kinds.copy()
+    pairs[1:] += kinds[:-1] << 3
+    pairs[limits[limits < len(data)]] = BEGIN
+    cuts = np.frombuffer(pairs.tobytes().translate(CUTS), np.uint8)
+    begins = (cuts & 1).astype(bool)
+    begins[:-1] |= cuts[1:] > 1
+    for at, size in wide:  # such a character, not its last byte, stands alone at the end of a run
+        at = at[at + size < len(data)]
+        at = at[cuts[at + size] > 1]
+        begins[at + size - 1], begins[at] = False, True
+    return begins
 
 
 class Encoder:
@@ -66,14 +133,22 @@ class Encoder:
         added = self.library.get_added_tokens_decoder()
         if any(t.single_word or t.lstrip or t.rstrip for t in added.values()):
             raise ValueError("special tokens that take white space with them are not supported")
-        self.special = {t.content: i for i, t in added.items()}
-        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.special = {t.content.encode() for t in added.values()}
+        self.cut = re.compile(b"|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.dtype = np.uint16 if self.library.get_vocab_size() <= 1 << 16 else np.uint32
-        self.symbols = dict(enumerate(byte_symbols()[:128])) | {i: "".join(map(byte_symbols().__getitem__, chr(i).encode())) for i in range(128, 256)}
+        self.symbols = dict(enumerate(byte_symbols()))
+        vocab, model = self.library.get_vocab(with_added_tokens=False), file["model"]
+        # The model alone, for words one to a line; its ids tell whose they are where each stands for as many bytes as it has symbols.
+        self.words = tokenizers.Tokenizer(self.library.model)
+        self.words.pre_tokenizer = tokenizers.pre_tokenizers.CharDelimiterSplit(LINE)
+        others = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix")
+        self.by_line = vocab.keys() >= set(byte_symbols()) and not any(model.get(k) for k in others)
+        self.bytes_of = np.zeros(max(vocab.values()) + 1, np.int64)
+        self.bytes_of[list(vocab.values())] = list(map(len, vocab))
         self._forget()
 
     def _forget(self) -> None:
-        self.known = _Known()
+        self.known: dict[bytes, int] = {}
         self.flat, self.starts, self.sizes = np.zeros(1 << 16, self.dtype), np.zeros(KEPT_PIECES, np.int64), np.zeros(KEPT_PIECES, np.int64)
         self.filled = 0
 
@@ -81,57 +156,75 @@ class Encoder:
         """The newer half of the pieces stays, with its ids moved to the front."""
         old = len(self.known) // 2
         kept, base = list(self.known)[old:], int(self.starts[old])
-        self.known = _Known(zip(kept, range(len(kept))))
+        self.known = dict(zip(kept, range(len(kept))))
         self.filled -= base
         self.flat[: self.filled] = self.flat[base : base + self.filled].copy()
         self.starts[: len(kept)] = self.starts[old : old + len(kept)] - base
         self.sizes[: len(kept)] = self.sizes[old : old + len(kept)].copy()
 
-    def _ids(self, pieces: list[str]) -> list[list[int]]:
-        """A Latin word goes to the model at once; other pieces are split by the library first."""
-        whole, model, symbols = LATIN.fullmatch, self.library.model, self.symbols
-        found = [[t.id for t in model.tokenize(p.translate(symbols))] if whole(p) else None for p in pieces]
-        others = [i for i, ids in enumerate(found) if ids is None]
-        for i, e in zip(others, self.library.encode_batch_fast([pieces[i] for i in others], add_special_tokens=False)):
-            found[i] = e.ids
-        return found
-
-    def _learn(self, pieces: list[str]) -> None:
-        found = self._ids(pieces)
-        at, sizes = len(self.known), np.fromiter(map(len, found), np.int64, len(found))
-        total = int(sizes.sum())
-        while self.filled + total > len(self.flat):
+    def _keep(self, pieces: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        at = len(self.known)
+        while self.filled + len(ids) > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
         while at + len(pieces) > len(self.starts):
             self.starts, self.sizes = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.sizes, 2 * len(self.sizes))
-        self.flat[self.filled : self.filled + total] = np.fromiter(chain.from_iterable(found), self.dtype, total)
+        self.flat[self.filled : self.filled + len(ids)] = ids
         self.starts[at : at + len(pieces)] = self.filled + np.cumsum(sizes) - sizes
         self.sizes[at : at + len(pieces)] = sizes
         self.known.update(zip(pieces, range(at, at + len(pieces))))
-        self.filled += total
-
-    def _pieces(self, text: str) -> list[str]:
-        if self.cut and self.cut.search(text):
-            return [p for i, part in enumerate(self.cut.split(text)) for p in ([part] if i % 2 else PIECES.findall(part))]
-        return PIECES.findall(text)
+        self.filled += len(ids)
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        """A piece of one kind goes to the model as a word; others are split by the library first."""
+        whole = np.zeros(len(pieces), bool)
+        if self.by_line:
+            kinds, _ = _kinds(b"".join(pieces))
+            lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+            whole = ~np.logical_or.reduceat((kinds == OTHER) | (kinds == QUOTE), np.cumsum(lengths) - lengths)
+            whole &= ~np.fromiter(map(self.special.__contains__, pieces), bool, len(pieces))
+        if whole.any():
+            words = [pieces[i] for i in np.flatnonzero(whole)]
+            lines = LINE.join(map(bytes.decode, words, repeat("latin-1"))).translate(self.symbols)
+            (found,) = self.words.encode_batch_fast([lines], add_special_tokens=False)
+            ids = np.array(found.ids, np.int64)
+            stops = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(lengths[whole])) + 1
+            self._keep(words, ids, np.diff(stops, prepend=0))
+        if not whole.all():
+            mixed = [pieces[i] for i in np.flatnonzero(~whole)]
+            ids = [e.ids for e in self.library.encode_batch_fast(list(map(bytes.decode, mixed)), add_special_tokens=False)]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            self._keep(mixed, np.fromiter(chain.from_iterable(ids), self.dtype, int(sizes.sum())), sizes)
+
+    def _pieces(self, data: bytes, limits: np.ndarray) -> np.ndarray:
+        """Where the pieces of the texts begin that begin and end at ``limits``; a special token is a piece."""
+        if not self.cut or not self.cut.search(data):
+            return np.flatnonzero(_begins(data, limits))
+        found = [m.span() for a, b in pairwise(limits.tolist()) for m in self.cut.finditer(data, a, b)]
+        begins = _begins(data, np.concatenate([limits, np.array(found, np.int64).ravel()]))
+        for a, b in found:
+            begins[a + 1 : b] = False
+        return np.flatnonzero(begins)
 
     def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in one array, ``end`` after each text, and the number of each text's ids."""
         if len(self.known) > KEPT_PIECES:
             self._forget_half()
-        pieces: list[str] = []
-        counts = []
-        for text in texts:
-            pieces += self._pieces(text)
-            counts.append(len(pieces))
-        at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        raw = [text.encode() for text in texts]
+        limits = np.cumsum([0, *map(len, raw)])
+        data = b"".join(raw)
+        begins = self._pieces(data, limits)
+        offsets = pa.py_buffer(np.append(begins, len(data)))
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, offsets, pa.py_buffer(data)]).dictionary_encode()
+        different = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        at = np.fromiter(map(self.known.get, different, repeat(-1)), np.int64, len(different))
         if len(unknown := np.flatnonzero(at < 0)):
-            new = [pieces[i] for i in unknown]
-            self._learn(list(dict.fromkeys(new)))
+            new = [different[i] for i in unknown]
+            self._learn(new)
             at[unknown] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
-        stops = np.concatenate([[0], np.cumsum(self.sizes[at])])
-        ends = stops[counts] + np.arange(1, len(texts) + 1)  # of the texts, with their end ids
+        at = at[pieces.indices.to_numpy()]
         sizes = self.sizes[at]
+        stops = np.concatenate([[0], np.cumsum(sizes)])
+        ends = stops[np.searchsorted(begins, limits[1:])] + np.arange(1, len(texts) + 1)  # of the texts, with their end ids
         out = np.full(int(ends[-1]) if len(texts) else 0, end, self.dtype)
         inner = np.ones(len(out), bool)
         inner[ends - 1] = False
@@ -248,7 +341,7 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end: int = 0, length:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(digest, sent.value)
         writer, start = None, 0
-        for batch in slices(batches):
+        for batch in slices(batches, chars=ENCODED_CHARS):
             if not batch.num_rows:
                 continue
             if writer is None:

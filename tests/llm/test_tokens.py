@@ -1,6 +1,7 @@
 """Tokenizers, token counts and token files against the libraries."""
 
 import hashlib
+import json
 import random
 import zlib
 
@@ -236,3 +237,46 @@ def test_pieces_are_forgotten_by_halves(monkeypatch):
         wanted = [[*e.ids, 0] for e in library.encode_batch(texts[i : i + 3], add_special_tokens=False)]
         assert np.split(ids, np.cumsum(sizes)[:-1])[0].tolist() == wanted[0] and ids.tolist() == sum(wanted, [])
     assert most < 150
+
+
+class _Counted(dict):
+    asked = 0
+
+    def get(self, *key):
+        self.asked += 1
+        return super().get(*key)
+
+    def __getitem__(self, key):
+        self.asked += 1
+        return super().__getitem__(key)
+
+
+def test_each_piece_is_asked_for_once(byte_library):
+    """Of many repeated words a batch looks up the different ones, and marks of any kind do not make new words."""
+    own = tokenfiles.Encoder(tokenfiles.read_file(vocabulary(BYTE_BPE)))
+    own.known = _Counted()
+    texts = ["A stone, stone$$$ stone&&& stone-stone (stone) stone12\n" * 500, "stone; stone's　stone"] * 2
+    ids, sizes = own.encode(texts, 0)
+    wanted = [[*e.ids, 0] for e in byte_library.encode_batch(texts, add_special_tokens=False)]
+    assert ids.tolist() == sum(wanted, []) and sizes.tolist() == list(map(len, wanted))
+    assert sorted(p for p in own.known if b"stone" in p) == [b" stone", b"stone"]
+    assert own.known.asked < 100
+
+
+def test_pieces_beside_odd_characters():
+    """Short batches of white space of several bytes, contractions, other scripts and special tokens, one inside another."""
+    file = json.loads(tokenfiles.read_file(vocabulary(BYTE_BPE)))
+    first = file["added_tokens"][0]
+    more = (first["content"] + "x", "PAD", " \n", "é　")
+    file["added_tokens"] += [first | {"id": first["id"] + 1 + i, "content": content} for i, content in enumerate(more)]
+    content = json.dumps(file)
+    own, library = tokenfiles.Encoder(content.encode()), tokenizers.Tokenizer.from_str(content)
+    characters = "aaelstdv''' \n\t\r\x00\x1c.,$-_<|>019éÀÿ×÷ªµ½\x85\xa0     　​、日…́😀Ⅷ"
+    parts = [*characters, "'s", "'re", "  ", first["content"], *more]
+    rng = random.Random(6)
+    batches = [[], [""], ["", ""], ["é"], ["　"], ["×"]]
+    batches += [["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(rng.randint(1, 4))] for _ in range(3000)]
+    for texts in batches:
+        ids, sizes = own.encode(texts, 0)
+        wanted = [[*e.ids, 0] for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert ids.tolist() == sum(wanted, []) and sizes.tolist() == list(map(len, wanted)), texts
